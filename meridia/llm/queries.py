@@ -23,6 +23,27 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of secrets in every document."""
+    from .secrets import scan_documents
+
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    from .warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    from .vectors import linked_vectors
+
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group and the row that stays for every document."""
     from .exact import exact_groups
@@ -32,7 +53,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by its name."""
-    return {f.__name__: f for f in (op1_byte_bpe, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op6_exact_dedup)}
 
 
 ORACLE = {
