@@ -44,6 +44,13 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    from .shingles import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group and the row that stays for every document."""
     from .exact import exact_groups
@@ -53,7 +60,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by its name."""
-    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op5_minhash_dedup, op6_exact_dedup)}
 
 
 ORACLE = {
