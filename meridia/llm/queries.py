@@ -58,9 +58,23 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language and score of every document."""
+    from .language import with_languages
+
+    return with_languages(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    from .packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by its name."""
-    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op5_minhash_dedup, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op5_minhash_dedup, op6_exact_dedup, op7_language_id, op10_packing)}
 
 
 ORACLE = {
