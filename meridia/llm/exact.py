@@ -46,6 +46,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with their own columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
+    """The rows of docs that stay, with their own columns; the ids of those that go, fewer as a rule, are what is joined."""
+    gone = exact_groups(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_sha256").alias("__sha")).distinct()
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")) & (F.sha2(normalised(text_col), 256) == F.col("__sha"))
+    return docs.join(gone, same, "left_anti")

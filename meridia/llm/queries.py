@@ -65,6 +65,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from .wrappers import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that repeat across documents."""
     from .chunking import repeated_passages
@@ -81,7 +88,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by its name."""
-    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op5_minhash_dedup, op6_exact_dedup, op7_language_id, op9_substring_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_secret_scan, op3_warc, op4_embedding_dedup, op5_minhash_dedup, op6_exact_dedup, op7_language_id, op8_html_text, op9_substring_dedup, op10_packing)}
 
 
 ORACLE = {
