@@ -1 +1,16 @@
-"""Part of the library; see the package."""
+"""Named queries over the driver tables."""
+
+from __future__ import annotations
+
+from . import tables, texts, times  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+
+def queries() -> dict:
+    """Every query by name."""
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of those that it can express."""
+    return dict(ORACLES)
