@@ -38,7 +38,7 @@ SALTS = 32
 def subwords(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each subword length: buckets of all subwords of all texts, and the end of each text's share."""
     low = [t.lower() for t in texts]
-    joined = "\n".join(low) + "\n"
+    joined = "\n" + "\n".join(low) + "\n"  # a text begins with the sign before it, so that no window reaches into the next
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     letter = char_classes()[points] == LETTER
     stops = np.cumsum([len(t) + 1 for t in low])
