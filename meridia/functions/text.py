@@ -19,7 +19,7 @@ def slug(x: ColumnLike) -> Column:
 
 def listed(x: ColumnLike, sep: str = ";") -> Column:
     """The trimmed, non-blank parts of a separated list."""
-    return F.filter(F.transform(F.split(_c(x), sep), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(_c(x), sep), lambda v: F.trim(v)), lambda v: v != "")
 
 
 def safe_token(x: ColumnLike, default: str = "sample") -> Column:

@@ -146,11 +146,11 @@ def a02_pivot_last_value(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT l_returnflag, count(l_extendedprice) AS n, round(avg(l_extendedprice), 2) AS mean, round(stddev_samp(l_extendedprice), 2) AS sd, round(quantile_cont(l_extendedprice, 0.25), 2) AS q1,
-  round(quantile_cont(l_extendedprice, 0.5), 2) AS median, round(quantile_cont(l_extendedprice, 0.75), 2) AS q3 FROM lineitem GROUP BY 1""")
+SELECT l_returnflag, count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS sd, round(quantile_cont(l_extendedprice, 0.25), 4) AS q1,
+  round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.75), 4) AS q3 FROM lineitem GROUP BY 1""")
 def a03_numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Mean, spread and interpolated quantiles."""
-    return aggregates.describe_numbers(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", 2)
+    return aggregates.describe_numbers(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", 4)
 
 
 @query("""
