@@ -243,7 +243,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = found.filter("id IS NOT NULL")
     groups = _distinct_groups(_nodes(classes)).join(classes.select("id", "n", "sig"), "id")
     sketched = materialize(groups.groupBy("g").applyInArrow(_sketched, "path bigint, id bigint").distinct(), "sketched")
-    wanted = sketched.select("id").distinct()
+    wanted = sketched.select("id").distinct().hint("merge")  # it grows with the corpus: one plan at every size
     texts = rows.join(wanted, rows["doc_id"] == wanted["id"], "left_semi")
     sets = document_sets(texts).dropDuplicates(["doc_id"])
     full = sketched.join(sets, F.col("id") == F.col("doc_id")).drop("doc_id").join(classes.select("id", "sig"), "id")
