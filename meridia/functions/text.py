@@ -72,14 +72,26 @@ def coalesced_text(*cols: ColumnLike) -> Column:
     return F.coalesce(*[F.nullif(F.trim(_c(c)), F.lit("")) for c in cols])
 
 
+INDELS = "[+-](?:" + "|".join(f"{k}[^0-9].{{0,{k - 1}}}" for k in range(1, 100)) + ")"
+
+
 def pileup_counts(bases: ColumnLike, ref: ColumnLike, alt: ColumnLike) -> Column:
     """struct(ref, alt, other, deletion, skip) of a pileup's base string.
 
-    Read starts take a quality sign with them, and an indel as many bases as it says: its length is read digit by digit
-    while the array of signs is folded.
+    Read starts take a quality sign with them, and an indel as many bases as it says. Lengths up to 99 are alternatives of
+    one pattern; strings with longer indels are folded sign by sign.
     """
-    signs = F.filter(F.split(_c(bases), ""), lambda s: s != "")
     r, a = F.upper(_c(ref)), F.upper(_c(alt))
+    bare = F.upper(F.regexp_replace(F.regexp_replace(_c(bases), r"(?s)\^.", ""), INDELS, ""))
+    only = lambda signs: F.length(F.regexp_replace(bare, f"[^{signs}]", ""))
+    named = lambda b: F.length(bare) - F.length(F.replace(bare, b, F.lit("")))
+    n_ref, n_alt = named(r), F.when(a == r, 0).otherwise(named(a))
+    fast = F.struct((only(".,") + n_ref).alias("ref"), n_alt.alias("alt"), (only("ACGTN") - n_ref - n_alt).alias("other"), only("*#").alias("deletion"), only("<>").alias("skip"))
+    return F.when(_c(bases).rlike("[+-][0-9]{3}"), _pileup_fold(bases, r, a)).otherwise(fast)
+
+
+def _pileup_fold(bases: ColumnLike, r: Column, a: Column) -> Column:
+    signs = F.filter(F.split(_c(bases), ""), lambda s: s != "")
     start = F.struct(*[F.lit(0).alias(k) for k in ("ref", "alt", "other", "deletion", "skip", "jump")], F.lit(-1).alias("number"))
 
     def step(s: Column, ch: Column) -> Column:

@@ -12,10 +12,9 @@ from ..functions.text import pyrimidine_context
 
 def sbs96_contexts(spark: SparkSession) -> DataFrame:
     """(context): the 96 classes, as a product of six changes and two neighbours."""
-    bases = [("A",), ("C",), ("G",), ("T",)]
-    change = spark.createDataFrame([(r, a) for r in "CT" for a in "ACGT" if r != a], "r string, a string")
-    left, right = spark.createDataFrame(bases, "l string"), spark.createDataFrame(bases, "n string")
-    return change.crossJoin(left).crossJoin(right).select(F.concat("l", F.lit("["), "r", F.lit(">"), "a", F.lit("]"), "n").alias("context"))
+    one = lambda name, values: F.explode(F.array(*[F.lit(v) for v in values])).alias(name)
+    changes = spark.range(1, numPartitions=1).select(one("c", [f"{r}>{a}" for r in "CT" for a in "ACGT" if r != a]))
+    return changes.select("c", one("l", "ACGT")).select("c", "l", one("n", "ACGT")).select(F.concat("l", F.lit("["), "c", F.lit("]"), "n").alias("context"))
 
 
 def sbs96_matrix(variants: DataFrame, context: str = "context3", pass_fallback: bool = False, on_bad: str = "skip", check_ref: bool = False) -> DataFrame:

@@ -48,6 +48,9 @@ def test_sequences(spark):
         (".+12ACGTACGTACGTt", (1, 1, 0, 0, 0)),
         ("", (0, 0, 0, 0, 0)),
         ("^^.", (1, 0, 0, 0, 0)),
+        ("^+A-2gt,", (2, 0, 0, 0, 0)),
+        (".+101" + "A" * 101 + "T*", (1, 1, 0, 1, 0)),
+        (".+5AC", (1, 0, 0, 0, 0)),
     ],
 )
 def test_pileup(spark, bases, want):
