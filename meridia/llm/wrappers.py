@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slim
+from .common import materialize, slim
 
 # Names of HTML elements and the usual words for parts of a page that aren't its text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -285,7 +285,8 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """Per row: page_id, url, text, n_chars."""
     rows = slim(pages, page_id=id_col, url=url_col, html=html_col)
     rows = rows.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)))
-    known = host_wrappers(rows).select("host", "main")
+    # Written first: a join of two tables is one that AQE can split where a host is hot, or send out where wrappers are few.
+    known = materialize(host_wrappers(rows).select("host", "main"), "wrappers")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
