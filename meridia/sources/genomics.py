@@ -167,7 +167,12 @@ def duplicate_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def workbook(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, row, cells): the first sheet of XLSX files, cells as a map of column letters to text; shared strings resolved, gaps left out."""
+    """workbook_rows() of the files at a path."""
+    return workbook_rows(spark.read.format("binaryFile").load(path))
+
+
+def workbook_rows(files: DataFrame) -> DataFrame:
+    """(path, row, cells): the first sheet of XLSX files (path, content), cells as a map of column letters to text; shared strings resolved, gaps left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
@@ -193,7 +198,7 @@ def workbook(spark: SparkSession, path: str | list[str]) -> DataFrame:
                     rows.append((int(row.get("r", len(rows) + 1)), cells))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array([r for r, _ in rows], pa.int64()), pa.array([c for _, c in rows], kinds)], names=["path", "row", "cells"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, row bigint, cells map<string,string>")
+    return files.select("path", "content").mapInArrow(run, "path string, row bigint, cells map<string,string>")
 
 
 def column_index(letters: Column) -> Column:

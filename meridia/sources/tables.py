@@ -48,9 +48,9 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataF
     return spark.read.schema(schema).json(path)
 
 
-def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
-    """Elements of an XML file as rows."""
-    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str, one_a_line: bool = False) -> DataFrame:
+    """Elements of XML files as rows: whole documents, or an element a line, which Spark can split."""
+    return spark.read.format("xml").option("rowTag", row_tag).option("multiLine", not one_a_line).schema(schema).load(path)
 
 
 def digests(spark: SparkSession, path: str | list[str]) -> DataFrame:
