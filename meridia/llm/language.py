@@ -33,6 +33,7 @@ EPOCHS = 8
 RATE = 20.0
 LEAST_SHARE = 0.002  # of rightly labelled texts that may be rejected
 SALTS = 32
+PER_SALT = 64  # of a language's rows with one salt, in the first of two rounds of choosing; five times what is needed on average
 
 
 def subwords(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -137,7 +138,7 @@ def learned(docs: DataFrame) -> Model:
     labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL AND NOT held_out").select("doc_id", "lang")
     rank = F.xxhash64(F.lit(29), "doc_id")
     salted = labelled.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    few = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(rank, "doc_id"))).filter(F.col("r") <= PER_LANGUAGE)
+    few = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(rank, "doc_id"))).filter(F.col("r") <= PER_SALT)
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))).filter(F.col("r") <= PER_LANGUAGE)
     sample = materialize(few.select("doc_id", "lang"), "sample")  # at most PER_LANGUAGE rows a language
     names = [r.lang for r in sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()]
