@@ -4,7 +4,8 @@ A text's letters, lower-cased, give subwords of one to four signs, each hashed i
 The mean of a text's rows goes through a linear layer to a softmax over the languages seen in training. Both are trained by
 stochastic gradient descent in numpy, on the driver, on a sample of at most PER_LANGUAGE texts for each of at most LANGUAGES
 languages; the features of that sample are computed by Spark from whole texts. A fifth of the sample is set aside to fit the
-softmax's temperature and the score below which a prediction is rejected. Prediction reads every row's whole text in its
+softmax's temperature and the score below which a prediction is rejected, which stays close to an even guess: a mixed or short
+text keeps its likeliest language. Prediction reads every row's whole text in its
 partition, without a shuffle.
 
 Defined cases: a null text or one without letters is `und` with score 0 and is rejected; rows with a null id are predicted but
@@ -32,6 +33,7 @@ LANGUAGES = 200
 EPOCHS = 8
 RATE = 20.0
 LEAST_SHARE = 0.002  # of rightly labelled texts that may be rejected
+CHANCE = 1.2  # a score of more than this times an even guess over the languages is never rejected
 SALTS = 32
 PER_SALT = 64  # of a language's rows with one salt, in the first of two rounds of choosing; five times what is needed on average
 
@@ -129,7 +131,7 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epoc
     p = softmax(z / model.temperature)
     right = p.argmax(1) == y[held]
     if right.any():
-        model.least = min(0.5, 0.9 * float(np.quantile(p.max(1)[right], LEAST_SHARE)))
+        model.least = min(CHANCE / max(2, len(languages)), 0.9 * float(np.quantile(p.max(1)[right], LEAST_SHARE)))
     return model
 
 
