@@ -32,9 +32,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = hashed.groupBy("h").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     several = hashed.join(groups.filter("group_size > 1"), "h").select("doc_id", "h", "keep_id")
     # Bytes inside groups: every text of a group against the text of its smallest id.
-    members = several.distinct()
-    texts = rows.join(members.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own"))).filter(F.unhex(F.md5("text")) == F.col("h"))
-    first = texts.filter("doc_id <=> keep_id").groupBy("h").agg(F.min("text").alias("first_text"))
+    # Both sides are written first: they are few, texts move once, and AQE can split the join where a group is hot.
+    members = several.distinct().withColumnRenamed("doc_id", "own")
+    found = rows.join(members, F.col("doc_id").eqNullSafe(F.col("own"))).filter(F.unhex(F.md5("text")) == F.col("h"))
+    texts = materialize(found.select("doc_id", "h", "keep_id", "text"), "texts")
+    first = materialize(texts.filter("doc_id <=> keep_id").groupBy("h").agg(F.min("text").alias("first_text")), "first")
     apart = texts.join(first, "h").filter("text <> first_text").select("h", "text", "doc_id")
     strays = apart.groupBy("h", "text").agg(F.min("doc_id").alias("stray_keep"), F.count("*").alias("stray_size"))
     strays = materialize(strays.select("h", F.sha2("text", 256).alias("stray_sha"), "stray_keep", "stray_size"), "strays")
