@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,7 @@ CHUNK_CHARS = 4_000_000  # bytes of text held as words at once
 KEEP_WORDS = 1_000_000  # words remembered from chunk to chunk
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
+CUT = re.compile(r"\S(?=[ \n])")
 
 
 @lru_cache(1)
@@ -237,6 +239,15 @@ def _upto(x: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A text cut after about CHUNK_CHARS where a blank follows another sign: a match of the pattern always begins there."""
+    at = 0
+    while len(text) - at > CHUNK_CHARS and (m := CUT.search(text, at + CHUNK_CHARS)):
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:]
+
+
 @lru_cache(1)
 def _powers() -> tuple[np.ndarray, ...]:
     """Two odd multipliers' powers modulo 2**64, and those of their inverses, as far as a chunk may go at first."""
@@ -285,7 +296,17 @@ class Encoder:
         self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and how many each text has."""
+        """The ids of all texts one after another, and how many each text has. A very long text is taken piece by piece."""
+        if not any(len(t) > CHUNK_CHARS for t in texts):
+            return self._encode_flat(texts)
+        found, counts = [], []
+        for t in texts:
+            parts = [self._encode_flat([p])[0] for p in pieces(t)]
+            found += parts
+            counts.append(sum(map(len, parts)))
+        return np.concatenate(found), np.array(counts, np.int64)
+
+    def _encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.keys) > KEEP_WORDS:
             self._forget()
         points, ends, per_text = split_words(texts)

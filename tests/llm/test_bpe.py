@@ -48,7 +48,10 @@ def test_long_text_beyond_a_chunk(truth, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK_CHARS", 1000)
     bpe._powers.cache_clear()
     text = " ".join(odd_texts(200))
-    assert bpe.Encoder(PATH).encode([text])[0].tolist() == truth.encode_ordinary(text)
+    solid = "".join(text.split())  # no blank to cut at
+    assert len(list(bpe.pieces(text))) > 2 and "".join(bpe.pieces(text)) == text
+    texts = [text, "", solid, "short one"]
+    assert [x.tolist() for x in bpe.Encoder(PATH).encode(texts)] == [truth.encode_ordinary(t) for t in texts]
     bpe._powers.cache_clear()
 
 
