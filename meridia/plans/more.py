@@ -382,3 +382,66 @@ def s28_counts_by_contig(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("n"))
     path = _lines(n, _tabs("l_linenumber", F.lit(1000), "n", F.lit(0)), "idxstats")
     return genomics.idxstats(spark, path).select(F.col("contig").cast("long").alias("contig"), F.col("mapped").alias("n"))
+
+
+@query("""
+SELECT event_id, failures::BIGINT AS failures, least(900000, 30000 * pow(2, failures - 1))::BIGINT AS wait_ms FROM (
+  SELECT event_id, event_type, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS failures FROM (
+    SELECT *, count(*) FILTER (event_type <> 'error') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM events)) WHERE event_type = 'error'""")
+def t11_retry_backoff(spark: SparkSession, sf: str) -> DataFrame:
+    """Failures in a row and the wait before the next try."""
+    from ..streaming.progress import retry_backoff
+
+    e = table(spark, sf, "events").withColumn("failed", F.col("event_type") == "error")
+    return retry_backoff(e, ["user_id"], "failed", "ts", "event_id").select("event_id", "failures", "wait_ms")
+
+
+@query("""
+SELECT p_partkey, round(p_size / 2, 0) AS up, round_even(p_size / 2, 0) AS even, strftime(TIMESTAMP '2024-01-01' + to_days(p_size), '%Y-%m-%d') AS day FROM part""")
+def m01_rounding(spark: SparkSession, sf: str) -> DataFrame:
+    """Rounding half up and half to even, and the day a ledger is kept under."""
+    half = F.col("p_size") / 2
+    return table(spark, sf, "part").select("p_partkey", F.round(half, 0).alias("up"), F.bround(half, 0).alias("even"), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd").alias("day"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN n IS NULL THEN 'absent' WHEN n > 3 THEN 'invalid' ELSE 'present' END AS state, coalesce(n, 0) || ' of 3 waiting' AS shown FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'P') AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def p61_sheet_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Absent, invalid or present by counts of findings, with a shown metric."""
+    n = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count_if(F.col("o_orderstatus") == "P").alias("n"))
+    state = F.when(F.col("n").isNull(), "absent").when(F.col("n") > 3, "invalid").otherwise("present")
+    out = relational.lookup(table(spark, sf, "customer").select("c_custkey"), n, ["c_custkey"])
+    return out.select("c_custkey", state.alias("state"), F.format_string("%d of 3 waiting", F.coalesce("n", F.lit(0))).alias("shown"))
+
+
+@query("SELECT 'number of ' || p_type AS key, count(*)::DOUBLE AS value FROM part GROUP BY 1")
+def s19_summary_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """The SN lines of a variant summary."""
+    n = table(spark, sf, "part").groupBy("p_type").agg(F.count("*").alias("n"))
+    line = _tabs(F.lit("SN"), F.lit(0), F.concat(F.lit("number of "), "p_type", F.lit(":")), "n")
+    return genomics.summary_numbers(spark, _lines(n, line, "stats"))
+
+
+@query("SELECT r_name AS key, 0 AS page, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 15 UNION ALL SELECT r_name, 1, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 15")
+def s53_paged_source(spark: SparkSession, sf: str) -> DataFrame:
+    """A paged source read key by key in the executors, from pages staged in the shared folder."""
+    import json
+
+    from pyarrow import fs
+
+    from ..sources.rest import RestDataSource
+
+    spark.dataSource.register(RestDataSource)
+    base = _place(spark, "staged")
+    url = base if "://" in base else f"file://{base}"
+    files, root = fs.FileSystem.from_uri(url)
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    pages = nations.groupBy("r_name", (F.col("n_nationkey") >= 15).cast("int").alias("page")).agg(F.collect_list("n_name").alias("names"))
+    staged = pages.collect()  # two pages for each of five regions
+    for r in staged:
+        files.create_dir(f"{root}/{r.r_name}", recursive=True)
+        with files.open_output_stream(f"{root}/{r.r_name}/{r.page}.json") as f:
+            f.write(json.dumps({"data": {"items": [{"n": n} for n in r.names]}}).encode())
+    keys = json.dumps(sorted({r.r_name for r in staged}))
+    got = spark.read.format("meridia_rest").options(url=url, keys=keys, records="data.items", fetch="meridia.sources.rest:staged_fetch").load()
+    return got.select("key", "page", js.at_path("record", "n").alias("n_name"))

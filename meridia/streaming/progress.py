@@ -68,6 +68,17 @@ def arrival_order_state(stream: DataFrame, key: str) -> DataFrame:
     return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, position bigint, active boolean, updates bigint", "position bigint, active boolean, seen bigint, n bigint", "update", GroupStateTimeout.NoTimeout)
 
 
+def retry_backoff(rows: DataFrame, keys: list[str], failed: str, ts: str, tie: str) -> DataFrame:
+    """Failed events with how many failures in a row they end, and the wait before the next try."""
+    from ..functions.dates import backoff_ms
+
+    order = Window.partitionBy(*keys).orderBy(ts, tie)
+    run = F.sum(F.when(F.col(failed), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = rows.withColumn("_run", run)
+    nth = F.sum(F.when(F.col(failed), 1).otherwise(0)).over(Window.partitionBy(*keys, "_run").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0))
+    return numbered.withColumn("failures", nth).filter(F.col(failed)).withColumn("wait_ms", backoff_ms("failures")).drop("_run")
+
+
 def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Handles what has arrived, in micro-batches, and stops. A batch that is run again must leave the same result: sinks go by its number."""
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
