@@ -29,8 +29,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = slim(docs, doc_id=id_col, text=text_col).select("doc_id", normalised("text").alias("text"))
     hashed = materialize(rows.select("doc_id", F.unhex(F.md5("text")).alias("h"), F.sha2("text", 256).alias("text_sha256")), "hashed")
-    groups = hashed.groupBy("h").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    several = hashed.join(groups.filter("group_size > 1"), "h").select("doc_id", "h", "keep_id")
+    counted = hashed.groupBy("h").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = materialize(counted.filter("group_size > 1"), "groups")
+    several = hashed.join(groups, "h").select("doc_id", "h", "keep_id")
     # Bytes inside groups: every text of a group against the text of its smallest id.
     # Both sides are written first: they are few, texts move once, and AQE can split the join where a group is hot.
     members = several.distinct().withColumnRenamed("doc_id", "own")
@@ -41,9 +42,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     strays = apart.groupBy("h", "text").agg(F.min("doc_id").alias("stray_keep"), F.count("*").alias("stray_size"))
     strays = materialize(strays.select("h", F.sha2("text", 256).alias("stray_sha"), "stray_keep", "stray_size"), "strays")
     moved = strays.groupBy("h").agg(F.sum("stray_size").alias("moved"))
-    out = hashed.join(groups, "h").join(moved, "h", "left").join(strays, (hashed.h == strays.h) & (hashed.text_sha256 == strays.stray_sha), "left")
-    keep = F.when(F.col("stray_size").isNotNull(), F.col("stray_keep")).otherwise(F.col("keep_id"))
-    size = F.coalesce("stray_size", F.col("group_size") - F.coalesce("moved", F.lit(0)))
+    out = hashed.join(groups, "h", "left").join(moved, "h", "left").join(strays, (hashed.h == strays.h) & (hashed.text_sha256 == strays.stray_sha), "left")
+    keep = F.when(F.col("stray_size").isNotNull(), F.col("stray_keep")).when(F.col("group_size").isNotNull(), F.col("keep_id")).otherwise(F.col("doc_id"))
+    size = F.coalesce("stray_size", F.col("group_size") - F.coalesce("moved", F.lit(0)), F.lit(1).cast("long"))
     return out.select("doc_id", keep.alias("keep_id"), size.alias("group_size"), F.coalesce(F.col("doc_id") == keep, keep.isNull()).alias("kept"), "text_sha256")
 
 
