@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import aggregates, evidence, intervals, quality, relational, windows
+from ..operators import evidence, intervals, quality, relational, windows
 from ..streaming import progress
 from .registry import query, table
 

@@ -11,10 +11,8 @@ from meridia.functions import dates, json as js, numeric, rules, text
 
 
 def one(spark, col, **values):
-    names = list(values)
     schema = ", ".join(f"{n} {'double' if isinstance(v, float) else 'long' if isinstance(v, int) else 'string'}" for n, v in values.items()) or "z int"
     row = tuple(values.values()) or (1,)
-    del names
     return spark.createDataFrame([row], schema).select(col.alias("r")).first()["r"]
 
 

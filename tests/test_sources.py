@@ -128,9 +128,6 @@ def test_arrival_order_state(spark, tmp_path):
         for r in batch.collect():
             out[r.job] = (r.position, r.active, r.updates)
 
-    for i in range(3):
-        stream = spark.readStream.schema(schema).parquet(str(src / f"f{i}"))
-        del stream
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src / "*"))
     progress.run_available(progress.arrival_order_state(stream, "job"), str(tmp_path / "cp"), sink, "update")
     assert out["j"][0] == 40
