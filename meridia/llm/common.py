@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_WRITTEN: list[DataFrame] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named input table, whole."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,9 +36,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._meridia_path = path
+    _WRITTEN.append(out)
     return out
 
 
+def release() -> int:
+    """Removes all tables that materialize() has written in this process, once results that read them are themselves written; says how many."""
+    n = len(_WRITTEN)
+    discard(*_WRITTEN)
+    _WRITTEN.clear()
+    return n
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Removes tables written by materialize() that nothing reads any more."""
     for x in tables:
