@@ -2,7 +2,8 @@
 
 Texts are equal when they are identical after each run of white space (U+0020, U+0009 to U+000D) has become one space.
 Only built-in functions run here. A group's smallest id and size come from a partial aggregation, so a hot group is summed
-before it is shuffled; texts move only for groups of two and more, and each is compared with its group's first text by an
+before it is shuffled; groups of two and more are written first, so that each join with them is one that AQE can split. Texts move
+only for these, and each is compared with its group's first text by an
 equi join, which AQE splits where a group is hot. Texts that share a hash but not their bytes form classes of their own.
 
 Defined cases: null text is empty, and all empty texts are equal; rows that repeat an id are rows of their own, of which
