@@ -158,17 +158,46 @@ def sketch_groups(ids: np.ndarray, sizes: np.ndarray, sigs: np.ndarray) -> list[
     return [m for m in out if len(m) > 1]
 
 
+class Postings:
+    """Which rows of a node hold each shingle, to count a row's common shingles with all others at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = np.array([len(s) for s in sets])
+        _, self.token = np.unique(np.concatenate(sets), return_inverse=True)
+        self.stop = np.cumsum(sizes)
+        self.row = np.repeat(np.arange(len(sets)), sizes)[np.argsort(self.token, kind="stable")]
+        self.count = np.bincount(self.token)
+        self.first = np.cumsum(self.count) - self.count
+        self.rows = len(sets)
+
+    def common(self, i: int) -> np.ndarray:
+        """Common shingles of row i with every row."""
+        token = self.token[self.stop[i - 1] if i else 0 : self.stop[i]]
+        n = self.count[token]
+        at = np.repeat(self.first[token] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.row[at], minlength=self.rows)
+
+
 def spanning_links(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray) -> list[tuple[int, int]]:
     """Links that span each cluster of the rows; pairs in one cluster already aren't compared."""
     n = len(ids)
     label = np.arange(n)
     sizes = np.array([len(s) for s in sets])
+    postings: Postings | None = None
     out = []
     for i in range(n):
-        near = (np.minimum(sizes, sizes[i]) * 100 >= PERCENT * np.maximum(sizes, sizes[i])) & ((sigs == sigs[i]).sum(1) >= SKETCH_LEAST)
-        near[: i + 1] = False
-        for j in np.flatnonzero(near & (label != label[i])).tolist():
-            if label[j] != label[i] and linked(sets[i], sets[j]):
+        open_ = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        fit = np.minimum(sizes[open_], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[open_], sizes[i])
+        open_ = open_[fit]
+        near = open_[(sigs[open_] == sigs[i]).sum(1) >= SKETCH_LEAST]
+        if len(near) > 8:
+            postings = postings or Postings(sets)
+            same = postings.common(i)[near]
+            near = near[100 * same >= PERCENT * (sizes[near] + sizes[i] - same)]
+        else:
+            near = [j for j in near.tolist() if linked(sets[i], sets[j])]
+        for j in map(int, near):
+            if label[j] != label[i]:
                 out.append((int(ids[i]), int(ids[j])))
                 label[label == label[j]] = label[i]
     return out
