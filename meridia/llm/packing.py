@@ -1,11 +1,15 @@
 """Operator 10: packing by lexical retrieval.
 
 Documents become token ids, each ended by id 0. Whole windows of a document are sequences of their own; what is left over is a
-unit. Units are dealt into shards of about SHARD units by a hash of their place, so that no key can make a shard large. Each
-shard holds an inverted index of its units with BM25 impacts (document frequencies over all units, a vector as long as the
-vocabulary). A seed's heaviest terms are looked up, and the unused neighbours fill its window from the best one on; the last
-is cut at the window's end, and its rest is the next seed. What a shard has left for its last window is cut into sequences of
-powers of two, which need no padding.
+unit. Units are packed in rounds. In each, a part of the units drawn by hash are seeds. The others, in blocks, are one inverted
+index with BM25 impacts (document frequencies over all units, a vector as long as the vocabulary), and every seed's terms, all of
+them, are put to every block: a seed finds its best units wherever in the corpus they are. A unit goes to the seed that scores it
+highest, and fills its window after those with higher scores; the last is cut at the window's end. Full windows are done. What
+isn't full is one unit, and so is a rest, and both take part in the next round. Scores within JITTER of each other are equal, so
+that copies don't all want the same unit. When no more than SHARD units are open, one index packs them, and what is left for the
+last window is cut into sequences of powers of two, which need no padding.
+
+The work of a round is seeds times units: it grows with the square of the input.
 
 Defined cases: null text is empty, and an empty document is id 0 alone; repeated rows and rows with a null id are packed each
 on its own; an empty table gives an empty result; other columns are ignored.
@@ -23,13 +27,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import Encoder, Merges, chunks
-from .common import materialize, slim
+from .common import discard, materialize, slim
 
 WINDOW = 1024
 SHARD = 2048
-QUERY_TERMS = 32
+QUERY_TERMS = None  # all
+BLOCK = 8192
+BEST = 8
+JITTER = 1e-4
+STALLED = 5
 K1, B = 1.2, 0.75
 END = 0
 
@@ -124,7 +133,7 @@ class ShardIndex:
         self.last = np.searchsorted(term[order], np.arange(len(df)), "right")
 
     def neighbours(self, unit: int, unused: np.ndarray) -> np.ndarray:
-        """Unused units that share the seed's heaviest terms, best first; ties by place."""
+        """Unused units that share terms with the seed, best first; ties by place."""
         t, c = self.terms[unit]
         top = t[np.argsort(-(self.idf[t] * c), kind="stable")[:QUERY_TERMS]]
         spans = [slice(self.first[x], self.last[x]) for x in top.tolist()]
@@ -194,34 +203,205 @@ def pack_shard(bodies: list[np.ndarray], df: np.ndarray, window: int = WINDOW) -
     return out
 
 
+def block_scores(count: np.ndarray, term: np.ndarray, docs: dict[str, np.ndarray], df: np.ndarray, step: int = 512) -> Iterator[tuple[int, np.ndarray]]:
+    """BM25 scores of a block's units for seeds with their distinct terms, a few seeds at a time: (first seed, seeds x units).
+
+    Terms that many units hold are a matrix product; the postings of the others are summed.
+    """
+    total, units_ = max(1, int(df[-2])), max(1, int(df[-1]))
+    n = len(docs["count"])
+    idf = np.log(1 + (units_ - df + 0.5) / (df + 0.5))
+    unit, tf = np.repeat(np.arange(n), docs["count"]), docs["tf"]
+    impact = idf[docs["term"]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * docs["length"][unit] * units_ / total))
+    order = np.argsort(docs["term"], kind="stable")
+    unit, impact, held = unit[order], impact[order], np.bincount(docs["term"], minlength=len(df))
+    first = np.cumsum(held) - held
+    common = np.flatnonzero(held * 32 > n)
+    column = np.full(len(df), -1)
+    column[common] = np.arange(len(common))
+    dense = np.zeros((len(common), n), np.float32)
+    for c, t in enumerate(common.tolist()):
+        dense[c, unit[first[t] : first[t] + held[t]]] = impact[first[t] : first[t] + held[t]]
+    stops = np.concatenate(([0], np.cumsum(count)))
+    for at in range(0, len(count), step):
+        end = min(at + step, len(count))
+        own = term[stops[at] : stops[end]]
+        row = np.repeat(np.arange(end - at), count[at:end])
+        asked = np.zeros((end - at, len(common)), np.float32)
+        wide = column[own] >= 0
+        asked[row[wide], column[own[wide]]] = 1
+        score = asked @ dense
+        own, row = own[~wide], row[~wide]
+        many = held[own]
+        place = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        score += np.bincount(np.repeat(row, many) * n + unit[place], impact[place], (end - at) * n).reshape(-1, n)
+        yield at, score
+
+
+def blocks(pool: DataFrame) -> DataFrame:
+    """Units (u, ids, seed) as rows of up to BLOCK units of a kind, with their distinct terms in one array."""
+    names = ("unit", "count", "length", "term", "tf")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list] = {True: [], False: []}
+
+        def out(seed: bool) -> pa.RecordBatch:
+            rows = held[seed]
+            flat = [[r[0] for r in rows], [len(r[2]) for r in rows], [r[1] for r in rows], np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])]
+            cols = {k: pa.array([np.asarray(v, "<i8" if k == "unit" else "<i4").tobytes()], pa.binary()) for k, v in zip(names, flat, strict=True)}
+            held[seed] = []
+            return pa.RecordBatch.from_pydict({"seed": pa.array([seed]), **cols})
+
+        for batch in batches:
+            for u, ids, seed in zip(batch.column("u").to_pylist(), batch.column("ids"), batch.column("seed").to_pylist(), strict=True):
+                body = np.frombuffer(ids.as_py(), "<i4")
+                held[seed].append((u, len(body), *np.unique(body, return_counts=True)))
+                if len(held[seed]) == BLOCK:
+                    yield out(seed)
+        for seed in (True, False):
+            if held[seed]:
+                yield out(seed)
+
+    return pool.select("u", "ids", "seed").mapInArrow(run, "seed boolean, " + ", ".join(f"{k} binary" for k in names))
+
+
+def best_units(made: DataFrame, df: np.ndarray) -> DataFrame:
+    """(seed, unit, score): the BEST units of each seed among those a task holds, all tasks together hold all units; made is from blocks()."""
+    names = ("unit", "count", "length", "term", "tf")
+    left = made.filter("seed").select(*[F.col(k).alias(f"s_{k}") for k in ("unit", "count", "term")])
+    pairs = left.crossJoin(made.filter("NOT seed").select(*[F.col(k).alias(f"d_{k}") for k in names]))
+
+    def merged(top: list[np.ndarray], row: np.ndarray, unit: np.ndarray, score: np.ndarray) -> None:
+        """Puts new candidates into top (units and scores, seeds x BEST)."""
+        n = len(top[0])
+        row = np.concatenate((np.repeat(np.arange(n), BEST), row))
+        unit, score = np.concatenate((top[0].ravel(), unit)), np.concatenate((top[1].ravel(), score))
+        order = np.lexsort((unit, -score, row))
+        begin = np.searchsorted(row[order], np.arange(n))
+        keep = order[(begin[:, None] + np.arange(BEST)).ravel()]
+        top[0][:], top[1][:] = unit[keep].reshape(n, BEST), score[keep].reshape(n, BEST)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tops: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
+        for batch in batches:
+            for r in range(batch.num_rows):
+                x = {k: np.frombuffer(batch.column(k)[r].as_py(), "<i8" if k.endswith("unit") else "<i4") for k in batch.schema.names}
+                seeds, unit = x["s_unit"], x["d_unit"]
+                seeds, top = tops.setdefault(int(seeds[0]), (seeds, [np.full((len(seeds), BEST), -1), np.zeros((len(seeds), BEST), np.float32)]))
+                for at, score in block_scores(x["s_count"], x["s_term"], {k: x[f"d_{k}"] for k in names}, df):
+                    score *= 1 - np.float32(JITTER) * np.random.default_rng([int(seeds[at]), int(unit[0])]).random(len(unit), np.float32)
+                    own = [top[0][at : at + len(score)], top[1][at : at + len(score)]]
+                    if own[1].any() or len(unit) <= BEST:
+                        row, col = np.nonzero(score > own[1][:, -1:])
+                    else:
+                        col = np.argpartition(score, len(unit) - BEST, axis=1)[:, -BEST:].ravel()
+                        row = np.repeat(np.arange(len(score)), BEST)
+                    merged(own, row, unit[col], score[row, col])
+        for seeds, (units_, scores) in tops.values():
+            row, col = np.nonzero(scores > 0)
+            yield pa.RecordBatch.from_pydict({"seed": pa.array(seeds[row]), "unit": pa.array(units_[row, col]), "score": pa.array(scores[row, col])})
+
+    return pairs.mapInArrow(run, "seed bigint, unit bigint, score float")
+
+
+def cut(row: dict, a: int, n: int) -> dict:
+    """The part of a unit of one or more documents' pieces from place a on, n ids long."""
+    out = {"u": row["u"], "ids": row["ids"][a : a + n], "docs": [], "starts": [], "lens": [], "totals": []}
+    at = 0
+    for doc, start, size, total in zip(row["docs"], row["starts"], row["lens"], row["totals"], strict=True):
+        low, high = max(a, at), min(a + n, at + size)
+        if low < high:
+            out["docs"].append(doc)
+            out["starts"].append(start + low - at)
+            out["lens"].append(high - low)
+            out["totals"].append(total)
+        at += size
+    return out
+
+
+def joined(rows: list[dict]) -> dict:
+    """Units as one, under the first one's number."""
+    return {"u": rows[0]["u"], "ids": np.concatenate([r["ids"] for r in rows]), **{k: [x for r in rows for x in r[k]] for k in ("docs", "starts", "lens", "totals")}}
+
+
+def done(row: dict, sequence: int, offset: int = 0) -> dict:
+    """A unit as pieces of a sequence."""
+    offs = np.cumsum([0, *row["lens"]]).tolist()
+    crcs = [crc(row["ids"][a:b]) for a, b in zip(offs, offs[1:])]  # noqa: B905
+    return {**row, "u": sequence, "ids": None, "crcs": crcs, "offs": [offset + a for a in offs[:-1]]}
+
+
+def filled(rows: list[dict], window: int) -> list[dict]:
+    """A seed and the units that go to it, best first: the full window, and what is open."""
+    took, room = [], window
+    while rows and room:
+        took.append(rows[0])
+        room -= len(rows[0]["ids"])
+        if room >= 0:
+            rows = rows[1:]
+        else:
+            n = len(rows[0]["ids"]) + room
+            took[-1], rows, room = cut(rows[0], 0, n), [cut(rows[0], n, -room), *rows[1:]], 0
+    whole = joined(took)
+    return [whole if room else done(whole, whole["u"]), *rows]
+
+
 def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     pieces = materialize(units(slim(docs, doc_id=id_col, text=text_col), path, window), "units")
     kind = docs.schema[id_col].dataType.simpleString()
     left = pieces.filter("ids IS NOT NULL")
     df = frequencies(left)
-    shards = max(1, -(-int(df[-1]) // SHARD))
-
-    def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by("sequence_id")
-        bodies = [np.frombuffer(x.as_py(), "<i4") for x in group.column("ids")]
-        rows = pack_shard(bodies, df, window)
-        unit = pa.array([r[0] for r in rows], pa.int64())
-        base = group.column("start").to_numpy()
-        first = (1 << 62) + (int(group.column("shard")[0].as_py()) << 32)
-        return pa.table(
-            {
-                "doc_id": group.column("doc_id").take(unit),
-                "start": pa.array([int(base[u]) + a for u, a, _, _, _ in rows], pa.int64()),
-                "length": pa.array([r[2] for r in rows], pa.int64()),
-                "ids_crc32": pa.array([crc(bodies[u][a : a + n]) for u, a, n, _, _ in rows], pa.int64()),
-                "doc_tokens": group.column("doc_tokens").take(unit),
-                "sequence_id": pa.array([first + r[3] for r in rows], pa.int64()),
-                "offset": pa.array([r[4] for r in rows], pa.int64()),
-            }
-        )
-
-    dealt = left.withColumn("shard", F.pmod(F.xxhash64("sequence_id"), F.lit(shards)))
-    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+    schema = f"u bigint, ids binary, docs array<{kind}>, starts array<bigint>, lens array<bigint>, totals array<bigint>, crcs array<bigint>, offs array<bigint>"
+    of = {"docs": "doc_id", "starts": "start", "lens": "length", "totals": "doc_tokens"}
+
+    def read(group: pa.Table) -> list[dict]:
+        rows = group.to_pylist()
+        for r in rows:
+            r["ids"] = np.frombuffer(r["ids"], "<i4")
+        return rows
+
+    def written(rows: list[dict]) -> pa.Table:
+        # document ids of any kind: from Python values by the type that Spark gave
+        types = {"u": pa.int64(), "ids": pa.binary(), "docs": pa.list_(doc_type), **{k: pa.list_(pa.int64()) for k in ("starts", "lens", "totals", "crcs", "offs")}}
+        cols = {k: [r.get(k) for r in rows] for k in types}
+        cols["ids"] = [None if x is None else x.tobytes() for x in cols["ids"]]
+        return pa.table({k: pa.array(v, types[k]) for k, v in cols.items()})
+
+    def fill(group: pa.Table) -> pa.Table:
+        by: dict[int, list[dict]] = {}
+        for r in sorted(read(group), key=lambda r: (r["key"], r["u"] != r["key"], -(r["score"] or 0), r["u"])):
+            by.setdefault(r["key"], []).append(r)
+        return written([x for rows in by.values() for x in filled(rows, window)])
+
+    def last(group: pa.Table) -> pa.Table:
+        rows = sorted(read(group), key=lambda r: r["u"])
+        first = (1 << 62) + (int(rows[0]["key"]) << 32)
+        return written([done(cut(rows[i], a, n), first + sequence, offset) for i, a, n, sequence, offset in pack_shard([r["ids"] for r in rows], df, window)])
+
+    doc_type = to_arrow_type(docs.schema[id_col].dataType)
+    pool = left.select(F.col("sequence_id").alias("u"), "ids", *[F.array(v).alias(k) for k, v in of.items()])
+    ends, turn, stalled, n, tokens = [], 0, 0, int(df[-1]), int(df[-2])
+    while n > SHARD and stalled < STALLED:
+        share = int(1000 * min(0.5, max(0.1, tokens / n / window)))
+        pool = pool.withColumn("seed", F.pmod(F.xxhash64("u", F.lit(turn)), F.lit(1000)) < share)
+        made = materialize(blocks(pool), "blocks")
+        found = best_units(made, df).groupBy(F.col("unit").alias("u")).agg(F.max(F.struct("score", (-F.col("seed")).alias("seed"))).alias("x"))
+        found = materialize(found.select("u", F.col("x.score").alias("score"), (-F.col("x.seed")).alias("to")), "chosen")
+        dealt = pool.drop("seed").join(found, "u", "left").withColumn("key", F.coalesce("to", "u")).drop("to")
+        dealt = dealt.groupBy(F.pmod(F.xxhash64("key"), F.lit(-(-n // SHARD))).alias("shard"))
+        step = materialize(dealt.applyInArrow(fill, schema), "windows")
+        discard(made, found)
+        ends.append(step.filter("ids IS NULL"))
+        pool = step.filter("ids IS NOT NULL").drop("crcs", "offs")
+        was = n
+        n, tokens = pool.agg(F.count("*"), F.coalesce(F.sum(F.length("ids")), F.lit(0)) / 4).first()
+        turn, stalled = turn + 1, 0 if n < was else stalled + 1
+    # what no seed shares a term with, round after round, could be more than a shard
+    rest = pool.withColumn("key", F.pmod(F.xxhash64("u"), F.lit(max(1, -(-n // SHARD)))))
+    ends.append(rest.groupBy("key").applyInArrow(last, schema))
     whole = pieces.filter("ids IS NULL").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
-    return whole.unionByName(dealt.groupBy("shard").applyInArrow(pack, schema))
+    for x in ends:
+        at = x.select("u", F.explode(F.arrays_zip("docs", "starts", "lens", "totals", "crcs", "offs")).alias("p"))
+        whole = whole.unionByName(at.select(F.col("p.docs").alias("doc_id"), F.col("p.starts").alias("start"), F.col("p.lens").alias("length"), F.col("p.crcs").alias("ids_crc32"), F.col("p.totals").alias("doc_tokens"), F.col("u").alias("sequence_id"), F.col("p.offs").alias("offset")))
+    return whole

@@ -106,3 +106,44 @@ def test_pack_shard_places_every_id_once():
     out = packing.pack_shard(bodies, df)
     assert sum(p[2] for p in out) == sum(map(len, bodies))
     assert packing.pack_shard([], df) == []
+
+
+def test_related_units_meet_wherever_they_are(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 10)
+    rng = random.Random(5)
+
+    def words(letters, k):
+        return ["".join(rng.choice(letters) for _ in range(6)) for _ in range(k)]
+
+    # 60 pairs, each with words of its own, that together fill more than a window
+    rows = []
+    for k in range(60):
+        own = words("bcdfghjklmnp", 40)
+        for i in (k, k + 60):
+            rows.append((i, " ".join(rng.choice(own) for _ in range(170))))
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, set()).add(r.doc_id)
+    together = sum(any({k, k + 60} <= x for x in by.values()) for k in range(60))
+    assert together >= 25  # a pair of two seeds or two others can't meet in the first round
+
+
+def test_block_scores_are_plain_bm25():
+    rng = np.random.default_rng(3)
+    bodies = [np.concatenate((rng.integers(1, 9, 5), rng.integers(9, 900, rng.integers(5, 40)))).astype("<i4") for _ in range(90)]
+    df = np.zeros(902, np.int64)
+    for b in bodies:
+        df[np.unique(b)] += 1
+    df[-1], df[-2] = len(bodies), sum(map(len, bodies))
+    parts = [np.unique(b, return_counts=True) for b in bodies]
+    count = np.array([len(t) for t, _ in parts])
+    docs = {"count": count, "length": np.array([len(b) for b in bodies]), "term": np.concatenate([t for t, _ in parts]), "tf": np.concatenate([c for _, c in parts])}
+    got = np.concatenate([s for _, s in packing.block_scores(count, docs["term"], docs, df, 16)])
+    mean = df[-2] / len(bodies)
+    for i in (0, 41, 89):
+        for j in range(90):
+            both = np.intersect1d(bodies[i], bodies[j])
+            f = np.array([(bodies[j] == x).sum() for x in both])
+            want = (np.log(1 + (90 - df[both] + 0.5) / (df[both] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(bodies[j]) / mean))).sum()
+            assert abs(got[i, j] - want) < 1e-3
