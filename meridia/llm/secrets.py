@@ -1,8 +1,9 @@
 """Operator 2: secret scan with a recursive decoding worklist.
 
 Three base patterns run over the whole text. Then a worklist unwraps layers: percent escapes and Unicode escapes (the
-layer with all of them decoded), base64 runs (what each holds) and compressed bytes (gzip, zlib, bzip2, xz, zstd) inside any
-of them. Each new layer is scanned and unwrapped in turn until nothing new comes; a layer whose content was seen before is
+layer with all of them decoded), base64 runs, also over line ends and from each of the four signs that a run glued to a word can
+begin with, and compressed bytes (gzip, zlib, bzip2, xz, zstd; all members) wherever they begin inside any of them. Bytes are on
+the same worklist as texts, so layers of compression without a text between them are unwrapped too. Each new layer is scanned and unwrapped in turn until nothing new comes; a layer whose content was seen before is
 not entered again, which ends cycles. Each character of a layer carries the place in the document that it came from, so a
 find in a layer is reported as the span of the document that encodes it. Rows never leave their partition.
 
@@ -37,8 +38,14 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4,}[ \t]*\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
+PERCENT_BYTES = re.compile(r"%([0-9A-Fa-f]{2})|[!-~]")
+PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-~])+")
+ESCAPED_RUN = re.compile(ESCAPES.pattern[:-2] + r"|\\[nrtabfv0\\'\"]|[ !#-&(-\[\]-~])+")
+ESCAPED_BYTES = re.compile(ESCAPE.pattern + r"|\\([nrtabfv0\\'\"])|([ !#-&(-\[\]-~])")
+SHORT = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34}
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 URLSAFE = str.maketrans("-_", "+/")
-CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -51,21 +58,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _opened(data: bytes):
+    """A decompressor for data by its first bytes; None if it isn't compressed in a known way."""
+    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor(memlimit=256 << 20)
+    return None
+
+
 def unpack(data: bytes, room: int) -> bytes | None:
-    """What compressed bytes hold, up to `room` bytes; None if data isn't compressed in a known way."""
+    """What compressed bytes hold, all members, up to `room` bytes and to the first damage; None if data isn't compressed in a known way."""
+    out, got = [], 0
     try:
-        if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
-            return zlib.decompressobj(47).decompress(data, room)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, room)
-        if data[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor(memlimit=256 << 20).decompress(data, room)
         if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data) as r:
-                return r.read(room)
+            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data, read_across_frames=True) as r:
+                while got < room and (part := r.read(min(1 << 20, room - got))):
+                    out.append(part)
+                    got += len(part)
+            return b"".join(out)
+        while got < room and (member := _opened(data)) is not None:
+            at = 0
+            while not member.eof and got < room:
+                piece = data[at : at + 4096]
+                at += len(piece)
+                part = member.decompress(piece, room - got)
+                out.append(part)
+                got += len(part)
+                if not piece:
+                    break
+            data = member.unused_data + data[at:] if member.eof else b""
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, MemoryError):
         pass
-    return None
+    return b"".join(out) if got else None
 
 
 class _Layer:
@@ -82,13 +109,54 @@ class _Layer:
         return min(self.starts[a:b]), max(self.ends[a:b])
 
 
-def _plain(data: bytes) -> str | None:
-    """The text that bytes hold, if they look like text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+def _promising(text: str) -> bool:
+    """Whether a find or a further layer can be in a text."""
+    return bool(base_spans(text) or PERCENT.search(text) or ESCAPES.search(text) or BASE64.search(text) or LINES.search(text))
+
+
+def _base64(layer: _Layer, a: int, text: str, more: list[_Layer], raw: list[tuple[bytes, int, int]]) -> None:
+    """What a run of base64 signs at place a, perhaps over line ends, holds from each of its first four signs."""
+    at = [a + i for i, c in enumerate(text) if c not in "= \t\r\n"]
+    signs = "".join([c for c in text if c not in "= \t\r\n"]).translate(URLSAFE)
+    for skip in range(4):
+        run = signs[skip : len(signs) - ((len(signs) - skip) % 4 == 1)]
+        try:
+            data = base64.b64decode(run + "=" * (-len(run) % 4))
+        except (binascii.Error, ValueError):
+            continue
+        if not data:
+            continue
+        if MAGIC.search(data) or (not skip and data[0] == 0x78):
+            raw.append((data, *layer.span(a, a + len(text))))
+        plain = data.decode(errors="surrogateescape")  # a byte that isn't UTF-8 is one sign that no pattern takes
+        if _promising(plain):
+            # each character comes from the six-bit signs that hold its bytes
+            places, i = [], 0
+            for c in plain:
+                n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
+                last = min(len(run), -(-(i + n) * 8 // 6))
+                b = a + len(text) if skip + last == len(signs) else at[skip + last - 1] + 1
+                places.append(layer.span(at[skip + i * 8 // 6], b))
+                i += n
+            more.append(_Layer(plain, [x for x, _ in places], [y for _, y in places]))
+
+
+def _percent_bytes(run: str) -> bytes:
+    return b"".join([bytes([int(m[1], 16)]) if m[1] else m[0].encode() for m in PERCENT_BYTES.finditer(run)])
+
+
+def _escaped_bytes(run: str) -> bytes:
+    """The bytes of escapes and of the signs between them; empty if one stands for more than a byte."""
+    out = []
+    for m in ESCAPED_BYTES.finditer(run):
+        if m[6]:
+            code = SHORT[m[6]]
+        elif m[7]:
+            code = ord(m[7])
+        else:
+            code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3] or m[5], 16)
+        out.append(code)
+    return bytes(out) if all(c < 256 for c in out) else b""
 
 
 def _rewritten(layer: _Layer, pattern: re.Pattern, decode) -> tuple[_Layer | None, list[tuple[bytes, int, int]]]:
@@ -164,33 +232,27 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
             made, also = _rewritten(layer, ESCAPES, _escaped)
             more += [made] if made else []
             raw += also
+        for pattern, key, whole in ((PERCENT_RUN, "%", _percent_bytes), (ESCAPED_RUN, "\\", _escaped_bytes), (ESCAPED_RUN, "&#", _escaped_bytes)):
+            if key in body:
+                for m in pattern.finditer(body):
+                    if key in m[0] and (data := whole(m[0])) and MAGIC.search(data):
+                        raw.append((data, *layer.span(m.start(), m.end())))
         for m in BASE64.finditer(body):
-            run = m[0].rstrip("=").translate(URLSAFE)
-            try:
-                data = base64.b64decode(run + "=" * (-len(run) % 4))
-            except (binascii.Error, ValueError):
-                continue
-            plain = _plain(data)
-            if plain is None:
-                raw.append((data, *layer.span(m.start(), m.end())))
-            elif plain:
-                # each character comes from the six-bit signs that hold its bytes
-                places, at = [], 0
-                for c in plain:
-                    n = len(c.encode())
-                    places.append(layer.span(m.start() + at * 8 // 6, min(m.end(), m.start() + -(-(at + n) * 8 // 6))))
-                    at += n
-                more.append(_Layer(plain, [a for a, _ in places], [b for _, b in places]))
-        for data, a, b in raw:
-            got = unpack(data, room) if room > 0 else None
-            if got:
-                room -= len(got)
-                inner = got.decode(errors="replace")
-                more.append(_Layer(inner, [a] * len(inner), [b] * len(inner)))
-                if (again := unpack(got, room)) is not None:  # compressed twice with no text between
-                    room -= len(again)
-                    inner = again.decode(errors="replace")
+            _base64(layer, m.start(), m[0], more, raw)
+        if "\n" in body:
+            for m in LINES.finditer(body):
+                _base64(layer, m.start(), m[0], more, raw)
+        while raw:
+            data, a, b = raw.pop()
+            for i in sorted({0, *(m.start() for m in MAGIC.finditer(data))}):
+                got = unpack(data[i:], room) if room > 0 else None
+                mark = got and (hashlib.md5(got).digest(), a, b)
+                if got and mark not in seen:
+                    seen.add(mark)
+                    room -= len(got)
+                    inner = got.decode(errors="replace")
                     more.append(_Layer(inner, [a] * len(inner), [b] * len(inner)))
+                    raw.append((got, a, b))
         for x in more:
             mark = (hashlib.md5(x.text.encode(errors="surrogatepass")).digest(), x.starts[0] if x.starts else 0)
             if x.text and x.text != body and mark not in seen:

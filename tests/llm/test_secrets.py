@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import random
 import re
 import zlib
 from urllib.parse import quote
@@ -84,3 +85,26 @@ def test_frames(spark):
     clean = secrets.redact_documents(df)
     assert clean.columns == df.columns
     assert sorted((r.text or "") for r in clean.collect()) == ["", "", "[SECRET]", "[SECRET]", "[SECRET]"]
+
+
+def test_layers_to_the_fixpoint():
+    plain = f"secret={HEX}zz".encode()
+
+    def has(text):
+        return any(k == 0 for _, k, _ in secrets.all_spans(text)[1])
+
+    deep = plain
+    for _ in range(5):
+        deep = gzip.compress(deep)
+    assert has(base64.b64encode(deep).decode())
+    noise = bytes(range(200, 256)) * 3
+    wrapped = base64.encodebytes(b"some words before it. " * 3 + plain + b" and after " * 9).decode()
+    assert "\n" in wrapped.strip() and has(wrapped) and has(wrapped.replace("\n", "\r\n"))
+    assert has(base64.encodebytes(gzip.compress(noise + random.Random(1).randbytes(300) + b" " + plain)).decode())
+    for glue in ("/path/", "x_", "abc", "/p/a/"):
+        assert has(glue + base64.b64encode(b" " * 4 + plain).decode())
+        assert has(glue + base64.b64encode(gzip.compress(plain)).decode())
+    assert has(base64.b64encode(b"\x00\x1b " + plain + b" \xff").decode())
+    assert has("u=" + quote(gzip.compress(plain), safe=""))
+    assert has("b'" + repr(gzip.compress(plain))[2:-1].replace("'", "\\x27").replace('"', "\\x22") + "'")
+    assert has(base64.b64encode(gzip.compress(b"nothing") + gzip.compress(plain)).decode())
