@@ -1,18 +1,17 @@
 """Operator 10: packing by lexical retrieval.
 
 Documents become token ids, each ended by id 0. Whole windows of a document are sequences of their own; what is left over is a
-unit. Units are packed in rounds. In each, a part of the units drawn by hash are seeds. The others, in blocks, are one inverted
-index with BM25 impacts (document frequencies over all units, a vector as long as the vocabulary), and every seed's terms, all of
-them, are put to every block: a seed finds its best units wherever in the corpus they are. A unit goes to the seed that scores it
-highest, and fills its window after those with higher scores; the last is cut at the window's end. Full windows are done. What
-isn't full is one unit, and so is a rest, and both take part in the next round. Scores within JITTER of each other are equal, so
-that copies don't all want the same unit. When no more than SHARD units are open, one index packs them, and what is left for the
-last window is cut into sequences of powers of two, which need no padding.
-
-The work of a round is seeds times units: it grows with the square of the input.
-
-Defined cases: null text is empty, and an empty document is id 0 alone; repeated rows and rows with a null id are packed each
-on its own; an empty table gives an empty result; other columns are ignored.
+unit. Units are packed in turns, and in each the inverted index is sharded by content: a unit's least term in an order of the
+vocabulary, which changes with the turn and puts rare terms first, is its place, so that units with rare terms in common lie side
+by side wherever in the corpus they come from. Two more such terms order the units of one place. Consecutive units, SHARD at most,
+are a shard; a frequent place, also one of a third of all rows, goes on over as many shards as it needs. In a shard, each seed's
+terms, all of them, are put to the BM25 index (document frequencies over all units), and its unused neighbours, best first,
+fill its window; the last is cut at the window's end, and its rest is the next seed.
+
+In the first turns only near neighbours fill a window (LEVELS: the least share of the seed's score for its own terms). What stays
+open is one unit of the next turn, which deals by another order. In the last turn any unit of the shard will do, best first, and
+what remains open then is cut into sequences of powers of two, which need no padding. A turn is linear in the input: one range
+shuffle of what is open, and SHARD units against each other.
 """
 
 from __future__ import annotations
@@ -30,15 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import Encoder, Merges, chunks
-from .common import discard, materialize, slim
+from .common import materialize, slim
 
 WINDOW = 1024
 SHARD = 2048
-QUERY_TERMS = None  # all
-BLOCK = 8192
-BEST = 8
-JITTER = 1e-4
-STALLED = 5
+LEVELS = (0.4, 0.2, 0.0)
+COMMON = 10  # a term in more than 1 / COMMON of a shard's units is scored by the matrix product
+PAIRS = 8_000_000
+FEW = 32
 K1, B = 1.2, 0.75
 END = 0
 
@@ -61,12 +59,17 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def numbers(data: bytes, n: int) -> np.ndarray:
+    """n ids from the two or four bytes that each was written in."""
+    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
+
+
 def units(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """Rows of docs(doc_id, text) as pieces: whole windows with their sequence, and left-over units with their ids (int32 bytes)."""
+    """Rows of docs(doc_id, text) as pieces: whole windows with their sequence, and left-over units with their ids (two bytes each where all fit)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = vocabulary(path), (TaskContext.get().partitionId() + 1) << 40
+        encoder, number = vocabulary(path), (TaskContext.get().partitionId() + 1) << 36
         for batch in chunks(batches, "text"):
             ids, counts = encoder.encode_flat([t or "" for t in batch.column("text").to_pylist()])
             stops = np.cumsum(counts)
@@ -82,7 +85,7 @@ def units(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
                     cols["ids_crc32"].append(crc(part) if full else None)
                     cols["doc_tokens"].append(n + 1)
                     cols["sequence_id"].append(number)
-                    cols["ids"].append(None if full else part.astype("<i4").tobytes())
+                    cols["ids"].append(None if full else part.astype("<u2" if part.max() < 1 << 16 else "<u4").tobytes())
                     number += 1
             out = {k: pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in cols.items()}
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").take(pa.array(place, pa.int64())), **out})
@@ -97,16 +100,16 @@ def frequencies(left: DataFrame) -> np.ndarray:
         df = np.zeros(1024, np.int64)
         n = total = 0
         for batch in batches:
-            for x in batch.column("ids"):
-                own = np.unique(np.frombuffer(x.as_py(), "<i4"))
-                if len(own) and own[-1] >= len(df):
+            for x, size in zip(batch.column("ids"), batch.column("length").to_pylist(), strict=True):
+                own = np.unique(numbers(x.as_py(), size))
+                if own[-1] >= len(df):
                     df = np.concatenate((df, np.zeros(int(own[-1]) + 1, np.int64)))
                 df[own] += 1
-                n, total = n + 1, total + len(x.as_py()) // 4
+                n, total = n + 1, total + size
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"id": pa.array([-2, -1, *at.tolist()], pa.int64()), "n": pa.array([total, n, *df[at].tolist()], pa.int64())})
 
-    rows = left.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary
+    rows = left.select("ids", "length").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary
     found = {r.id: r.n for r in rows}
     out = np.zeros(max([0, *found]) + 3, np.int64)
     for k, v in found.items():
@@ -114,194 +117,73 @@ def frequencies(left: DataFrame) -> np.ndarray:
     return out
 
 
-class ShardIndex:
-    """An inverted index of a shard's units with their BM25 impacts."""
-
-    def __init__(self, bodies: list[np.ndarray], df: np.ndarray):
-        units_, total = max(1, int(df[-1])), max(1, int(df[-2]))
-        self.size = len(bodies)
-        self.terms = [np.unique(b, return_counts=True) for b in bodies]
-        lengths = np.array([len(b) for b in bodies])
-        term = np.concatenate([t for t, _ in self.terms])
-        tf = np.concatenate([c for _, c in self.terms])
-        unit = np.repeat(np.arange(len(bodies)), [len(t) for t, _ in self.terms])
-        self.idf = np.log(1 + (units_ - df + 0.5) / (df + 0.5))
-        impact = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[unit] * units_ / total))
-        order = np.argsort(term, kind="stable")
-        self.unit, self.impact = unit[order], impact[order]
-        self.first = np.searchsorted(term[order], np.arange(len(df)))
-        self.last = np.searchsorted(term[order], np.arange(len(df)), "right")
-
-    def neighbours(self, unit: int, unused: np.ndarray) -> np.ndarray:
-        """Unused units that share terms with the seed, best first; ties by place."""
-        t, c = self.terms[unit]
-        top = t[np.argsort(-(self.idf[t] * c), kind="stable")[:QUERY_TERMS]]
-        spans = [slice(self.first[x], self.last[x]) for x in top.tolist()]
-        score = np.bincount(np.concatenate([self.unit[s] for s in spans]), np.concatenate([self.impact[s] for s in spans]), self.size)
-        score[~unused] = 0
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
-
-
-def pack_shard(bodies: list[np.ndarray], df: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
-    """(unit, start in it, length, sequence, offset) of each piece, all ids placed once."""
-    if not bodies:
-        return []
-    index = ShardIndex(bodies, df)
-    unused = np.ones(len(bodies), bool)
-    out, sequence, nxt = [], 0, 0
-    rest: tuple[int, int] | None = None  # a unit cut at a window's end, and where its rest begins
-    while True:
-        if rest is None:
-            while nxt < len(bodies) and not unused[nxt]:
-                nxt += 1
-            if nxt == len(bodies):
-                break
-            seed, at = nxt, 0
-            unused[seed] = False
-        else:
-            (seed, at), rest = rest, None
-        used, queue, k = 0, [], 0
-        unit = seed
-        while True:
-            n = min(len(bodies[unit]) - at, window - used)
-            out.append((unit, at, n, sequence, used))
-            used += n
-            if at + n < len(bodies[unit]):
-                rest = (unit, at + n)
-            if used == window:
-                break
-            if not k:
-                queue = index.neighbours(seed, unused).tolist()
-            if k < len(queue):
-                unit = queue[k]
-            else:  # none is left that shares a term: the next unused one
-                while nxt < len(bodies) and not unused[nxt]:
-                    nxt += 1
-                if nxt == len(bodies):
-                    break
-                unit = nxt
-            k, at = k + 1, 0
-            unused[unit] = False
-        sequence += 1
-    last = [p for p in out if p[3] == sequence - 1]
-    left = sum(p[2] for p in last)
-    if left == window:
-        return out
-    out = out[: len(out) - len(last)]
-    sequence -= 1
-    room = used = 0
-    for unit, at, n, _, _ in last:
-        while n:
-            if used == room:
-                sequence += bool(room)
-                room, used = 1 << (left.bit_length() - 1), 0
-                left -= room
-            take = min(n, room - used)
-            out.append((unit, at, take, sequence, used))
-            used, at, n = used + take, at + take, n - take
-    return out
+def dealing_keys(df: np.ndarray, turn: int) -> np.ndarray:
+    """A place for each term in three orders of this turn. The least place among a unit's terms names the unit: rare terms tend to
+    come first, and two units have the same least term with the chance of their weighted overlap."""
+    units_ = max(1, int(df[-1]))
+    idf = np.log(1 + (units_ - df + 0.5) / (df + 0.5))
+    rng = np.random.default_rng(101 + turn)
+    places = -np.log(rng.random((3, len(df)))) / np.maximum(idf * idf, 1e-9)
+    return np.where(df > 1, places, np.inf)  # a term of one unit has no neighbours to offer
+
+
+def with_keys(pool: DataFrame, df: np.ndarray, turn: int) -> DataFrame:
+    """pool with k0, k1, k2: the terms by which lexically near units come to lie side by side."""
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pool.schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = dealing_keys(df, turn)
+        for batch in batches:
+            bodies = [numbers(x.as_py(), n) for x, n in zip(batch.column("ids"), batch.column("n").to_pylist(), strict=True)]
+            if not bodies:
+                continue
+            flat = np.concatenate(bodies)
+            first = np.concatenate(([0], np.cumsum([len(b) for b in bodies])[:-1]))
+            keys = []
+            for own in places:
+                least = np.minimum.reduceat(own[flat], first)
+                at = np.flatnonzero(own[flat] == np.repeat(least, np.diff(first, append=len(flat))))
+                keys.append(pa.array(flat[at[np.searchsorted(at, first)]].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=[*batch.schema.names, "k0", "k1", "k2"])
 
-def block_scores(count: np.ndarray, term: np.ndarray, docs: dict[str, np.ndarray], df: np.ndarray, step: int = 512) -> Iterator[tuple[int, np.ndarray]]:
-    """BM25 scores of a block's units for seeds with their distinct terms, a few seeds at a time: (first seed, seeds x units).
+    return pool.mapInArrow(run, f"{names}, k0 int, k1 int, k2 int")
 
-    Terms that many units hold are a matrix product; the postings of the others are summed.
+
+def shard_scores(bodies: list[np.ndarray], df: np.ndarray) -> np.ndarray:
+    """(seeds, units): BM25 of each unit of a shard for the terms, all of them, of each other one, by the shard's inverted index.
+
+    Postings of terms that many units hold are summed as a matrix product, the others one by one.
     """
+    n = len(bodies)
     total, units_ = max(1, int(df[-2])), max(1, int(df[-1]))
-    n = len(docs["count"])
     idf = np.log(1 + (units_ - df + 0.5) / (df + 0.5))
-    unit, tf = np.repeat(np.arange(n), docs["count"]), docs["tf"]
-    impact = idf[docs["term"]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * docs["length"][unit] * units_ / total))
-    order = np.argsort(docs["term"], kind="stable")
-    unit, impact, held = unit[order], impact[order], np.bincount(docs["term"], minlength=len(df))
+    parts = [np.unique(b, return_counts=True) for b in bodies]
+    unit = np.repeat(np.arange(n), [len(t) for t, _ in parts])
+    term, tf = np.concatenate([t for t, _ in parts]).astype(np.int64), np.concatenate([c for _, c in parts])
+    length = np.array([len(b) for b in bodies])[unit]
+    impact = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length * units_ / total))).astype(np.float32)
+    order = np.argsort(term, kind="stable")
+    unit, impact, held = unit[order], impact[order], np.bincount(term, minlength=len(df))
     first = np.cumsum(held) - held
-    common = np.flatnonzero(held * 32 > n)
-    column = np.full(len(df), -1)
-    column[common] = np.arange(len(common))
-    dense = np.zeros((len(common), n), np.float32)
+    common = np.flatnonzero(held * COMMON > n)
+    dense = np.zeros((n, len(common)), np.float32)
     for c, t in enumerate(common.tolist()):
-        dense[c, unit[first[t] : first[t] + held[t]]] = impact[first[t] : first[t] + held[t]]
-    stops = np.concatenate(([0], np.cumsum(count)))
-    for at in range(0, len(count), step):
-        end = min(at + step, len(count))
-        own = term[stops[at] : stops[end]]
-        row = np.repeat(np.arange(end - at), count[at:end])
-        asked = np.zeros((end - at, len(common)), np.float32)
-        wide = column[own] >= 0
-        asked[row[wide], column[own[wide]]] = 1
-        score = asked @ dense
-        own, row = own[~wide], row[~wide]
-        many = held[own]
-        place = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        score += np.bincount(np.repeat(row, many) * n + unit[place], impact[place], (end - at) * n).reshape(-1, n)
-        yield at, score
-
-
-def blocks(pool: DataFrame) -> DataFrame:
-    """Units (u, ids, seed) as rows of up to BLOCK units of a kind, with their distinct terms in one array."""
-    names = ("unit", "count", "length", "term", "tf")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list] = {True: [], False: []}
-
-        def out(seed: bool) -> pa.RecordBatch:
-            rows = held[seed]
-            flat = [[r[0] for r in rows], [len(r[2]) for r in rows], [r[1] for r in rows], np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])]
-            cols = {k: pa.array([np.asarray(v, "<i8" if k == "unit" else "<i4").tobytes()], pa.binary()) for k, v in zip(names, flat, strict=True)}
-            held[seed] = []
-            return pa.RecordBatch.from_pydict({"seed": pa.array([seed]), **cols})
-
-        for batch in batches:
-            for u, ids, seed in zip(batch.column("u").to_pylist(), batch.column("ids"), batch.column("seed").to_pylist(), strict=True):
-                body = np.frombuffer(ids.as_py(), "<i4")
-                held[seed].append((u, len(body), *np.unique(body, return_counts=True)))
-                if len(held[seed]) == BLOCK:
-                    yield out(seed)
-        for seed in (True, False):
-            if held[seed]:
-                yield out(seed)
-
-    return pool.select("u", "ids", "seed").mapInArrow(run, "seed boolean, " + ", ".join(f"{k} binary" for k in names))
-
-
-def best_units(made: DataFrame, df: np.ndarray) -> DataFrame:
-    """(seed, unit, score): the BEST units of each seed among those a task holds, all tasks together hold all units; made is from blocks()."""
-    names = ("unit", "count", "length", "term", "tf")
-    left = made.filter("seed").select(*[F.col(k).alias(f"s_{k}") for k in ("unit", "count", "term")])
-    pairs = left.crossJoin(made.filter("NOT seed").select(*[F.col(k).alias(f"d_{k}") for k in names]))
-
-    def merged(top: list[np.ndarray], row: np.ndarray, unit: np.ndarray, score: np.ndarray) -> None:
-        """Puts new candidates into top (units and scores, seeds x BEST)."""
-        n = len(top[0])
-        row = np.concatenate((np.repeat(np.arange(n), BEST), row))
-        unit, score = np.concatenate((top[0].ravel(), unit)), np.concatenate((top[1].ravel(), score))
-        order = np.lexsort((unit, -score, row))
-        begin = np.searchsorted(row[order], np.arange(n))
-        keep = order[(begin[:, None] + np.arange(BEST)).ravel()]
-        top[0][:], top[1][:] = unit[keep].reshape(n, BEST), score[keep].reshape(n, BEST)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
-        for batch in batches:
-            for r in range(batch.num_rows):
-                x = {k: np.frombuffer(batch.column(k)[r].as_py(), "<i8" if k.endswith("unit") else "<i4") for k in batch.schema.names}
-                seeds, unit = x["s_unit"], x["d_unit"]
-                seeds, top = tops.setdefault(int(seeds[0]), (seeds, [np.full((len(seeds), BEST), -1), np.zeros((len(seeds), BEST), np.float32)]))
-                for at, score in block_scores(x["s_count"], x["s_term"], {k: x[f"d_{k}"] for k in names}, df):
-                    score *= 1 - np.float32(JITTER) * np.random.default_rng([int(seeds[at]), int(unit[0])]).random(len(unit), np.float32)
-                    own = [top[0][at : at + len(score)], top[1][at : at + len(score)]]
-                    if own[1].any() or len(unit) <= BEST:
-                        row, col = np.nonzero(score > own[1][:, -1:])
-                    else:
-                        col = np.argpartition(score, len(unit) - BEST, axis=1)[:, -BEST:].ravel()
-                        row = np.repeat(np.arange(len(score)), BEST)
-                    merged(own, row, unit[col], score[row, col])
-        for seeds, (units_, scores) in tops.values():
-            row, col = np.nonzero(scores > 0)
-            yield pa.RecordBatch.from_pydict({"seed": pa.array(seeds[row]), "unit": pa.array(units_[row, col]), "score": pa.array(scores[row, col])})
-
-    return pairs.mapInArrow(run, "seed bigint, unit bigint, score float")
+        own = slice(first[t], first[t] + held[t])
+        dense[unit[own], c] = impact[own]
+    score = (dense > 0).astype(np.float32) @ dense.T
+    rare = np.flatnonzero(held * COMMON <= n)
+    rare = rare[held[rare] > 0]
+    seeds = np.concatenate([np.arange(first[t], first[t] + held[t]) for t in rare.tolist()]) if len(rare) else np.zeros(0, np.int64)
+    many, begin = np.repeat(held[rare], held[rare]), np.repeat(first[rare], held[rare])
+    stops = np.cumsum(many)
+    at = 0
+    while at < len(seeds):  # a bounded number of posting pairs at a time
+        end = max(at + 1, int(np.searchsorted(stops, (stops[at - 1] if at else 0) + PAIRS, "right")))
+        m = many[at:end]
+        place = np.repeat(begin[at:end] - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
+        score += np.bincount(np.repeat(unit[seeds[at:end]], m) * n + unit[place], impact[place], n * n).reshape(n, n)
+        at = end
+    return score
 
 
 def cut(row: dict, a: int, n: int) -> dict:
@@ -331,75 +213,97 @@ def done(row: dict, sequence: int, offset: int = 0) -> dict:
     return {**row, "u": sequence, "ids": None, "crcs": crcs, "offs": [offset + a for a in offs[:-1]]}
 
 
-def filled(rows: list[dict], window: int) -> list[dict]:
-    """A seed and the units that go to it, best first: the full window, and what is open."""
-    took, room = [], window
-    while rows and room:
-        took.append(rows[0])
-        room -= len(rows[0]["ids"])
-        if room >= 0:
-            rows = rows[1:]
+def fill_shard(rows: list[dict], df: np.ndarray, window: int, level: float) -> list[dict]:
+    """Units of a shard as full windows (done) and open units. Each unused unit in turn is a seed, and its unused neighbours, best
+    first, fill its window; the last is cut at the window's end and its rest is the next seed. A neighbour scores `level` times
+    what the seed scores for its own terms, at least; at level 0 each unit is one, and only the last window stays open."""
+    score = shard_scores([r["ids"] for r in rows], df)
+    unused, out, nxt = np.ones(len(rows), bool), [], 0
+    rest: tuple[int, dict] | None = None
+    while True:
+        if rest is None:
+            while nxt < len(rows) and not unused[nxt]:
+                nxt += 1
+            if nxt == len(rows):
+                return out
+            seed, row = nxt, rows[nxt]
+            unused[seed] = False
         else:
-            n = len(rows[0]["ids"]) + room
-            took[-1], rows, room = cut(rows[0], 0, n), [cut(rows[0], n, -room), *rows[1:]], 0
-    whole = joined(took)
-    return [whole if room else done(whole, whole["u"]), *rows]
+            (seed, row), rest = rest, None
+        took, room = [row], window - len(row["ids"])
+        if room:
+            own = score[seed]
+            open_ = np.flatnonzero(unused & (own >= level * own[seed]))
+            if len(open_) > 4 * FEW:
+                best = open_[np.argpartition(-own[open_], FEW)[:FEW]]
+                if sum(len(rows[j]["ids"]) for j in best.tolist()) >= room:
+                    open_ = best
+            for j in open_[np.lexsort((open_, -own[open_]))].tolist():
+                unused[j] = False
+                n = len(rows[j]["ids"])
+                took.append(rows[j] if n <= room else cut(rows[j], 0, room))
+                if n > room:
+                    rest = (j, cut(rows[j], room, n - room))
+                room = max(0, room - n)
+                if not room:
+                    break
+        whole = joined(took)
+        out.append(whole if room else done(whole, whole["u"]))
+
+
+def ended(row: dict) -> list[dict]:
+    """An open unit as sequences of powers of two, which need no padding."""
+    out, at = [], 0
+    while at < len(row["ids"]):
+        n = 1 << ((len(row["ids"]) - at).bit_length() - 1)
+        out.append(done(cut(row, at, n), -1 - row["u"] * 16 - len(out)))
+        at += n
+    return out
 
 
-def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard: int = SHARD, levels: tuple[float, ...] = LEVELS) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     pieces = materialize(units(slim(docs, doc_id=id_col, text=text_col), path, window), "units")
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, doc_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
     left = pieces.filter("ids IS NOT NULL")
     df = frequencies(left)
-    schema = f"u bigint, ids binary, docs array<{kind}>, starts array<bigint>, lens array<bigint>, totals array<bigint>, crcs array<bigint>, offs array<bigint>"
-    of = {"docs": "doc_id", "starts": "start", "lens": "length", "totals": "doc_tokens"}
+    lists = {"docs": pa.list_(doc_type), **{k: pa.list_(pa.int64()) for k in ("starts", "lens", "totals", "crcs", "offs")}}
+    schema = f"u bigint, ids binary, n bigint, docs array<{kind}>, " + ", ".join(f"{k} array<bigint>" for k in ("starts", "lens", "totals", "crcs", "offs"))
+
+    def filler(level: float, last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def out(rows: list[dict]) -> pa.RecordBatch:
+                made = fill_shard(rows, df, window, level)
+                if last:
+                    made = [x for r in made for x in ([r] if r["ids"] is None else ended(r))]
+                cols = {k: pa.array([r.get(k) for r in made], t) for k, t in lists.items()}
+                ids = [None if r["ids"] is None else r["ids"].tobytes() for r in made]
+                sizes = [None if r["ids"] is None else len(r["ids"]) for r in made]
+                return pa.RecordBatch.from_pydict({"u": pa.array([r["u"] for r in made], pa.int64()), "ids": pa.array(ids, pa.binary()), "n": pa.array(sizes, pa.int64()), **cols})
+
+            held: list[dict] = []
+            for batch in batches:
+                for r in batch.to_pylist():
+                    r["ids"] = numbers(r["ids"], r["n"])
+                    held.append(r)
+                    if len(held) == shard:
+                        yield out(held)
+                        held = []
+            if held:
+                yield out(held)
+
+        return run
 
-    def read(group: pa.Table) -> list[dict]:
-        rows = group.to_pylist()
-        for r in rows:
-            r["ids"] = np.frombuffer(r["ids"], "<i4")
-        return rows
-
-    def written(rows: list[dict]) -> pa.Table:
-        # document ids of any kind: from Python values by the type that Spark gave
-        types = {"u": pa.int64(), "ids": pa.binary(), "docs": pa.list_(doc_type), **{k: pa.list_(pa.int64()) for k in ("starts", "lens", "totals", "crcs", "offs")}}
-        cols = {k: [r.get(k) for r in rows] for k in types}
-        cols["ids"] = [None if x is None else x.tobytes() for x in cols["ids"]]
-        return pa.table({k: pa.array(v, types[k]) for k, v in cols.items()})
-
-    def fill(group: pa.Table) -> pa.Table:
-        by: dict[int, list[dict]] = {}
-        for r in sorted(read(group), key=lambda r: (r["key"], r["u"] != r["key"], -(r["score"] or 0), r["u"])):
-            by.setdefault(r["key"], []).append(r)
-        return written([x for rows in by.values() for x in filled(rows, window)])
-
-    def last(group: pa.Table) -> pa.Table:
-        rows = sorted(read(group), key=lambda r: r["u"])
-        first = (1 << 62) + (int(rows[0]["key"]) << 32)
-        return written([done(cut(rows[i], a, n), first + sequence, offset) for i, a, n, sequence, offset in pack_shard([r["ids"] for r in rows], df, window)])
-
-    doc_type = to_arrow_type(docs.schema[id_col].dataType)
-    pool = left.select(F.col("sequence_id").alias("u"), "ids", *[F.array(v).alias(k) for k, v in of.items()])
-    ends, turn, stalled, n, tokens = [], 0, 0, int(df[-1]), int(df[-2])
-    while n > SHARD and stalled < STALLED:
-        share = int(1000 * min(0.5, max(0.1, tokens / n / window)))
-        pool = pool.withColumn("seed", F.pmod(F.xxhash64("u", F.lit(turn)), F.lit(1000)) < share)
-        made = materialize(blocks(pool), "blocks")
-        found = best_units(made, df).groupBy(F.col("unit").alias("u")).agg(F.max(F.struct("score", (-F.col("seed")).alias("seed"))).alias("x"))
-        found = materialize(found.select("u", F.col("x.score").alias("score"), (-F.col("x.seed")).alias("to")), "chosen")
-        dealt = pool.drop("seed").join(found, "u", "left").withColumn("key", F.coalesce("to", "u")).drop("to")
-        dealt = dealt.groupBy(F.pmod(F.xxhash64("key"), F.lit(-(-n // SHARD))).alias("shard"))
-        step = materialize(dealt.applyInArrow(fill, schema), "windows")
-        discard(made, found)
-        ends.append(step.filter("ids IS NULL"))
+    of = {"docs": "doc_id", "starts": "start", "lens": "length", "totals": "doc_tokens"}
+    pool = left.select(F.col("sequence_id").alias("u"), "ids", F.col("length").alias("n"), *[F.array(v).alias(k) for k, v in of.items()])
+    n, before, ends = int(df[-1]), None, []
+    for turn, level in enumerate(levels):
+        order = ["k0", "k1", "k2", "u"]
+        dealt = with_keys(pool, df, turn).repartitionByRange(max(1, -(-n // (2 * shard))), *order).sortWithinPartitions(*order)
+        step = materialize(dealt.drop("k0", "k1", "k2").mapInArrow(filler(level, turn == len(levels) - 1), schema), "windows")
+        ends.append(step.filter("ids IS NULL").drop("ids", "n"))
         pool = step.filter("ids IS NOT NULL").drop("crcs", "offs")
-        was = n
-        n, tokens = pool.agg(F.count("*"), F.coalesce(F.sum(F.length("ids")), F.lit(0)) / 4).first()
-        turn, stalled = turn + 1, 0 if n < was else stalled + 1
-    # what no seed shares a term with, round after round, could be more than a shard
-    rest = pool.withColumn("key", F.pmod(F.xxhash64("u"), F.lit(max(1, -(-n // SHARD)))))
-    ends.append(rest.groupBy("key").applyInArrow(last, schema))
+        n = pool.count()
     whole = pieces.filter("ids IS NULL").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
     for x in ends:
         at = x.select("u", F.explode(F.arrays_zip("docs", "starts", "lens", "totals", "crcs", "offs")).alias("p"))
