@@ -32,10 +32,10 @@ from .bpe import Encoder, Merges, chunks
 from .common import materialize, slim
 
 WINDOW = 1024
-SHARD = 2048
+SHARD = 1024
 LEVELS = (0.4, 0.2, 0.0)
 COMMON = 10  # a term in more than 1 / COMMON of a shard's units is scored by the matrix product
-PAIRS = 8_000_000
+PAIRS = 1_000_000
 FEW = 32
 K1, B = 1.2, 0.75
 END = 0
