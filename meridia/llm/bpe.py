@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from .common import slim
 
 NONE = np.int32(2**31 - 1)
-CHUNK_CHARS = 4_000_000  # bytes of text held as words at once
-KEEP_WORDS = 1_000_000  # words remembered from chunk to chunk
+CHUNK_CHARS = 1_500_000
+KEEP_WORDS = 500_000
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 CUT = re.compile(r"\S(?=[ \n])")

@@ -281,14 +281,16 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 sizes = [None if r["ids"] is None else len(r["ids"]) for r in made]
                 return pa.RecordBatch.from_pydict({"u": pa.array([r["u"] for r in made], pa.int64()), "ids": pa.array(ids, pa.binary()), "n": pa.array(sizes, pa.int64()), **cols})
 
+            vocabulary.cache_clear()  # a worker that has encoded before needs its words no more
             held: list[dict] = []
             for batch in batches:
-                for r in batch.to_pylist():
-                    r["ids"] = numbers(r["ids"], r["n"])
-                    held.append(r)
-                    if len(held) == shard:
-                        yield out(held)
-                        held = []
+                for at in range(0, batch.num_rows, shard):
+                    for r in batch.slice(at, shard).to_pylist():
+                        r["ids"] = numbers(r["ids"], r["n"])
+                        held.append(r)
+                        if len(held) == shard:
+                            yield out(held)
+                            held = []
             if held:
                 yield out(held)
 
