@@ -1,14 +1,21 @@
 """Operator 2: secret scan with a recursive decoding worklist.
 
 Three base patterns run over the whole text. Then a worklist unwraps layers: percent escapes and Unicode escapes (the
-layer with all of them decoded), base64 runs, also over line ends and from each of the four signs that a run glued to a word can
-begin with, and compressed bytes (gzip, zlib, bzip2, xz, zstd; all members) wherever they begin inside any of them. Bytes are on
-the same worklist as texts, so layers of compression without a text between them are unwrapped too. Each new layer is scanned and unwrapped in turn until nothing new comes; a layer whose content was seen before is
-not entered again, which ends cycles. Each character of a layer carries the place in the document that it came from, so a
-find in a layer is reported as the span of the document that encodes it. Rows never leave their partition.
-
-Defined cases: null text is empty; an empty text has no spans; one row out for each row in; other columns are ignored.
-Compressed layers of one document may grow to MAX_UNPACKED bytes in all: what a decompression bomb would add is left out.
+layer with all of them decoded), base64 runs, also over
+line ends and from each of the four signs that a run glued to a word can begin with, UTF-16 and UTF-32 read as bytes, and
+compressed bytes (gzip, zlib, bzip2, xz, zstd; all members) wherever they begin inside any of them. Bytes are on the same
+worklist as texts, so layers of compression without a text between them are unwrapped too. Each new layer is scanned and
+unwrapped in turn until nothing new comes; a layer whose content was seen before is not entered again, which ends cycles. Each
+character of a layer carries the place in the document that it came from, so a find in a layer is reported as the span of the
+document that encodes it. Rows never leave their partition.
+
+A compressed layer is never held whole: what is more than BLOCK bytes is unpacked and scanned block by block, with OVERLAP bytes
+in common and no block ending inside a run of encoded signs of under RUN_BLOCK bytes, and a member inside it is unpacked by
+unpacking the layer again up to there. No size is left out, so the time follows the size unpacked.
+
+Defined cases: null text is empty; an empty text has no spans; one row out for each row in; other columns are ignored; bytes that
+are no UTF-8 count as signs that no pattern takes; base64 runs under 16 signs are not tried; damaged members give what comes
+before the damage.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -29,7 +37,12 @@ from pyspark.sql import DataFrame
 from .bpe import chunks
 from .common import slim
 
-MAX_UNPACKED = 64_000_000
+PART = 1 << 20
+BLOCK = 4 << 20  # bytes of an unpacked layer that are scanned at once
+OVERLAP = 1 << 16
+RUN_BLOCK = 64 << 20  # the same where one run without other signs goes on and on
+NO_RUN = re.compile(rb"[^A-Za-z0-9+/_=%\\&#;{}\s-]")
+NO_SIGNS = np.frombuffer(b"= \t\r\n", np.uint8)
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -45,7 +58,7 @@ ESCAPED_RUN = re.compile(ESCAPES.pattern[:-2] + r"|\\[nrtabfv0\\'\"]|[ !#-&(-\[\
 ESCAPED_BYTES = re.compile(ESCAPE.pattern + r"|\\([nrtabfv0\\'\"])|([ !#-&(-\[\]-~])")
 SHORT = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34}
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
-URLSAFE = str.maketrans("-_", "+/")
+URLSAFE = bytes.maketrans(b"-_", b"+/")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -59,54 +72,99 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _opened(data: bytes):
-    """A decompressor for data by its first bytes; None if it isn't compressed in a known way."""
+    """A decompressor for data by its first bytes; None if it isn't compressed in a known way (zstd is read otherwise)."""
     if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
         return zlib.decompressobj(47)
     if data[:3] == b"BZh":
         return bz2.BZ2Decompressor()
     if data[:6] == b"\xfd7zXZ\0":
-        return lzma.LZMADecompressor(memlimit=256 << 20)
+        return lzma.LZMADecompressor()
     return None
 
 
-def unpack(data: bytes, room: int) -> bytes | None:
-    """What compressed bytes hold, all members, up to `room` bytes and to the first damage; None if data isn't compressed in a known way."""
-    out, got = [], 0
-    try:
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data, read_across_frames=True) as r:
-                while got < room and (part := r.read(min(1 << 20, room - got))):
-                    out.append(part)
-                    got += len(part)
-            return b"".join(out)
-        while got < room and (member := _opened(data)) is not None:
-            at = 0
-            while not member.eof and got < room:
-                piece = data[at : at + 4096]
-                at += len(piece)
-                part = member.decompress(piece, room - got)
-                out.append(part)
-                got += len(part)
-                if not piece:
-                    break
-            data = member.unused_data + data[at:] if member.eof else b""
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, MemoryError):
-        pass
-    return b"".join(out) if got else None
+class _Reader:
+    """The bytes of an iterator of parts, read as from a file."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.left = parts, b""
+
+    def read(self, n: int = PART) -> bytes:
+        if not self.left:
+            self.left = next(self.parts, b"")
+        out, self.left = self.left[:n], self.left[n:]
+        return out
+
+
+class Packed:
+    """What compressed bytes at a place of `source` (bytes, or such a layer itself) hold. Each iteration unpacks anew, part by
+    part: all members, up to the first damage."""
+
+    def __init__(self, source: bytes | Packed, at: int = 0):
+        self.source, self.at = source, at
+
+    def _bytes(self) -> Iterator[bytes]:
+        if isinstance(self.source, bytes):
+            for i in range(self.at, len(self.source), PART):
+                yield self.source[i : i + PART]
+            return
+        skip = self.at
+        for part in self.source:
+            if skip < len(part):
+                yield part[skip:]
+            skip = max(0, skip - len(part))
+
+    def __iter__(self) -> Iterator[bytes]:
+        reader = _Reader(self._bytes())
+        try:
+            data = reader.read(4096)
+            while len(data) < 8 and (more := reader.read(4096)):
+                data += more
+            if data[:4] == b"\x28\xb5\x2f\xfd":
+                reader.left = data + reader.left
+                with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(reader, read_across_frames=True) as r:
+                    while part := r.read(PART):
+                        yield part
+                return
+            while data and (member := _opened(data)) is not None:
+                while not member.eof:
+                    part = member.decompress(data, PART)
+                    if part:
+                        yield part
+                    data = getattr(member, "unconsumed_tail", b"")
+                    if not data and not member.eof and (not part or getattr(member, "needs_input", False)):
+                        data = reader.read()
+                        if not data:
+                            return
+                data = member.unused_data
+                while len(data) < 8 and (more := reader.read(4096)):
+                    data += more
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            return
 
 
 class _Layer:
-    """A text and, for each of its characters, where in the document it starts and ends; none: the document itself."""
+    """A text and, for each of its characters, where in the document it starts and ends, both never falling; `starts` is None for
+    the document itself, and `fixed` is the span of a layer of which every character stands for the same part of the document."""
 
-    __slots__ = ("ends", "starts", "text")
+    __slots__ = ("ends", "fixed", "starts", "text")
 
-    def __init__(self, text: str, starts: list[int] | None, ends: list[int] | None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None, fixed: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.fixed = text, starts, ends, fixed
 
     def span(self, a: int, b: int) -> tuple[int, int]:
-        if self.starts is None:
-            return a, b
-        return min(self.starts[a:b]), max(self.ends[a:b])
+        if self.fixed:
+            return self.fixed
+        return (a, b) if self.starts is None else (int(self.starts[a]), int(self.ends[b - 1]))
+
+    def spans(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """span() of many."""
+        if self.fixed:
+            return np.full(len(a), self.fixed[0]), np.full(len(a), self.fixed[1])
+        return (a, b) if self.starts is None else (self.starts[a], self.ends[b - 1])
+
+    def made(self, text: str, a: np.ndarray, b: np.ndarray) -> _Layer:
+        """A layer of `text` whose characters come from a to b of this one."""
+        return _Layer(text, fixed=self.fixed) if self.fixed else _Layer(text, *self.spans(a, b))
 
 
 def _promising(text: str) -> bool:
@@ -116,12 +174,13 @@ def _promising(text: str) -> bool:
 
 def _base64(layer: _Layer, a: int, text: str, more: list[_Layer], raw: list[tuple[bytes, int, int]]) -> None:
     """What a run of base64 signs at place a, perhaps over line ends, holds from each of its first four signs."""
-    at = [a + i for i, c in enumerate(text) if c not in "= \t\r\n"]
-    signs = "".join([c for c in text if c not in "= \t\r\n"]).translate(URLSAFE)
+    points = np.frombuffer(text.encode("latin-1"), np.uint8)
+    at = np.flatnonzero(~np.isin(points, NO_SIGNS)) + a
+    signs = points[at - a].tobytes().translate(URLSAFE)
     for skip in range(4):
         run = signs[skip : len(signs) - ((len(signs) - skip) % 4 == 1)]
         try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
+            data = base64.b64decode(run + b"=" * (-len(run) % 4))
         except (binascii.Error, ValueError):
             continue
         if not data:
@@ -129,16 +188,14 @@ def _base64(layer: _Layer, a: int, text: str, more: list[_Layer], raw: list[tupl
         if MAGIC.search(data) or (not skip and data[0] == 0x78):
             raw.append((data, *layer.span(a, a + len(text))))
         plain = data.decode(errors="surrogateescape")  # a byte that isn't UTF-8 is one sign that no pattern takes
-        if _promising(plain):
+        if _promising(plain) or "\0" in plain:
             # each character comes from the six-bit signs that hold its bytes
-            places, i = [], 0
-            for c in plain:
-                n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
-                last = min(len(run), -(-(i + n) * 8 // 6))
-                b = a + len(text) if skip + last == len(signs) else at[skip + last - 1] + 1
-                places.append(layer.span(at[skip + i * 8 // 6], b))
-                i += n
-            more.append(_Layer(plain, [x for x, _ in places], [y for _, y in places]))
+            code = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32)
+            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000) - 2 * ((code >= 0xDC80) & (code <= 0xDCFF))
+            stop = np.cumsum(size)
+            last = np.minimum(len(run), -(-stop * 8 // 6))
+            end = np.where(skip + last == len(signs), a + len(text), at[skip + last - 1] + 1)
+            more.append(layer.made(plain, at[skip + (stop - size) * 8 // 6], end))
 
 
 def _percent_bytes(run: str) -> bytes:
@@ -161,28 +218,30 @@ def _escaped_bytes(run: str) -> bytes:
 
 def _rewritten(layer: _Layer, pattern: re.Pattern, decode) -> tuple[_Layer | None, list[tuple[bytes, int, int]]]:
     """The layer with each match decoded into (text, start, end) pieces, and the raw bytes of each match."""
-    parts, starts, ends, raw, at = [], [], [], [], 0
-
-    def copy(a: int, b: int) -> None:
-        parts.append(layer.text[a:b])
-        starts.extend(range(a, b) if layer.starts is None else layer.starts[a:b])
-        ends.extend(range(a + 1, b + 1) if layer.starts is None else layer.ends[a:b])
-
+    parts, size, begin, stop, raw, at = [], [], [], [], [], 0  # of each part: its characters, and its span; copied parts have none
     for m in pattern.finditer(layer.text):
-        copy(at, m.start())
-        at = m.end()
         pieces, data = decode(m)
-        for text, a, b in pieces:
-            s, e = layer.span(a, b)
-            parts.append(text)
-            starts.extend([s] * len(text))
-            ends.extend([e] * len(text))
+        for text, a, b in ((layer.text[at : m.start()], at, -1), *pieces):
+            if text:
+                parts.append(text)
+                size.append(len(text))
+                begin.append(a)
+                stop.append(b)
+        at = m.end()
         if data:
             raw.append((data, *layer.span(m.start(), m.end())))
-    if not parts:
+    if not at:
         return None, []
-    copy(at, len(layer.text))
-    return _Layer("".join(parts), starts, ends), raw
+    if at < len(layer.text):
+        parts.append(layer.text[at:])
+        size.append(len(parts[-1]))
+        begin.append(at)
+        stop.append(-1)
+    n, first, end = np.array(size), np.array(begin), np.array(stop)
+    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    copied = np.repeat(end < 0, n)
+    a = np.repeat(first, n) + within * copied
+    return layer.made("".join(parts), a, np.where(copied, a + 1, np.repeat(end, n))), raw
 
 
 def _percent(m: re.Match):
@@ -214,20 +273,38 @@ def _escaped(m: re.Match):
     return pieces, bytes(c for c, _, _ in units) if all(c < 256 for c, _, _ in units) else b""
 
 
-def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans, and base spans together with those of all decoded layers, as (start, kind, end) in order."""
-    base = base_spans(text)
-    found, seen, room = set(base), set(), MAX_UNPACKED
-    work = [_Layer(text, None, None)]
-    while work:
-        layer = work.pop()
-        body = layer.text
-        more: list[_Layer] = []
+class _Worklist:
+    """The layers of one document that wait to be scanned and unwrapped, and what was found."""
+
+    def __init__(self, found: set[tuple[int, int, int]]):
+        self.found, self.seen = found, set()
+        self.texts: list[_Layer] = []
+        self.raw: list[tuple[bytes | Packed, int, int]] = []
+
+    def drain(self) -> None:
+        """Unwraps until nothing new comes."""
+        while self.texts or self.raw:
+            if self.texts:
+                self._unwrap(self.texts.pop())
+            else:
+                self._unpack(*self.raw.pop())
+
+    def add(self, layers: list[_Layer]) -> None:
+        """Scans layers that weren't seen at their place before, and puts them on the list."""
+        for x in layers:
+            mark = (hashlib.md5(x.text.encode(errors="surrogatepass")).digest(), x.span(0, 1) if x.text else (0, 0))
+            if x.text and mark not in self.seen:
+                self.seen.add(mark)
+                for s, kind, e in base_spans(x.text):
+                    s, e = x.span(s, e)
+                    self.found.add((s, kind, e))
+                self.texts.append(x)
+
+    def _unwrap(self, layer: _Layer) -> None:
+        body, more, raw = layer.text, [], []
         if "%" in body:
             made, raw = _rewritten(layer, PERCENT, _percent)
             more += [made] if made else []
-        else:
-            raw = []
         if "\\" in body or "&#" in body:
             made, also = _rewritten(layer, ESCAPES, _escaped)
             more += [made] if made else []
@@ -242,26 +319,64 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
         if "\n" in body:
             for m in LINES.finditer(body):
                 _base64(layer, m.start(), m[0], more, raw)
-        while raw:
-            data, a, b = raw.pop()
-            for i in sorted({0, *(m.start() for m in MAGIC.finditer(data))}):
-                got = unpack(data[i:], room) if room > 0 else None
-                mark = got and (hashlib.md5(got).digest(), a, b)
-                if got and mark not in seen:
-                    seen.add(mark)
-                    room -= len(got)
-                    inner = got.decode(errors="replace")
-                    more.append(_Layer(inner, [a] * len(inner), [b] * len(inner)))
-                    raw.append((got, a, b))
-        for x in more:
-            mark = (hashlib.md5(x.text.encode(errors="surrogatepass")).digest(), x.starts[0] if x.starts else 0)
-            if x.text and x.text != body and mark not in seen:
-                seen.add(mark)
-                for s, kind, e in base_spans(x.text):
-                    s, e = x.span(s, e)
-                    found.add((s, kind, e))
-                work.append(x)
-    return base, sorted(found)
+        if "\0" in body:  # UTF-16 and UTF-32, read as bytes
+            at = np.flatnonzero(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), np.uint32))
+            more.append(layer.made(body.replace("\0", ""), at, at + 1))
+        self.add(more)
+        for data, a, b in raw:
+            self.raw += self._members(data, 0, data, a, b)
+
+    @staticmethod
+    def _members(source: bytes | Packed, begin: int, data: bytes, a: int, b: int) -> list[tuple[Packed, int, int]]:
+        """What may be compressed in `data`, which stands at `begin` in source."""
+        places = sorted({*([] if begin else [0]), *(m.start() for m in MAGIC.finditer(data))})
+        return [(Packed(source, begin + i), a, b) for i in places if next(iter(Packed(data, i)), None)]
+
+    def _unpack(self, packed: Packed, a: int, b: int) -> None:
+        """Scans what is unpacked, at most a block at a time; any find in it is the same span of the document."""
+        if all((a, k, b) in self.found for k in range(len(KINDS))):
+            return  # nothing can be added to this span
+        digest, held, size, begin, large, later = hashlib.md5(), [], 0, 0, False, []
+        parts = iter(packed)
+        while True:
+            part = next(parts, b"")
+            digest.update(part)
+            held.append(part)
+            size += len(part)
+            if part and (size < BLOCK or (size < RUN_BLOCK and not NO_RUN.search(part))):
+                continue
+            data = b"".join(held)
+            large |= bool(part)
+            if not large:
+                mark = (digest.digest(), a, b)
+                if not data or mark in self.seen:
+                    return
+                self.seen.add(mark)
+                self.add([_Layer(data.decode(errors="replace"), fixed=(a, b))])
+                self.raw += self._members(data, 0, data, a, b)
+                return
+            block = _Worklist(self.found)  # a large layer is done block by block
+            block.seen = self.seen
+            block.add([_Layer(data.decode(errors="replace"), fixed=(a, b))])
+            block.drain()
+            later += self._members(packed, begin, data, a, b)
+            if not part:
+                break
+            held = [data[-OVERLAP:]]
+            begin, size = begin + len(data) - OVERLAP, OVERLAP
+        mark = (digest.digest(), a, b)
+        if mark not in self.seen:
+            self.seen.add(mark)
+            self.raw += later
+
+
+def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Base spans, and base spans together with those of all decoded layers, as (start, kind, end) in order."""
+    base = base_spans(text)
+    work = _Worklist(set(base))
+    work.texts.append(_Layer(text))
+    work.drain()
+    return base, sorted(work.found)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

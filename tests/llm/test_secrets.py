@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import re
 import zlib
 from urllib.parse import quote
 
+import zstandard
+
 from meridia.llm import secrets
 
 HEX = "0123456789abcdef0123"
@@ -70,10 +74,58 @@ def test_no_false_layers_and_cycles_end():
     assert any(k == 0 for _, k, _ in secrets.all_spans(deep)[1])
 
 
-def test_bomb_is_bounded(monkeypatch):
-    monkeypatch.setattr(secrets, "MAX_UNPACKED", 100_000)
-    bomb = base64.b64encode(gzip.compress(b"a" * 10_000_000)).decode()
-    assert secrets.all_spans(bomb)[1] is not None
+def test_large_layers_are_scanned_whole(monkeypatch):
+    monkeypatch.setattr(secrets, "BLOCK", 50_000)
+    monkeypatch.setattr(secrets, "PART", 7_000)
+    monkeypatch.setattr(secrets, "OVERLAP", 500)
+    plain = f" secret={HEX}zz ".encode()
+    rng = random.Random(3)
+    for at in (120_000, 49_990, 399_980):
+        body = bytearray(b"a, " * 133_340)
+        body[at : at + len(plain)] = plain
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+            text = "x " + base64.b64encode(pack(bytes(body))).decode() + ","
+            assert (2, len(text) - 1, 0) in {(s, e, k) for s, k, e in secrets.all_spans(text)[1]}, (at, pack)
+    # a member that goes on over many blocks of a large layer
+    inner = gzip.compress(rng.randbytes(200_000) + plain)
+    text = base64.b64encode(zlib.compress(rng.randbytes(70_000) + inner + rng.randbytes(10_000))).decode()
+    assert any(k == 0 for _, k, _ in secrets.all_spans(text)[1])
+    # as base64, longer than a block
+    text = base64.b64encode(zlib.compress(b", " * 30_000 + base64.b64encode(inner) + b", ")).decode()
+    assert any(k == 0 for _, k, _ in secrets.all_spans(text)[1])
+
+
+def test_a_layer_that_holds_itself_ends(monkeypatch):
+    monkeypatch.setattr(secrets, "BLOCK", 10)
+    packed = gzip.compress(b"0123456789" * 9)
+    monkeypatch.setattr(secrets.Packed, "__iter__", lambda self: iter([packed] * 3))
+    assert secrets.all_spans(base64.b64encode(packed).decode())[1] == []
+
+
+def test_random_nestings_are_unwrapped_to_the_end():
+    rng = random.Random(11)
+
+    def wrapped_lines(b):
+        return base64.encodebytes(b)
+
+    wraps = [
+        gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress, base64.b64encode, base64.urlsafe_b64encode, wrapped_lines,
+        lambda b: quote(b, safe="").encode(), lambda b: "".join(f"\\x{c:02x}" for c in b).encode(), lambda b: "".join(f"&#{c};" for c in b).encode(),
+        lambda b: b"some words, " + b + b", and more", lambda b: b.decode("latin-1").encode("utf-16-le"), lambda b: b"\xe9t\xe9, " + b + b",",
+    ]
+    for _ in range(150):
+        plain, names = f", secret={HEX}zz, ".encode(), []
+        for _ in range(rng.randint(1, 5)):
+            k = rng.randrange(len(wraps))
+            if k == 12 and (not plain.isascii() or b"\0" in plain):  # UTF-16 is a form of text
+                continue
+            plain, names = wraps[k](plain), [*names, k]
+            if len(plain) > 60_000:
+                break
+        text = "see " + base64.b64encode(plain).decode() + ", end"
+        found = [(text[s:e], k) for s, k, e in secrets.all_spans(text)[1]]
+        assert any(k == 0 for _, k in found), names
+        assert all(4 <= text.find(x) < len(text) - 5 for x, _ in found), names
 
 
 def test_frames(spark):
