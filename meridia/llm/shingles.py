@@ -11,8 +11,8 @@ pairs already in one cluster aren't compared again; every link is confirmed on t
 shingles. Nodes return spanning links, never all pairs.
 
 Defined cases: null text is empty; documents without words have an empty set, link with nothing and stay; documents with
-fewer words than a shingle have their whole word sequence as one; rows that repeat an id are one node; rows with a null id
-follow their set's class and stay; an empty table gives an empty result; other columns are ignored.
+fewer words than a shingle have their whole word sequence as one; rows that repeat an id are one node, also with different texts,
+which it then links, and stay or go together; rows with a null id follow their set's class and stay; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -114,15 +114,15 @@ def document_signatures(docs: DataFrame) -> DataFrame:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, shingles) for docs(doc_id, text): the sorted hashes, eight bytes each."""
+    """(set_key, shingles) for docs(text): the sorted hashes, eight bytes each, and their digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in chunks(batches, "text", 2_000_000):
             sets = [shingle_set(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"set_key": pa.array([hashlib.md5(x).digest() for x in sets], pa.binary()), "shingles": pa.array(sets, pa.binary())})
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, shingles binary")
+    return docs.select("text").mapInArrow(run, "set_key binary, shingles binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -266,20 +266,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row: doc_id, n_shingles, component_id, kept."""
     rows = slim(docs, doc_id=id_col, text=text_col)
     signed = materialize(document_signatures(rows), "signed")
-    found = signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").cast("long").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    found = materialize(found, "classes")
-    classes = found.filter("id IS NOT NULL")
+    found = signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").cast("long").alias("least"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    found = materialize(found.withColumn("id", F.monotonically_increasing_id()), "classes")  # a class's number is the one written
+    members = signed.select("doc_id", "n_shingles", "set_key").join(found.select("set_key", "id"), "set_key", "left")
+    members = materialize(members.select("doc_id", "n_shingles", "id"), "members")
+    classes = found.filter("least IS NOT NULL")
     groups = _distinct_groups(_nodes(classes)).join(classes.select("id", "n", "sig"), "id")
     sketched = materialize(groups.groupBy("g").applyInArrow(_sketched, "path bigint, id bigint").distinct(), "sketched")
-    wanted = sketched.select("id").distinct().hint("merge")  # it grows with the corpus: one plan at every size
-    texts = rows.join(wanted, rows["doc_id"] == wanted["id"], "left_semi")
-    sets = document_sets(texts).dropDuplicates(["doc_id"])
-    full = sketched.join(sets, F.col("id") == F.col("doc_id")).drop("doc_id").join(classes.select("id", "sig"), "id")
+    wanted = sketched.select("id").distinct().join(classes.select("id", "least"), "id").select("least").distinct().hint("merge")  # it grows with the corpus: one plan at every size
+    texts = rows.join(wanted, rows["doc_id"] == wanted["least"], "left_semi")
+    sets = document_sets(texts).dropDuplicates(["set_key"])
+    full = sketched.join(classes.select("id", "set_key", "sig"), "id").join(sets, "set_key").drop("set_key")
     links = materialize(full.groupBy("path").applyInArrow(_confirmed, "a bigint, b bigint"), "links")
-    parts = connected_components(links)
-    named = found.select("set_key", "id").join(parts, F.col("id") == F.col("node"), "left").select("set_key", F.coalesce("component", "id").alias("component"))
-    discard(sketched)
-    out = signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    # an id that repeats with other texts is one node: it joins its classes
+    own = members.filter("doc_id IS NOT NULL AND id IS NOT NULL")
+    torn = own.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("last")).filter("b < last").drop("last")
+    joins = own.join(torn, "doc_id").filter("id <> b").select(F.col("id").alias("a"), "b")
+    parts = materialize(connected_components(links.union(joins)), "parts")
+    discard(sketched, links, signed)
+    known = found.select("id", "least").join(parts, F.col("id") == F.col("node"), "left").drop("node")
+    least = known.filter("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("all"))
+    named = known.join(least, "component", "left").select("id", F.coalesce("all", "least").alias("component"))
+    out = members.join(named, "id", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.cast("long").alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -90,3 +90,38 @@ def test_odd_rows(spark):
 def test_dropping_keeps_columns(spark):
     df = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y"), (3, None, "z")], "doc_id long, text string, source string")
     assert sorted(r.source for r in shingles.drop_near_duplicates(df).collect()) == ["y", "z"]
+
+
+def test_repeated_ids_with_other_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, b + " c"), (3, a + " d"), (4, "other words here that link with nothing")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in shingles.near_groups(df).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
+
+
+def test_a_table_against_an_exact_index(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    s = {r.doc_id: sets(r.text) for r in df.collect()}
+    holders = {}
+    for i, x in s.items():
+        for y in x:
+            holders.setdefault(y, []).append(i)
+    parent = {i: i for i in s}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i, x in s.items():
+        count = {}
+        for y in x:
+            for j in holders[y]:
+                count[j] = count.get(j, 0) + 1
+        for j, n in count.items():
+            if i != j and 100 * n >= 75 * (len(x) + len(s[j]) - n):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in shingles.near_groups(df).collect()}
+    assert got == {i: (len(s[i]), find(i), find(i) == i) for i in s}
