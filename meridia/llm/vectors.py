@@ -167,12 +167,15 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     rows = slim(vectors, vec_id=id_col, v=vector_col, label=label_col)
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    rows = rows.withColumn("v", F.when(good & finite & F.exists("v", lambda c: c != 0), F.col("v").cast("array<double>")))
+    kept = F.col("v") if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else F.col("v").cast("array<double>")
+    rows = rows.withColumn("v", F.when(good & finite & F.exists("v", lambda c: c != 0), kept))
     classes = rows.filter("v IS NOT NULL").groupBy("label", "v").agg(F.min("vec_id").cast("long").alias("id"), F.count("*").alias("m"))
     classes = materialize(classes.withColumn("dim", F.size("v")), "classes")
     seen = classes.agg(F.count("*"), F.max("dim")).first()
     tables, width = plan_tables(seen[0], seen[1] or 1, threshold)
     probes = PROBES
+    # codes and vectors go to every bucket: in four bytes each where these hold them
+    narrow = (2 << max(0, ((seen[1] or 1) - 1).bit_length())) ** width < 2**31
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,13 +183,13 @@ def linked_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
             codes = np.empty((batch.num_rows, tables * (1 + probes)), np.int64)
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = _matrix(batch.column("v").take(pa.array(at)))
+                x = _matrix(batch.column("v").take(pa.array(at))).astype(np.float64)
                 codes[at] = buckets(x / np.abs(x).max(1, keepdims=True), tables, width, probes).reshape(len(at), -1)
-            lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, codes.shape[1], np.int32), codes.ravel())
+            lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, codes.shape[1], np.int32), codes.ravel().astype(np.int32 if narrow else np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "codes"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
-    coded = materialize(classes.mapInArrow(hashed, f"{kinds}, codes array<bigint>"), "coded")
+    coded = materialize(classes.mapInArrow(hashed, f"{kinds}, codes array<{'int' if narrow else 'bigint'}>"), "coded")
     places = coded.select("label", "dim", "id", F.posexplode("codes").alias("pos", "bucket"))
     places = places.select("label", "dim", "id", F.expr(f"CAST(pos DIV {1 + probes} AS INT)").alias("t"), "bucket", (F.col("pos") % (1 + probes) == 0).alias("stands"))
     places = places.groupBy("label", "dim", "t", "bucket", "id").agg(F.max("stands").alias("stands"))

@@ -78,6 +78,31 @@ def test_extra_columns_and_null_ids(spark):
     assert got == [(-1, 0, True), (1, 0, True)]
 
 
-def test_recall_at_the_threshold():
-    tables, width = vectors.plan_tables(2_000_000, 64)
-    assert width >= 2 and tables >= 4
+def test_recall_at_the_threshold(spark):
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cos = rng.uniform(0.931, 0.936, (len(a), 1))
+    x = np.concatenate((a, cos * a + np.sqrt(1 - cos**2) * b)).astype(np.float32)
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    want = ((y @ y.T) >= vectors.THRESHOLD).sum(1) - 1
+    df = spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in vectors.linked_vectors(df).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.999 * want.sum() > 2000
+
+
+def test_a_table_against_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.collect()
+    x = np.array([r.embedding for r in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([-1 if r.label is None else r.label for r in rows])
+    near = (x @ x.T >= vectors.THRESHOLD) & (label[:, None] == label) & (label >= 0)[:, None]
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in vectors.linked_vectors(df).collect()}
+    assert got == {r.vec_id: int(n) for r, n in zip(rows, near.sum(1), strict=True)}
