@@ -63,6 +63,33 @@ def test_subwords_agree_with_a_plain_count():
 
 
 def test_a_text_is_predicted_alike_in_any_company(spark):
-    model = language.train([(np.unique(c), np.full(len(np.unique(c)), 1 / len(np.unique(c)))) for c in (np.arange(5), np.arange(5, 10))], ["a", "b"])
+    model = language.train([(x, k, np.arange(5 * k, 5 * k + 5), np.ones(5)) for k, x in enumerate(["a", "b", None])])
     alone = [model.predict([t])[1][0] for t in ("thaing ther", "", "einé", "x")]
     assert np.allclose(model.predict(["thaing ther", "", "einé", "x"])[1], alone)
+
+
+def test_what_is_in_no_learned_language_is_rejected(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("text IS NOT NULL")
+    got = language.with_languages(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    all_, gone, right = got.agg(F.count("*"), F.count_if("rejected"), F.count_if(F.col("lang") == F.col("lang_pred"))).first()
+    assert gone <= 0.003 * all_ and right >= 0.99 * all_
+    # a language left out of training, and no language at all
+    model = language.learned(docs.filter("lang <> 'de'").withColumn("held_out", F.lit(False)))
+    unknown = [r.text for r in docs.filter("lang = 'de' AND n_chars > 100").limit(300).collect()]
+    assert model.predict(unknown)[2].mean() >= 0.9
+    rng = np.random.default_rng(5)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), n)) for n in rng.integers(60, 600, 200)]
+    assert model.predict(noise)[2].mean() >= 0.95
+    # short texts and mixtures stay
+    short = [language.short_piece(r.text, rng, 3) for r in docs.filter("lang IN ('en', 'fr') AND n_chars > 20").limit(300).collect()]
+    assert model.predict(short)[2].mean() <= 0.02
+
+
+def test_many_languages_are_all_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 60)
+    rng = random.Random(2)
+    rows = [(12 * k + i, " ".join("".join(chr(97 + k) + rng.choice("aeiou") for _ in range(3)) for _ in range(20)), f"l{k:02d}") for k in range(20) for i in range(12)]
+    got = language.with_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len({r.lang_pred for r in got}) == 20
