@@ -5,9 +5,15 @@ trees: aligning a further page with it keeps what both have, makes what only one
 into a repeated group, and turns texts that differ into slots. Aligning two wrappers works alike, so each task first aligns
 the pages of a host that it reads, and only these partial wrappers are shuffled: a hot host is as cheap as any.
 
-A wrapper's slots are then told apart: those in an article or main element, or, where a host has none of these, those whose
-text differs from page to page and isn't mostly links; never those in menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles or reader comments, by element, role, class or id. A page's text is what stands in its host's main slots.
+A node of more than WIDE parts becomes a repeated group in which each shape is one optional part, and where classes alone make as
+many shapes, they become one of any class; what lies deeper than DEEP elements counts to the part above it. So a wrapper stays small
+whatever the pages of a host hold.
+
+A wrapper says how much text each slot holds, how much of it is in links, and whether it was the same on all of three different
+pages or more (copies of a page count once). A page's main part is found by its own slots: of those that differ between pages and
+aren't mostly links, the deepest element with SHARE of the host's text. Slots in article or main elements weigh more. Never part of the text are slots in menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles or reader comments, by element, role, class or id. Pages of several templates on one host
+so have their main parts each.
 
 Defined cases: null html is an empty page; a page without main text has empty text; a null or odd url belongs to the host ''
 or to what stands for one; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
@@ -45,7 +51,11 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|textarea|iframe|object|canvas|select|title|xmp)\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>?|</(?P<close>[a-zA-Z][^\s>/]*)[^>]*>?|<(?P<open>[a-zA-Z][^\s>/]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'">])*)>|(?P<text>[^<]+|<)""",
     re.S | re.I,
 )
+NUMBERED = re.compile(r"[0-9]{3,}")
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+WIDE, DEEP = 24, 60
+LEAST_PAGES = 3  # different pages with one text in a slot: it isn't theirs
+MAIN_WEIGHT, SHARE = 20, 0.85
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
@@ -63,16 +73,22 @@ def shape(tag: str, attrs: str, in_main: bool) -> str:
                 words = set(re.split(r"[^a-z0-9]+", value))
                 bad |= bool(words & NOT_TEXT) or (not in_main and bool(words & HEADING))
                 if name == "class" and value.split():
-                    first = "." + value.split()[0][:40]
+                    first = "." + NUMBERED.sub("#", value.split()[0]).replace("/", "_")
     return tag + first + ("!" if bad and tag not in ("html", "body", "article", "main") else "")
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
     """(path of shapes, text, characters of it in links) of each block of text, in order."""
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str, int, int]] = []  # tag, shape, and how many of the elements so far are main or hold no main text
     path: tuple[str, ...] = ()
     held: list[str] = []
-    links = link_depth = in_main = 0
+    links = link_depth = open_p = 0
+
+    def place() -> tuple[str, ...]:
+        if len(stack) <= DEEP:
+            return tuple([x[1] for x in stack])
+        top, above = stack[-1], stack[DEEP - 2]
+        return (*[x[1] for x in stack[: DEEP - 1]], ("article" if top[2] > above[2] else "div") + ".deep" + "!" * (top[3] > above[3]))
 
     def flush():
         nonlocal links
@@ -83,12 +99,11 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         return out
 
     def pop_to(k: int) -> None:
-        nonlocal path, in_main, link_depth
-        for tag, _ in stack[k:]:
-            in_main -= tag in MAIN
+        nonlocal path, link_depth, open_p
+        open_p -= sum([x[0] == "p" for x in stack[k:]])
         del stack[k:]
         link_depth = 0
-        path = tuple(s for _, s in stack)
+        path = place()
 
     for m in TOKEN.finditer(page):
         if m["text"] is not None:
@@ -107,16 +122,18 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
                 yield flush()
             if tag in VOID:
                 continue
-            if tag in CLOSES_P and any(t == "p" for t, _ in stack):
-                k = max(i for i, (t, _) in enumerate(stack) if t == "p")
+            if tag in CLOSES_P and open_p:
+                k = max(i for i, x in enumerate(stack) if x[0] == "p")
                 pop_to(k)
             for other in CLOSES.get(tag, ()):
                 k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == other), -1)
-                if k >= 0 and not any(t in ("ul", "ol", "table", "dl") for t, _ in stack[k:]):
+                if k >= 0 and not any(x[0] in ("ul", "ol", "table", "dl") for x in stack[k:]):
                     pop_to(k)
-            stack.append((tag, shape(tag, m["attrs"] or "", in_main > 0)))
-            in_main += tag in MAIN
-            path = (*path, stack[-1][1])
+            mains, bad = stack[-1][2:] if stack else (0, 0)
+            name = shape(tag, m["attrs"] or "", mains > 0)
+            stack.append((tag, name, mains + (tag in MAIN), bad + name.endswith("!")))
+            open_p += tag == "p"
+            path = (*path, stack[-1][1]) if len(stack) <= DEEP else place()
         elif m["close"]:
             tag = m["close"].lower()
             if tag in INLINE:
@@ -132,13 +149,14 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         yield flush()
 
 
-# A wrapper's node is [shape, optional, repeated, pages, children]; a text slot has the shape '#' and, for children, [digest or
-# null for differing texts, characters, characters in links].
+# A wrapper's node is [shape, optional, repeated, pages, children]; pages holds their number and the LEAST_PAGES smallest digests of them.
+# A text slot has the shape '#' and, for children, [digest or null for differing texts, characters, characters in links].
 
 
 def page_tree(page: str) -> list:
     """A page as a wrapper of one page."""
-    root = ["", False, False, 1, []]
+    own = [1, zlib.crc32(page.encode(errors="replace"))]
+    root = ["", False, False, own, []]
     open_: list[list] = [root]
     last: tuple[str, ...] = ()
     for path, text, links in blocks(page):
@@ -151,9 +169,9 @@ def page_tree(page: str) -> list:
             same -= 1
         del open_[same + 1 :]
         for s in path[same:]:
-            open_[-1][4].append(node := [s, False, False, 1, []])
+            open_[-1][4].append(node := [s, False, False, own, []])
             open_.append(node)
-        open_[-1][4].append(["#", False, False, 1, [zlib.crc32(text.encode()), len(text), min(links, len(text))]])
+        open_[-1][4].append(["#", False, False, own, [zlib.crc32(text.encode()), len(text), min(links, len(text))]])
         last = path
     return folded(root)
 
@@ -163,24 +181,56 @@ def folded(node: list) -> list:
     if node[0] == "#":
         return node
     out: list[list] = []
-    for child in map(folded, node[4]):
-        if out and out[-1][0] == child[0]:
-            out[-1] = aligned(out[-1], child, within=True)
-            out[-1][2] = True
-        else:
-            out.append(child)
-    node[4] = out
+    for child in node[4]:
+        put(out, folded(child))
+    node[4] = narrowed(out)
     return node
 
 
+def put(parts: list[list], node: list) -> None:
+    """Adds a further part; after one of its shape, the group repeats."""
+    if parts and parts[-1][0] == node[0]:
+        parts[-1] = aligned(parts[-1], node, within=True)
+        parts[-1][2] = True
+    else:
+        parts.append(node)
+
+
+def any_class(shape_: str) -> str:
+    """The shape of elements of one name, whatever their class."""
+    return shape_ if shape_ == "#" else shape_.rstrip("!").split(".")[0] + ".*" + "!" * shape_.endswith("!")
+
+
+def narrowed(parts: list[list]) -> list[list]:
+    """Parts, if too many, as a repeated group of one optional part a shape; if too many still, one a name."""
+    for name in (lambda s: s, any_class):
+        if len(parts) <= WIDE:
+            break
+        by: dict[str, list] = {}
+        for x in parts:
+            x = [name(x[0]), True, True, *x[3:]]
+            by[x[0]] = aligned(by[x[0]], x, True) if x[0] in by else x
+        parts = list(by.values())
+    return parts
+
+
 def aligned(a: list, b: list, within: bool = False) -> list:
     """The least expression that covers both nodes, which are of one shape; within: both stand in the same page."""
-    pages = max(a[3], b[3]) if within else a[3] + b[3]
+    pages = [max(a[3][0], b[3][0]) if within else a[3][0] + b[3][0], *sorted({*a[3][1:], *b[3][1:]})[:LEAST_PAGES]]
     flags = [a[0], a[1] or b[1], a[2] or b[2], pages]
     if a[0] == "#":
         x, y = a[4], b[4]
         return [*flags, [x[0] if x[0] == y[0] else None, x[1] + y[1], x[2] + y[2]]]
     left, right = a[4], b[4]
+    # a part of a name whose classes became one goes to that one
+    for mine, other in ((left, right), (right, left)):
+        wild = {x[0] for x in mine if ".*" in x[0]}
+        if wild and any(x[0] not in wild and any_class(x[0]) in wild for x in other):
+            by = [[any_class(x[0]) if any_class(x[0]) in wild else x[0], *x[1:]] for x in other]
+            if other is right:
+                right = merged_parts(by)
+            else:
+                left = merged_parts(by)
     n, m = len(left), len(right)
     if [x[0] for x in left] == [y[0] for y in right]:
         return [*flags, [aligned(x, y, within) for x, y in zip(left, right, strict=True)]]
@@ -190,25 +240,25 @@ def aligned(a: list, b: list, within: bool = False) -> list:
             best[i][j] = best[i + 1][j + 1] + 1 if left[i][0] == right[j][0] else max(best[i + 1][j], best[i][j + 1])
     out: list[list] = []
     i = j = 0
-
-    def put(node: list) -> None:
-        if out and out[-1][0] == node[0]:  # a further one of a shape: the group repeats
-            out[-1] = aligned(out[-1], node, True)
-            out[-1][2] = True
-        else:
-            out.append(node)
-
     while i < n or j < m:
         if i < n and j < m and left[i][0] == right[j][0]:
-            put(aligned(left[i], right[j], within))
+            put(out, aligned(left[i], right[j], within))
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            put([left[i][0], True, *left[i][2:]])
+            put(out, [left[i][0], True, *left[i][2:]])
             i += 1
         else:
-            put([right[j][0], True, *right[j][2:]])
+            put(out, [right[j][0], True, *right[j][2:]])
             j += 1
-    return [*flags, out]
+    return [*flags, narrowed(out)]
+
+
+def merged_parts(parts: list[list]) -> list[list]:
+    """Parts of which some came to have one shape, each shape once."""
+    by: dict[str, list] = {}
+    for x in parts:
+        by[x[0]] = aligned(by[x[0]], x, True) if x[0] in by else x
+    return list(by.values())
 
 
 def expression(node: list) -> str:
@@ -222,26 +272,46 @@ def expression(node: list) -> str:
     return f"({body}){mark}" if mark else body
 
 
-def main_slots(wrapper: list) -> list[str]:
-    """The paths of the slots that hold main text."""
-    slots: dict[str, list[int]] = {}
-
-    def walk(node: list, path: tuple[str, ...]) -> None:
+def slots(wrapper: list) -> dict[str, float]:
+    """The weight of each path of slots: its characters a page, more in article or main elements, 0 if its text isn't the page's own (one
+    text on different pages, or links for the most part), and -1 if it is never main text. Paths with parts of any class end so."""
+    found: dict[str, list] = {}
+    waiting = [(wrapper, ())]
+    while waiting:
+        node, path = waiting.pop()
         if node[0] == "#":
-            same = node[4][0] is not None and node[3] >= 3
-            x = slots.setdefault("/".join(path), [0, 0, 0])
+            x = found.setdefault("/".join(path), [0, 0, False, 1])
             x[0] += node[4][1]
             x[1] += node[4][2]
-            x[2] |= same
-            return
-        for child in node[4]:
-            walk(child, (*path, node[0]) if node[0] else path)
-
-    walk(wrapper, ())
-    fine = {p: x for p, x in slots.items() if not any(s.endswith("!") for s in p.split("/"))}
-    inside = [p for p in fine if any(s.split(".")[0] in MAIN for s in p.split("/"))]
-    rest = [p for p, (n, links, same) in fine.items() if not same and links * 2 < n and not p.startswith("head")]
-    return sorted(inside or rest)
+            x[2] |= node[4][0] is not None and len(node[3]) > LEAST_PAGES
+            x[3] = max(x[3], node[3][0])
+        else:
+            waiting += [(child, (*path, node[0]) if node[0] else path) for child in node[4]]
+    out = {}
+    for p, (n, links, same, pages) in found.items():
+        parts = p.split("/")
+        if any(s.endswith("!") for s in parts) or p.startswith("head"):
+            out[p] = -1.0
+        else:
+            own = not same and links * 2 < n
+            out[p] = n / pages * own * (MAIN_WEIGHT if any(s.split(".")[0] in MAIN for s in parts) else 1.0)
+    return out
+
+
+def main_part(paths: set[tuple[str, ...]], weight: dict[str, float]) -> tuple[str, ...] | None:
+    """The path of the element that holds a page's main text; null if it has none."""
+    held: dict[tuple[str, ...], float] = {}
+    for p in paths:
+        w = weight.get("/".join(p), 0.0)
+        if w > 0:
+            for k in range(len(p) + 1):
+                held[p[:k]] = held.get(p[:k], 0.0) + w
+    if not held:  # an article that is the same on different pages is still one
+        inside = sorted(p[: k + 1] for p in paths for k, x in enumerate(p) if x.split(".")[0] in MAIN and weight.get("/".join(p)) == 0)
+        return inside[0] if inside else None
+    at = max((p for p in held if held[p] >= SHARE * held[()]), key=lambda p: (len(p), p))
+    main = next((k + 1 for k, s in enumerate(at) if s.split(".")[0] in MAIN), None)
+    return at if main is None else at[:main]  # all of the article
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
@@ -270,15 +340,52 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
         for x in sorted(group.column("wrapper").to_pylist()):
             tree = json.loads(x)
             wrapper = tree if wrapper is None else aligned(wrapper, tree)
-        return pa.table({"host": group.column("host")[:1], "wrapper": pa.array([json.dumps(wrapper)]), "main": pa.array([main_slots(wrapper)], pa.list_(pa.string()))})
+        found = slots(wrapper)
+        return pa.table({"host": group.column("host")[:1], "wrapper": pa.array([json.dumps(wrapper)]), "slots": pa.array([json.dumps(found)])})
 
     parts = pages.select("host", "html").mapInArrow(partial, "host string, wrapper string")
-    return parts.groupBy("host").applyInArrow(whole, "host string, wrapper string, main array<string>")
-
-
-def main_text(page: str, main: frozenset[str]) -> str:
-    """The blocks of a page that stand in main slots, two newlines between them."""
-    return "\n\n".join([text for path, text, _ in blocks(page) if text and "/".join(path) in main])
+    return parts.groupBy("host").applyInArrow(whole, "host string, wrapper string, slots string")
+
+
+class Wrapped:
+    """A host's slots, to read its pages by."""
+
+    def __init__(self, weight: dict[str, float]):
+        self.weight = weight
+        self.wild = {"/".join(q[: k + 1]) for p in weight if ".*" in p for q in [p.split("/")] for k, s in enumerate(q) if ".*" in s}
+        self.known: dict[tuple[str, ...], tuple[str, ...]] = {}
+        self.main: dict[frozenset, tuple[str, ...] | None] = {}
+
+    def path(self, path: tuple[str, ...]) -> tuple[str, ...]:
+        """A page's path as the wrapper has it."""
+        if not self.wild:
+            return path
+        if path not in self.known:
+            out: tuple[str, ...] = ()
+            for s in path:
+                any_ = (*out, any_class(s))
+                out = any_ if "/".join(any_) in self.wild else (*out, s)
+            self.known[path] = out
+        return self.known[path]
+
+    def text(self, page: str) -> str:
+        """The blocks of a page that stand in its main part, two newlines between them."""
+        rows = [(self.path(path), text) for path, text, _ in blocks(page) if text]
+        paths = frozenset(p for p, _ in rows)
+        if paths not in self.main:
+            if len(self.main) > 2000:
+                self.main.clear()
+            self.main[paths] = main_part(paths, self.weight)
+        at = self.main[paths]
+        if at is None:
+            return ""
+        whole = any(s.split(".")[0] in MAIN for s in at)
+        return "\n\n".join([t for p, t in rows if p[: len(at)] == at and ((w := self.weight.get("/".join(p), -1.0)) > 0 or (whole and w == 0))])
+
+
+def main_text(page: str, weight: dict[str, float]) -> str:
+    """The main text of a page by its host's slots."""
+    return Wrapped(weight).text(page)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -286,19 +393,21 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = slim(pages, page_id=id_col, url=url_col, html=html_col)
     rows = rows.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)))
     # Written first: a join of two tables is one that AQE can split where a host is hot, or send out where wrappers are few.
-    known = materialize(host_wrappers(rows).select("host", "main"), "wrappers")
+    known = materialize(host_wrappers(rows).select("host", "slots"), "wrappers")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots: dict[tuple[str, ...], frozenset[str]] = {}
+        held: dict[str, Wrapped] = {}
         for batch in batches:
             texts = []
-            for page, main in zip(batch.column("html"), batch.column("main"), strict=True):
-                key = tuple(main.as_py() or ())
-                if len(slots) > 5000:
-                    slots.clear()
-                texts.append(main_text(page.as_py() or "", slots.setdefault(key, frozenset(key))))
+            for page, own in zip(batch.column("html"), batch.column("slots"), strict=True):
+                key = own.as_py() or "{}"
+                if key not in held:
+                    if len(held) > 500:
+                        held.clear()
+                    held[key] = Wrapped(json.loads(key))
+                texts.append(held[key].text(page.as_py() or ""))
             yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "main")
+    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "slots")
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html as entities
+import json
+import re
+
 from meridia.llm import wrappers as w
 
 
@@ -14,7 +18,7 @@ def merged(*pages):
 
 
 def text(page, *others):
-    return w.main_text(page, frozenset(w.main_slots(merged(page, *others))))
+    return w.main_text(page, w.slots(merged(page, *others)))
 
 
 def test_expression_has_slots_optional_and_repeated_groups():
@@ -26,7 +30,7 @@ def test_expression_has_slots_optional_and_repeated_groups():
 
 def test_alignment_covers_whatever_the_order():
     pages = [f"<body><div class='a'>{'<p>t%d</p>' % i * (i % 3)}</div>{'<div class=b>s</div>' if i % 2 else ''}</body>" for i in range(6)]
-    slots = [set(w.main_slots(merged(*x))) for x in (pages, pages[::-1], pages[2:] + pages[:2])]
+    slots = [w.slots(merged(*x)) for x in (pages, pages[::-1], pages[2:] + pages[:2])]
     assert slots[0] == slots[1] == slots[2]
 
 
@@ -52,8 +56,49 @@ def test_odd_pages():
     assert text("<article><p>cut off in <b>the mid") == "cut off in the mid"
     assert text("<article><p title='a>b'>t</p><script>never closed") == "t"
     assert text("<article>1 < 2 and <3</article>") == "1 < 2 and <3"
-    deep = "<div>" * 300 + "<article><p>deep</p></article>"
-    assert text(deep) == "deep"
+    for n in (300, 20_000):
+        deep = "<div>" * n + "<article><p>deep</p></article>"
+        assert text(deep) == "deep" and text(deep + "<nav>menu</nav>") == "deep"
+    assert text("".join(f"<div class=c{chr(97 + i % 26)}{i}>" for i in range(3000)) + "<p>x</p>") == "x"
+
+
+def test_templates_of_one_host_have_their_main_parts_each():
+    article = lambda i: f"<body><nav>n</nav><article><h1>T{i}</h1><p>Words of page {i}</p></article><div class=end>Site {i}</div></body>"
+    plain = lambda i: f"<body><div class=top>Welcome</div><div class=content><p>Other words {i} and more of them</p><p>Last {i}</p></div><div class=end>S {i}</div></body>"
+    pages = [article(1)] + [plain(i) for i in range(2, 12)]
+    weight = w.slots(merged(*pages))
+    assert w.main_text(pages[0], weight) == "T1\n\nWords of page 1"
+    assert [w.main_text(p, weight) for p in pages[1:]] == [f"Other words {i} and more of them\n\nLast {i}" for i in range(2, 12)]
+    copies = [plain(7)] * 6
+    assert text(*copies) == text(plain(7)).replace("x", "x") != ""
+
+
+def test_slots_follow_from_the_wrapper():
+    page = lambda i: f"<body><div class=x1><p>All the same words here</p></div><div class=x2><p>Own words {i} of this page</p></div></body>"
+    assert text(page(1)) != text(page(1), page(2), page(3)) == "Own words 1 of this page"  # a single page says nothing of sameness
+
+
+def test_a_hot_host_with_classes_of_its_own_stays_small():
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(7919 * i))
+    page = lambda i: f"<body><div class={name(i)}><p>Own {i}</p></div><div class=post-{i}><h2>H {i}</h2>" + "<h3>a</h3><p>b</p>" * 40 + "</div></body>"
+    sizes = []
+    tree = None
+    for i in range(400):
+        one = w.page_tree(page(i))
+        tree = one if tree is None else w.aligned(tree, one)
+        sizes.append(len(json.dumps(tree)))
+    assert sizes[-1] < 3 * sizes[40] and sizes[-1] < 20_000
+    assert "Own 5" in w.main_text(page(5), w.slots(tree))
+
+
+def test_a_table_by_the_articles_of_its_pages(spark):
+    got = {r.page_id: r.text for r in w.extracted(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for r in rows:
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        body = re.sub(r'<div class="ad">.*?</div>|<script.*?</script>|<!--.*?-->', "\n", body, flags=re.S)
+        words = " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", body)).split())
+        assert re.sub(r"\s", "", got[r.page_id]) == re.sub(r"\s", "", words), r.page_id
 
 
 def test_frames(spark):
