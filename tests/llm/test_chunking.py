@@ -65,3 +65,51 @@ def test_copies_repeats_and_null_ids(spark):
     inner = words(rng, 60)
     alone = spark.createDataFrame([(1, f"{inner} xx {inner}")], "doc_id long, text string")
     assert chunking.repeated_passages(alone).count() == 0
+
+
+def test_passages_of_51_short_words_are_found_with_exact_ends(spark):
+    rng = random.Random(8)
+
+    def short(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice([1, 2, 2, 3, 4]))) for _ in range(n))
+
+    rows, want = [], {}
+    for k in range(150):
+        passage = short(51)
+        for i in (2 * k, 2 * k + 1):
+            # no common sign next to the passage
+            head, tail = short(60) + ("." if i % 2 else ","), ("!" if i % 2 else "?") + short(60)
+            rows.append((i, head + passage + tail))
+            want[i] = (len(head), len(head) + len(passage))
+    rows += [(1000 + i, short(200)) for i in range(50)]
+    for k in range(20):  # of 35 words: not a passage
+        line = short(35)
+        rows += [(2000 + 2 * k + j, f"{short(50)} {line} {short(50)}") for j in range(2)]
+    got = chunking.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.doc_id: (r.passage_start, r.passage_end) for r in got}
+    assert set(found) <= set(want)
+    assert sum(found.get(i) == x for i, x in want.items()) >= 0.98 * len(want)
+
+
+def test_a_line_of_an_earlier_document_beside_a_passage(spark):
+    rng = random.Random(12)
+    line, passage = words(rng, 20), words(rng, 80)
+    rows = [(2, f"{words(rng, 60)} {line} {words(rng, 60)}"), (5, f"{words(rng, 60)} {line} {passage} {words(rng, 60)}"), (9, f"{words(rng, 60)} {line} {passage} {words(rng, 60)}"), (7, words(rng, 100))]
+    got = chunking.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {5, 9}
+    texts = {i: t.encode() for i, t in rows}
+    left = dict(texts)
+    for r in sorted(got, key=lambda r: -r.start_byte):
+        assert r.kept == (r.first_doc_id == r.doc_id)
+        if not r.kept:
+            left[r.doc_id] = left[r.doc_id][: r.start_byte] + left[r.doc_id][r.end_byte :]
+    whole = b"\n".join(left.values())
+    assert all(w in whole for w in passage.encode().split()) and sum(passage[20:].encode() in t for t in left.values()) == 1
+    assert any(r.doc_id == 9 and r.first_doc_id == 5 for r in got) and any(r.doc_id == 9 and r.first_doc_id == 2 for r in got)
+
+
+def test_repeated_ids_with_other_texts(spark):
+    rng = random.Random(13)
+    a, b = words(rng, 100), words(rng, 100)
+    got = chunking.repeated_passages(spark.createDataFrame([(1, a), (1, b), (2, b)], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.passage_start, r.passage_end, r.kept) for r in got} == {(1, 0, len(b), True), (2, 0, len(b), False)}
