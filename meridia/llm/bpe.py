@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame
 from .common import slim
 
 NONE = np.int32(2**31 - 1)
-CHUNK_CHARS = 1_500_000
-KEEP_WORDS = 500_000
+CHUNK_CHARS = 8_000_000  # bytes of text whose new words are merged at once
+SPLIT_CHARS = 1_000_000  # signs of text split into words at once
+KEEP_WORDS = 1_000_000  # words remembered from chunk to chunk
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 CUT = re.compile(r"\S(?=[ \n])")
@@ -240,9 +241,9 @@ def _upto(x: int, n: int) -> np.ndarray:
 
 
 def pieces(text: str) -> Iterator[str]:
-    """A text cut after about CHUNK_CHARS where a blank follows another sign: a match of the pattern always begins there."""
+    """A text cut after about SPLIT_CHARS where a blank follows another sign: a match of the pattern always begins there."""
     at = 0
-    while len(text) - at > CHUNK_CHARS and (m := CUT.search(text, at + CHUNK_CHARS)):
+    while len(text) - at > SPLIT_CHARS and (m := CUT.search(text, at + SPLIT_CHARS)):
         yield text[at : m.end()]
         at = m.end()
     yield text[at:]
@@ -254,7 +255,7 @@ def _powers() -> tuple[np.ndarray, ...]:
     out = []
     for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
         for x in (p, pow(p, -1, 2**64)):
-            out.append(_upto(x, CHUNK_CHARS))
+            out.append(_upto(x, SPLIT_CHARS))
     return tuple(out)
 
 
@@ -296,19 +297,45 @@ class Encoder:
         self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and how many each text has. A very long text is taken piece by piece."""
-        if not any(len(t) > CHUNK_CHARS for t in texts):
-            return self._encode_flat(texts)
-        found, counts = [], []
-        for t in texts:
-            parts = [self._encode_flat([p])[0] for p in pieces(t)]
-            found += parts
-            counts.append(sum(map(len, parts)))
-        return np.concatenate(found), np.array(counts, np.int64)
-
-    def _encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each text has. Words are found part by part, a very long text in
+        pieces; the new ones of all parts are merged together."""
         if len(self.keys) > KEEP_WORDS:
             self._forget()
+        parts: list[list[str]] = [[]]
+        owner, room = [], SPLIT_CHARS
+        for i, t in enumerate(texts):
+            for piece in pieces(t) if len(t) > SPLIT_CHARS else (t,):
+                if parts[-1] and len(piece) > room:
+                    parts.append([])
+                    room = SPLIT_CHARS
+                parts[-1].append(piece)
+                room -= len(piece)
+                owner.append(i)
+        done = self._encode_parts(parts)
+        n = np.bincount(np.array(owner, np.int64), np.concatenate([c for _, c in done]), len(texts)).astype(np.int64)
+        return np.concatenate([ids for ids, _ in done]), n
+
+    def _encode_parts(self, parts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each part the ids, and how many each text has."""
+        found = [self._split(part) for part in parts]
+        if not self._learn([x for x in found if len(x) == 5]):  # words of two parts agree in a key by chance
+            out = []
+            for part in parts:
+                self._forget()
+                out += self._encode_parts([part])
+            return out
+        out = []
+        for x in found:
+            if len(x) == 5:
+                keys, code, per_text = x[:3]
+                at = np.searchsorted(self.keys, keys)
+                x = self._gather(self.ids, self.starts[at], self.counts[at], code, per_text)
+            out.append(x)
+        return out
+
+    def _split(self, texts: list[str]):
+        """The words of a part: their distinct keys, which of these each word has, words per text, and the new keys' checks and
+        words. Without words, or where words agree in a key by chance, the part's ids and counts."""
         points, ends, per_text = split_words(texts)
         if not len(ends):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
@@ -316,27 +343,34 @@ class Encoder:
         code, keys = pd.factorize(key)
         one = np.empty(len(keys), np.int64)
         one[code[::-1]] = np.arange(len(code))[::-1]
-        if (check[one][code] != check).any():  # two words under one key: both keys together tell them apart
-            _, one, code = np.unique(np.stack((key, check)), axis=1, return_index=True, return_inverse=True)
-            ids, counts = self.learn(self._words(points, ends, one))
-            return self._gather(ids, np.cumsum(counts) - counts, counts, code, per_text)
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        if len(self.keys) and (self.checks[at[known]] != check[one[known]]).any():
-            self._forget()
-            known = np.zeros(len(keys), bool)
+        torn = len(self.keys) and (self.checks[at[known]] != check[one[known]]).any()
+        if torn or (check[one][code] != check).any():  # two words under one key: both keys together tell them apart
+            _, one, code = np.unique(np.stack((key, check)), axis=1, return_index=True, return_inverse=True)
+            ids, counts = self.learn(self._words(points, ends, one))
+            return self._gather(ids, np.cumsum(counts) - counts, counts, code, per_text)
         new = np.flatnonzero(~known)
-        if len(new):
-            ids, counts = self.learn(self._words(points, ends, one[new]))
-            every = np.concatenate((self.keys, keys[new]))
-            order = np.argsort(every)
-            self.keys, self.checks = every[order], np.concatenate((self.checks, check[one[new]]))[order]
-            self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))[order]
-            self.counts = np.concatenate((self.counts, counts))[order]
-            self.ids = np.concatenate((self.ids, ids))
-            at = np.searchsorted(self.keys, keys)
-        return self._gather(self.ids, self.starts[at], self.counts[at], code, per_text)
+        return keys, code, per_text, (keys[new], check[one[new]]), self._words(points, ends, one[new])
+
+    def _learn(self, parts: list[tuple]) -> bool:
+        """Merges the new words of all parts and keeps their ids; false if their keys don't tell them apart."""
+        fresh = np.concatenate([x[3][0] for x in parts]) if parts else np.zeros(0, np.uint64)
+        if not len(fresh):
+            return True
+        checks, words = np.concatenate([x[3][1] for x in parts]), [w for x in parts for w in x[4]]
+        keys, first = np.unique(fresh, return_index=True)
+        if (checks[first][np.searchsorted(keys, fresh)] != checks).any():
+            return False
+        ids, counts = self.learn([words[i] for i in first.tolist()])
+        every = np.concatenate((self.keys, keys))
+        order = np.argsort(every)
+        self.keys, self.checks = every[order], np.concatenate((self.checks, checks[first]))[order]
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))[order]
+        self.counts = np.concatenate((self.counts, counts))[order]
+        self.ids = np.concatenate((self.ids, ids))
+        return True
 
     @staticmethod
     def _words(points: np.ndarray, ends: np.ndarray, which: np.ndarray) -> list[bytes]:

@@ -301,7 +301,7 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     n, before, ends = int(df[-1]), None, []
     for turn, level in enumerate(levels):
         order = ["k0", "k1", "k2", "u"]
-        dealt = with_keys(pool, df, turn).repartitionByRange(max(1, -(-n // (2 * shard))), *order).sortWithinPartitions(*order)
+        dealt = with_keys(pool, df, turn).repartitionByRange(max(1, -(-n // (8 * shard))), *order).sortWithinPartitions(*order)
         step = materialize(dealt.drop("k0", "k1", "k2").mapInArrow(filler(level, turn == len(levels) - 1), schema), "windows")
         ends.append(step.filter("ids IS NULL").drop("ids", "n"))
         pool = step.filter("ids IS NOT NULL").drop("crcs", "offs")

@@ -45,7 +45,7 @@ def test_words_kept_from_chunk_to_chunk(truth, monkeypatch):
 
 
 def test_long_text_beyond_a_chunk(truth, monkeypatch):
-    monkeypatch.setattr(bpe, "CHUNK_CHARS", 1000)
+    monkeypatch.setattr(bpe, "SPLIT_CHARS", 1000)
     bpe._powers.cache_clear()
     text = " ".join(odd_texts(200))
     solid = "".join(text.split())  # no blank to cut at
@@ -55,6 +55,18 @@ def test_long_text_beyond_a_chunk(truth, monkeypatch):
     bpe._powers.cache_clear()
 
 
+def test_parts_of_one_chunk_share_their_merges(truth, monkeypatch):
+    monkeypatch.setattr(bpe, "SPLIT_CHARS", 200)
+    bpe._powers.cache_clear()
+    texts = odd_texts(200)
+    want = [truth.encode_ordinary(t) for t in texts]
+    assert [x.tolist() for x in bpe.Encoder(PATH).encode(texts)] == want
+    real = bpe.word_keys
+    monkeypatch.setattr(bpe, "word_keys", lambda p, e: (real(p, e)[0] % 997, real(p, e)[1]))
+    assert [x.tolist() for x in bpe.Encoder(PATH).encode(texts)] == want
+    bpe._powers.cache_clear()
+
+
 def test_keys_that_agree_by_chance(truth, monkeypatch):
     real = bpe.word_keys
     monkeypatch.setattr(bpe, "word_keys", lambda p, e: (real(p, e)[0] % 7, real(p, e)[1]))
