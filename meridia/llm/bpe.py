@@ -104,6 +104,8 @@ class Merges:
         order = np.argsort(np.array(keys, np.int64))
         self.keys, self.values = np.array(keys, np.int64)[order], np.array(out, np.int32)[order]
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        a, b = np.divmod(np.arange(1 << 16), 256)
+        self.first = self.lookup(self.single[a], self.single[b])  # ranks of pairs of bytes
         self.lengths = np.array([len(x) for x in self.bytes], np.int64)
 
     def lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -154,7 +156,10 @@ class Merges:
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[-1] = n - 1
         before[0] = n - 1
-        rank = self.lookup(tok, tok[after])
+        rank = np.full(n, NONE, self.first.dtype)
+        rank[:-1] = self.first[raw[:-1].astype(np.int32) * 256 + raw[1:]]
+        rank[ends] = NONE
+        rank[ends[ends > 0] - 1] = NONE
         index: list[list[np.ndarray]] = [[] for _ in range(self.size)]
 
         def file(places: np.ndarray, ranks: np.ndarray) -> None:
@@ -328,7 +333,7 @@ class Encoder:
         for x in found:
             if len(x) == 5:
                 keys, code, per_text = x[:3]
-                at = np.searchsorted(self.keys, keys)
+                at = self._places(keys)
                 x = self._gather(self.ids, self.starts[at], self.counts[at], code, per_text)
             out.append(x)
         return out
@@ -343,7 +348,7 @@ class Encoder:
         code, keys = pd.factorize(key)
         one = np.empty(len(keys), np.int64)
         one[code[::-1]] = np.arange(len(code))[::-1]
-        at = np.searchsorted(self.keys, keys)
+        at = self._places(keys)
         at[at == len(self.keys)] = 0
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         torn = len(self.keys) and (self.checks[at[known]] != check[one[known]]).any()
@@ -354,6 +359,13 @@ class Encoder:
         new = np.flatnonzero(~known)
         return keys, code, per_text, (keys[new], check[one[new]]), self._words(points, ends, one[new])
 
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """np.searchsorted in the known keys, in order: much faster than by random places."""
+        order = np.argsort(keys)
+        out = np.empty(len(keys), np.int64)
+        out[order] = np.searchsorted(self.keys, keys[order])
+        return out
+
     def _learn(self, parts: list[tuple]) -> bool:
         """Merges the new words of all parts and keeps their ids; false if their keys don't tell them apart."""
         fresh = np.concatenate([x[3][0] for x in parts]) if parts else np.zeros(0, np.uint64)
