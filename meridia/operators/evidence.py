@@ -72,3 +72,10 @@ def locus_gene_scores(evidence: DataFrame) -> DataFrame:
 def across_loci(scores: DataFrame) -> DataFrame:
     """(symbol, supporting_loci, mean_score, max_score)."""
     return scores.groupBy("symbol").agg(F.count("*").alias("supporting_loci"), F.round(F.avg("overall"), 8).alias("mean_score"), F.round(F.max("overall"), 6).alias("max_score"))
+
+
+def best_studies(scored: DataFrame, most: int) -> DataFrame:
+    """(study, score, terms) of (study, term, score, has_statistics): the largest score of a study and the terms it matched, in order;
+    studies with statistics first, `most` of them."""
+    out = scored.groupBy("study").agg(F.max("score").alias("score"), F.array_join(F.array_sort(F.collect_set("term")), ";").alias("terms"), F.some("has_statistics").alias("s"))
+    return out.orderBy(F.desc("s"), F.desc("score"), "study").limit(most).drop("s")

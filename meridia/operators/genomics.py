@@ -105,6 +105,13 @@ def read_metrics(reads: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def expected_counts(metrics: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
+    """metrics whose `reads` are as many as `expected` says; any other number, or a key that isn't expected, fails the query."""
+    joined = metrics.join(expected.select(*keys, F.col("expected").alias("_e")), keys, "left")
+    said = F.concat(F.lit("expected "), F.coalesce(F.col("_e").cast("string"), F.lit("none")), F.lit(" reads, found "), F.col("reads").cast("string"))
+    return joined.withColumn("reads", F.when(F.col("reads").eqNullSafe(F.col("_e")), F.col("reads")).otherwise(F.raise_error(said).cast("long"))).drop("_e")
+
+
 def coverage_bins(depths: DataFrame) -> DataFrame:
     """Bins (contig, start, end, tumor_sum, normal_sum) with mean depths, log2 ratio and class."""
     length = F.col("end") - F.col("start")

@@ -39,6 +39,28 @@ def lookup_by_either(left: DataFrame, right: DataFrame, first: tuple[str, str],
     return out.withColumn(value, F.coalesce("_v1", "_v2")[value]).drop("_k1", "_k2", "_v1", "_v2")
 
 
+def merged_sides(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """A full outer merge of two tables of one schema: the first side's values, where it has none the second's; `sides` says where a key is."""
+    rest = [c for c in first.columns if c not in keys]
+    a = first.select(*keys, F.struct(*rest).alias("_a"))
+    b = second.select(*keys, F.struct(*rest).alias("_b"))
+    sides = F.when(F.col("_b").isNull(), "first").when(F.col("_a").isNull(), "second").otherwise("both")
+    return a.join(b, keys, "full_outer").select(*keys, *[F.coalesce(F.col("_a")[c], F.col("_b")[c]).alias(c) for c in rest], sides.alias("sides"))
+
+
+def same_identity(sides: dict[str, DataFrame], key: str, fields: list[str]) -> DataFrame:
+    """(key, state): 'same' where all sides have the key and agree in all fields, else what is missing or differs, sides and fields in order."""
+    out = None
+    for name, df in sides.items():
+        one = df.select(key, F.struct(*fields).alias(f"_{name}"))
+        out = one if out is None else out.join(one, key, "full_outer")
+    first = f"_{next(iter(sides))}"
+    missing = [F.when(F.col(f"_{n}").isNull(), F.lit(f"{n} missing")) for n in sides]
+    differs = [F.when(~F.col(f"_{n}")[f].eqNullSafe(F.col(first)[f]) & F.col(f"_{n}").isNotNull() & F.col(first).isNotNull(), F.lit(f"{n} differs in {f}")) for n in list(sides)[1:] for f in fields]
+    said = F.array_join(F.array_compact(F.array(*missing, *differs)), "; ")
+    return out.select(key, F.when(said == "", "same").otherwise(said).alias("state"))
+
+
 def overlap(calls: DataFrame, truth: DataFrame, covered: DataFrame, keys: list[str]) -> DataFrame:
     """Each distinct key with its class: tp (called and in covered truth), outside (called and in truth beyond it), fp (called, in no truth), fn (covered truth not called).
 

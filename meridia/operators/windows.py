@@ -57,11 +57,24 @@ def shard_ranges(total: int, shards: Column, index: Column) -> tuple[Column, Col
     return (base * index + F.least(index, rest)).cast("long"), count.cast("long")
 
 
-def closure(edges: DataFrame, child: str, parent: str, root: str = "root") -> DataFrame:
-    """(node, ancestor, depth) for all ancestors of each node, by joins that double the path length each round."""
-    spark = edges.sparkSession
-    view = "meridia_closure_edges"
-    edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).filter("p IS NOT NULL").createOrReplaceTempView(view)
-    return spark.sql(f"""WITH RECURSIVE up(node, ancestor, depth) AS (
-        SELECT c, p, 1 FROM {view} UNION ALL SELECT u.node, e.p, u.depth + 1 FROM up u JOIN {view} e ON u.ancestor = e.c)
-        SELECT node, ancestor, depth FROM up""")
+def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """(node, ancestor, depth) for all ancestors of each node of a forest.
+
+    Path lengths double each round: the paths of the greatest length so far are joined with all paths, so a chain of n nodes takes
+    log2(n) rounds. Each round is checkpointed in the shared folder.
+    """
+    from ..sources.tables import checkpointed
+
+    every = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")).filter("ancestor IS NOT NULL")
+    every = checkpointed(every)
+    length = 1
+    while True:
+        ahead = every.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"), F.col("depth").alias("more"))
+        longer = every.filter(F.col("depth") == length).join(ahead, "ancestor").select("node", F.col("further").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        longer = checkpointed(longer)
+        if longer.isEmpty():
+            return every
+        if longer.filter("node = ancestor").limit(1).count():
+            raise ValueError("the edges have a cycle")
+        every = checkpointed(every.unionByName(longer))
+        length *= 2

@@ -11,11 +11,10 @@ from ..functions import text
 from ..operators import genomics as ops
 from ..sources import genomics, sinks, tables
 from .registry import query, table
-from .times import _shared
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{tables.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _lines(df: DataFrame, line: F.Column, name: str) -> str:
@@ -31,7 +30,7 @@ def _tabs(*cols: F.Column | str) -> F.Column:
 
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name, CASE WHEN p_size > 25 THEN p_brand ELSE '' END AS p_brand, p_size::VARCHAR AS p_size FROM part")
 def s01_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """CSV written and read: all strings, nulls as blanks."""
+    """CSV written and read: all strings, nulls as blanks."""
     p = table(spark, sf, "part").select("p_partkey", "p_name", F.when(F.col("p_size") > 25, F.col("p_brand")).alias("p_brand"), "p_size")
     path = _place(spark, "csv")
     sinks.write_csv(p, path, create_only=True)
@@ -40,7 +39,7 @@ def s01_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def k10_json_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON lines appended and read by schema."""
+    """JSON lines appended and read by schema."""
     path = _place(spark, "jsonl")
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     sinks.write_json_lines(e.filter("event_id % 2 = 0"), path)
@@ -50,7 +49,7 @@ def k10_json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT count(*) AS files, 25 AS documents FROM (SELECT DISTINCT n_nationkey FROM nation)")
 def s07_json_with_digest(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole JSON files with the digest of the bytes that were parsed."""
+    """Whole JSON files with the digest of the bytes that were parsed."""
     path = _place(spark, "json")
     table(spark, sf, "nation").repartitionByRange(25, "n_nationkey").select(F.to_json(F.struct("n_nationkey", "n_name")).alias("value")).write.text(path)
     docs = tables.json_documents(spark, path + "/*.txt").filter(F.length("sha256") == 64)
@@ -73,7 +72,7 @@ def _variants(spark: SparkSession, sf: str) -> str:
 WITH v AS ({VCF_SQL}), r AS (SELECT contig, pos, ref, a1 AS alt, f AS filter, dp FROM v UNION ALL SELECT contig, pos, ref, a2, f, dp FROM v WHERE contig = 'chr19')
 SELECT contig, pos, ref, alt, filter, dp::VARCHAR AS dp FROM r WHERE contig IN ('chr19', 'chr20', 'chr21', 'chr22')""")
 def s14_variant_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """VCF text: one row an allele, standard contigs only, INFO fields."""
+    """VCF text: one row an allele, standard contigs only, INFO fields."""
     v = genomics.vcf(spark, _variants(spark, sf), standard_only=True)
     return v.select("contig", "pos", "ref", "alt", "filter", genomics.info_field(F.col("info"), "DP").alias("dp"))
 
@@ -93,7 +92,7 @@ c AS (SELECT l2 || '[' || r2 || '>' || a2 || ']' || n2 AS context, count(*) AS n
 d AS (SELECT l || '[' || r || '>' || a || ']' || n AS context FROM (VALUES ('A'), ('C'), ('G'), ('T')) x(l), (VALUES ('C'), ('T')) y(r), (VALUES ('A'), ('C'), ('G'), ('T')) z(a), (VALUES ('A'), ('C'), ('G'), ('T')) w(n) WHERE r <> a)
 SELECT context, coalesce(n, 0) AS n FROM d LEFT JOIN c USING (context)""")
 def a18_sbs96(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of all 96 mutation classes on the pyrimidine strand."""
+    """Counts of all 96 mutation classes on the pyrimidine strand."""
     base = lambda x: F.substr(F.lit("ACGT"), (x % 4 + 1).cast("int"), F.lit(1))
     ref = base(F.col("l_partkey"))
     v = table(spark, sf, "lineitem").select(ref.alias("ref"), base(F.col("l_suppkey") + 1).alias("alt"), F.when(F.col("l_returnflag") == "N", "PASS").otherwise("LOW").alias("filter"), F.concat(base(F.col("l_orderkey")), ref, base(F.col("l_linenumber"))).alias("context3"))
@@ -115,7 +114,7 @@ def a23_alignment_counters(spark: SparkSession, sf: str) -> DataFrame:
 SELECT count(*) AS total, count(*) FILTER (f & 4 = 0) AS mapped, count(*) FILTER (f & 1 <> 0 AND f & 2304 = 0) AS paired, count(*) FILTER (f & 3 = 3 AND f & 4 = 0 AND f & 2304 = 0) AS proper, count(*) FILTER (f & 1024 <> 0) AS duplicates,
  count(*) FILTER (f & 256 <> 0) AS secondary, count(*) FILTER (f & 2048 <> 0) AS supplementary FROM (SELECT (l_partkey * 7) & 4095 AS f FROM lineitem)""")
 def b09_flag_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts by alignment flags."""
+    """Counts by alignment flags."""
     return ops.flag_counts(table(spark, sf, "lineitem").select((F.col("l_partkey") * 7).bitwiseAND(4095).alias("flag")))
 
 
@@ -124,7 +123,7 @@ WITH r AS (SELECT l_linenumber AS lane, l_orderkey, repeat(substr('ACGTN', (l_pa
 SELECT lane::BIGINT AS lane, count(*) AS reads, min(length(s)) AS min_length, max(length(s)) AS max_length, round(avg(length(s)), 2) AS mean_length, round(sum(length(regexp_replace(s, '[^GC]', '', 'g'))) / sum(length(s)), 4) AS gc,
  round(sum(length(regexp_replace(s, '[^N]', '', 'g'))) / sum(length(s)), 4) AS n_share, 70 AS min_quality, 73 AS max_quality FROM r GROUP BY 1""")
 def a24_read_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """FASTQ files written and read back, then their metrics."""
+    """FASTQ files written and read back, then their metrics."""
     li = table(spark, sf, "lineitem").filter("l_linenumber <= 2")
     seq = F.concat(F.expr("repeat(substr('ACGTN', CAST(l_partkey % 5 AS INT) + 1, 1), CAST(l_suppkey % 7 + 1 AS INT))"), F.lit("GATTACA"))
     record = F.concat(F.lit("@"), F.concat_ws(":", "l_linenumber", "l_orderkey"), F.lit("\n"), seq, F.lit("\n+\n"), F.concat(F.lit("F"), F.expr(f"repeat('I', {7} + CAST(l_suppkey % 7 AS INT))")))
@@ -136,7 +135,7 @@ def a24_read_metrics(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT 'chr' || l_linenumber AS contig, count(*) AS bins, round(sum(l_quantity / 100), 2) AS tumor, round(sum(l_suppkey / 100.0), 2) AS normal FROM lineitem GROUP BY 1""")
 def s30_coverage_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Strict five-column coverage rows."""
+    """Strict five-column coverage rows."""
     li = table(spark, sf, "lineitem")
     line = _tabs(F.concat(F.lit("chr"), F.col("l_linenumber")), "l_orderkey", F.col("l_orderkey") + 100, F.col("l_quantity").cast("long"), "l_suppkey")
     b = ops.coverage_bins(genomics.bedcov(spark, _lines(li, line, "bedcov")))
@@ -146,7 +145,7 @@ def s30_coverage_table(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT sum(l_linenumber)::BIGINT AS refs, sum(l_suppkey % 5)::BIGINT AS alts, count(*)::BIGINT AS deletions FROM lineitem""")
 def f10_pileup(spark: SparkSession, sf: str) -> DataFrame:
-    """Pileup text with read starts and indels, counted base by base."""
+    """Pileup text with read starts and indels, counted base by base."""
     li = table(spark, sf, "lineitem")
     bases = F.concat(F.expr("repeat('^I.', l_linenumber)"), F.lit("+12ACGTACGTACGT$"), F.expr("repeat('t', CAST(l_suppkey % 5 AS INT))"), F.lit("-2tt*"))
     path = _lines(li, _tabs(F.lit("chr1"), "l_orderkey", F.lit("A"), F.lit(1), bases, F.lit("I")), "pileup")
@@ -157,7 +156,7 @@ def f10_pileup(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT status, count(*) AS n, round(sum(seconds), 1) AS seconds, min(seconds) AS best FROM (SELECT o_orderstatus AS status, (o_custkey % 50) * 60 + 1.5 AS seconds FROM orders) GROUP BY 1""")
 def s44_trace(spark: SparkSession, sf: str) -> DataFrame:
-    """Workflow traces with repeated headers; durations in seconds."""
+    """Workflow traces with repeated headers; durations in seconds."""
     o = table(spark, sf, "orders")
     line = _tabs("o_orderkey", F.lit("X:PHASE3_DOWNSTREAM"), "o_orderstatus", F.format_string("%dm 1s 500ms", F.col("o_custkey") % 50), F.lit("-"))
     path = _place(spark, "trace")
@@ -189,20 +188,23 @@ def k15_append_once(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.append_once(e.filter("event_id % 3 = 0"), e.unionByName(e), "event_id")
 
 
-@query("SELECT 'equal' AS state, count(*) AS n FROM (SELECT DISTINCT n_regionkey FROM nation)")
+@query("""
+SELECT 'k=' || n_nationkey AS name, CASE WHEN n_nationkey % 5 = 3 THEN 'differs' WHEN n_nationkey % 5 = 4 THEN 'missing' ELSE 'equal' END AS state FROM nation UNION ALL SELECT 'k=77', 'unexpected'""")
 def k17_verified_copy(spark: SparkSession, sf: str) -> DataFrame:
-    """A copy checked against its source by bytes and digest."""
+    """A copy with changed, missing and further files, checked against its source by bytes and digest."""
     path = _place(spark, "copy")
-    n = table(spark, sf, "nation")
-    n.repartitionByRange(5, "n_regionkey").sortWithinPartitions("n_nationkey").select("n_name").write.text(f"{path}/a")
-    a = sinks.artifact_index(spark, f"{path}/a/*.txt")
-    return sinks.verified_copy(a, a).groupBy("state").agg(F.count("*").alias("n"))
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("value"))
+    n.write.partitionBy("k").text(f"{path}/a")
+    changed = n.filter("k % 5 <> 4").withColumn("value", F.when(F.col("k") % 5 == 3, F.reverse("value")).otherwise(F.col("value")))
+    changed.union(spark.createDataFrame([(77, "x")], "k int, value string")).write.partitionBy("k").text(f"{path}/b")
+    a, b = (sinks.artifact_index(spark, f"{path}/{x}/*/*.txt") for x in "ab")
+    return sinks.verified_copy(a, b, r"/(k=\d+)/").select("name", "state")
 
 
 @query("""
 SELECT part, sum(last - first + 1)::BIGINT AS bytes FROM (SELECT l.k AS part, r * 1000 AS first, least(r * 1000 + 999, l.size - 1) AS last FROM (SELECT p_partkey AS k, (p_retailprice * 10)::BIGINT AS size FROM part) l, range(0, 100) t(r) WHERE r * 1000 < l.size) GROUP BY 1""")
 def m14_byte_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """Inclusive byte ranges of parts."""
+    """Inclusive byte ranges of parts."""
     from ..functions.numeric import byte_ranges
 
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("part"), F.explode(byte_ranges(F.round(F.col("p_retailprice") * 10).cast("long"), 1000)).alias("r"))
@@ -244,7 +246,7 @@ def x15_canonical_digest(spark: SparkSession, sf: str) -> DataFrame:
 WITH t AS (SELECT trim(regexp_replace(lower(a.p_name), '[^a-z0-9]+', ' ', 'g')) AS a, trim(regexp_replace(lower(b.p_name), '[^a-z0-9]+', ' ', 'g')) AS b FROM (SELECT DISTINCT p_name FROM part) a, (SELECT DISTINCT p_name FROM part) b)
 SELECT a, b, CASE WHEN contains(a, b) THEN 1.0 ELSE 0.56 END::DOUBLE AS score FROM t WHERE contains(a, b)""")
 def f20_lexical_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Names that hold other names, by the lexical score."""
+    """Names that hold other names, by the lexical score."""
     from ..operators.relational import join_scored
 
     names = table(spark, sf, "part").select("p_name").distinct()

@@ -150,7 +150,7 @@ def j30_identity(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT contig, row_number() OVER (ORDER BY o, contig) AS place FROM (SELECT DISTINCT 'chr' || CASE p_size WHEN 23 THEN 'X' WHEN 24 THEN 'Y' WHEN 25 THEN 'Un' ELSE p_size::VARCHAR END AS contig, CASE WHEN p_size <= 24 THEN p_size ELSE 999 END AS o FROM part)""")
 def o02_contig_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Contigs in genomic order, others last."""
+    """Contigs in genomic order, others last."""
     s = F.col("p_size")
     name = F.concat(F.lit("chr"), F.when(s == 23, "X").when(s == 24, "Y").when(s == 25, "Un").otherwise(s.cast("string")))
     rows = table(spark, sf, "part").select(name.alias("contig")).distinct()
@@ -266,7 +266,7 @@ def x03_json_forms(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT user_id, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS total, count(*) AS n FROM events GROUP BY 1""")
 def s65_payload_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Records of staged payloads, whether a list, an object with a list, or an object alone."""
+    """Records of staged payloads, whether a list, an object with a list, or an object alone."""
     e = table(spark, sf, "events")
     lists = e.groupBy("user_id").agg(F.concat(F.lit("["), F.array_join(F.collect_list("props"), ","), F.lit("]")).alias("j"))
     payload = F.when(F.col("user_id") % 2 == 0, F.col("j")).otherwise(F.concat(F.lit('{"results": '), "j", F.lit("}")))
@@ -276,7 +276,7 @@ def s65_payload_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT s_suppkey, s_name FROM supplier")
 def s60_xml_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """XML elements as rows."""
+    """XML elements as rows."""
     from ..sources.tables import xml_rows
 
     line = F.concat(F.lit("<row><s_suppkey>"), F.col("s_suppkey").cast("string"), F.lit("</s_suppkey><s_name>"), "s_name", F.lit("</s_name></row>"))
@@ -284,11 +284,14 @@ def s60_xml_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey AS pos, substr('NACGTTGCA' || repeat('ACGTTGCA', 1), (l_orderkey % 8)::INT + 1, 3) AS bases FROM lineitem WHERE l_orderkey % 8 BETWEEN 1 AND 6 GROUP BY ALL""")
+WITH p AS (SELECT DISTINCT l_orderkey AS pos FROM lineitem)
+SELECT pos, CASE WHEN pos = 0 THEN 'N' ELSE substr('ACGT', (((pos - 1) * (pos - 1) + (pos - 1) // 3) % 4 + 1)::INT, 1) END || substr('ACGT', ((pos * pos + pos // 3) % 4 + 1)::INT, 1) || substr('ACGT', (((pos + 1) * (pos + 1) + (pos + 1) // 3) % 4 + 1)::INT, 1) AS bases FROM p""")
 def s25_reference_bases(spark: SparkSession, sf: str) -> DataFrame:
-    """Bases around positions from a reference in chunks, by an equi join."""
-    li = table(spark, sf, "lineitem").filter("l_orderkey % 8 BETWEEN 1 AND 6").select(F.lit("c").alias("contig"), (F.col("l_orderkey") + 1).alias("pos")).distinct()
-    chunks = li.select(F.floor((F.col("pos") - 1) / 8).alias("chunk")).distinct().select(F.lit("c").alias("contig"), "chunk", F.lit("NACGTTGCAA").alias("seq"))
+    """Bases around positions, also at the ends of chunks, from a reference in chunks with their neighbours' bases, by an equi join."""
+    li = table(spark, sf, "lineitem").select(F.lit("c").alias("contig"), (F.col("l_orderkey") + 1).alias("pos")).distinct()
+    base = "CASE WHEN p < 0 THEN 'N' ELSE substr('ACGT', CAST((p * p + p DIV 3) % 4 + 1 AS INT), 1) END"
+    seq = F.expr(f"array_join(transform(sequence(chunk * 8 - 1, chunk * 8 + 8), p -> {base}), '')")
+    chunks = li.select(F.floor((F.col("pos") - 1) / 8).alias("chunk")).distinct().select(F.lit("c").alias("contig"), "chunk", seq.alias("seq"))
     return ops.reference_base(li, chunks, 8).select((F.col("pos") - 1).alias("pos"), "bases")
 
 
@@ -303,7 +306,7 @@ def s77_first_symbols(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT DISTINCT 'T' || n_regionkey AS sample FROM nation")
 def s20_sample_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Sample names of a VCF header."""
+    """Sample names of a VCF header."""
     n = table(spark, sf, "nation").select("n_regionkey").distinct().agg(F.array_sort(F.collect_list(F.concat(F.lit("T"), F.col("n_regionkey").cast("string")))).alias("t"))  # five regions
     path = _lines(n, F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.array_join("t", "\t")), "header")
     return genomics.vcf_samples(spark, path).select(F.explode("samples").alias("sample"))
@@ -311,7 +314,7 @@ def s20_sample_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT n_name, n_regionkey FROM nation")
 def s40_workbook(spark: SparkSession, sf: str) -> DataFrame:
-    """The first sheet of a workbook with shared strings."""
+    """The first sheet of a workbook with shared strings."""
 
     def build(rows):
         import io
@@ -335,14 +338,14 @@ def s40_workbook(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT '| ' || n_nationkey || ' | ' || n_name || ' |' AS line FROM nation""")
 def k11_markdown_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows as lines of a Markdown table."""
+    """Rows as lines of a Markdown table (F32)."""
     n = table(spark, sf, "nation")
     return n.select(F.concat(F.lit("| "), F.concat_ws(" | ", *[text.markdown_cell(c) for c in ("n_nationkey", "n_name")]), F.lit(" |")).alias("line"))
 
 
 @query("SELECT n_nationkey, n_name, 'a' AS copy FROM nation UNION ALL SELECT n_nationkey, n_name, 'b' FROM nation")
 def k13_two_sinks(spark: SparkSession, sf: str) -> DataFrame:
-    """The same rows to two places, then read from both."""
+    """The same rows to two places, then read from both."""
     n, path = table(spark, sf, "nation").select("n_nationkey", "n_name"), _place(spark, "two")
     for copy in "ab":
         sinks.write_if_changed(n, f"{path}/{copy}", ["n_nationkey"])
@@ -367,18 +370,19 @@ def p04_nested_fields(spark: SparkSession, sf: str) -> DataFrame:
     return n.select(checked.alias("n_nationkey"), F.coalesce("gene.symbol", F.lit("")).alias("name"))
 
 
-@query("SELECT true AS current")
+@query("SELECT * FROM (VALUES ('fresh', true), ('stale', false)) t(state, current)")
 def p57_currentness(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether all outputs are newer than the newest input, by the files' times."""
+    """Whether all outputs are newer than the newest input, by the files' times: yes of files just written, no of the table they came from."""
     from ..sources.tables import is_current, modified
 
-    path = _lines(table(spark, sf, "nation"), F.col("n_name"), "newer")
-    return is_current(modified(spark, f"{path}/*.txt"), modified(spark, f"{sf}/nation.parquet"))
+    new = modified(spark, f"{_lines(table(spark, sf, 'nation'), F.col('n_name'), 'newer')}/*.txt")
+    old = modified(spark, f"{sf}/nation.parquet")
+    return is_current(new, old).select(F.lit("fresh").alias("state"), "current").union(is_current(old.union(new), new).select(F.lit("stale"), "current"))
 
 
 @query("SELECT l_linenumber::BIGINT AS contig, count(*) AS n FROM lineitem GROUP BY 1")
 def s28_counts_by_contig(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads by contig as an index gives them."""
+    """Reads by contig as an index gives them."""
     n = table(spark, sf, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("n"))
     path = _lines(n, _tabs("l_linenumber", F.lit(1000), "n", F.lit(0)), "idxstats")
     return genomics.idxstats(spark, path).select(F.col("contig").cast("long").alias("contig"), F.col("mapped").alias("n"))
@@ -407,7 +411,7 @@ def m01_rounding(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT c_custkey, CASE WHEN n IS NULL THEN 'absent' WHEN n > 3 THEN 'invalid' ELSE 'present' END AS state, coalesce(n, 0) || ' of 3 waiting' AS shown FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'P') AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
 def p61_sheet_states(spark: SparkSession, sf: str) -> DataFrame:
-    """Absent, invalid or present by counts of findings, with a shown metric."""
+    """Absent, invalid or present by counts of findings, with a shown metric."""
     n = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count_if(F.col("o_orderstatus") == "P").alias("n"))
     state = F.when(F.col("n").isNull(), "absent").when(F.col("n") > 3, "invalid").otherwise("present")
     out = relational.lookup(table(spark, sf, "customer").select("c_custkey"), n, ["c_custkey"])
@@ -416,32 +420,7 @@ def p61_sheet_states(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT 'number of ' || p_type AS key, count(*)::DOUBLE AS value FROM part GROUP BY 1")
 def s19_summary_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    """The SN lines of a variant summary."""
+    """The SN lines of a variant summary."""
     n = table(spark, sf, "part").groupBy("p_type").agg(F.count("*").alias("n"))
     line = _tabs(F.lit("SN"), F.lit(0), F.concat(F.lit("number of "), "p_type", F.lit(":")), "n")
     return genomics.summary_numbers(spark, _lines(n, line, "stats"))
-
-
-@query("SELECT r_name AS key, 0 AS page, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 15 UNION ALL SELECT r_name, 1, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 15")
-def s53_paged_source(spark: SparkSession, sf: str) -> DataFrame:
-    """A paged source read key by key in the executors, from pages staged in the shared folder."""
-    import json
-
-    from pyarrow import fs
-
-    from ..sources.rest import RestDataSource
-
-    spark.dataSource.register(RestDataSource)
-    base = _place(spark, "staged")
-    url = base if "://" in base else f"file://{base}"
-    files, root = fs.FileSystem.from_uri(url)
-    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    pages = nations.groupBy("r_name", (F.col("n_nationkey") >= 15).cast("int").alias("page")).agg(F.collect_list("n_name").alias("names"))
-    staged = pages.collect()  # two pages for each of five regions
-    for r in staged:
-        files.create_dir(f"{root}/{r.r_name}", recursive=True)
-        with files.open_output_stream(f"{root}/{r.r_name}/{r.page}.json") as f:
-            f.write(json.dumps({"data": {"items": [{"n": n} for n in r.names]}}).encode())
-    keys = json.dumps(sorted({r.r_name for r in staged}))
-    got = spark.read.format("meridia_rest").options(url=url, keys=keys, records="data.items", fetch="meridia.sources.rest:staged_fetch").load()
-    return got.select("key", "page", js.at_path("record", "n").alias("n_name"))

@@ -52,15 +52,11 @@ def j05_must_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, coalesce(p.p_name, q.p_name) AS name FROM orders
-LEFT JOIN (SELECT p_partkey, p_name FROM part WHERE p_size > 25) p ON o_orderkey = p.p_partkey LEFT JOIN part q ON o_custkey = q.p_partkey""")
+SELECT o_orderkey, coalesce(p.p_name, q.p_name) AS p_name FROM orders LEFT JOIN part p ON o_orderkey = p.p_partkey LEFT JOIN part q ON o_custkey = q.p_partkey""")
 def j17_lookup_by_either_key(spark: SparkSession, sf: str) -> DataFrame:
-    """By the first key, else by the second."""
-    o, p = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "part")
-    a = p.filter("p_size > 25").select(F.col("p_partkey").alias("k1"), F.struct(F.col("p_name").alias("name")).alias("v1"))
-    b = p.select(F.col("p_partkey").alias("k2"), F.struct(F.col("p_name").alias("name")).alias("v2"))
-    out = o.join(a, F.col("o_orderkey") == F.col("k1"), "left").join(b, F.col("o_custkey") == F.col("k2"), "left")
-    return out.select("o_orderkey", F.coalesce("v1", "v2")["name"].alias("name"))
+    """By the first key, else by the second."""
+    o, p = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "part").select("p_partkey", "p_name")
+    return relational.lookup_by_either(o, p, ("o_orderkey", "p_partkey"), ("o_custkey", "p_partkey"), "p_name").select("o_orderkey", "p_name")
 
 
 OVERLAP_SQL = """

@@ -78,7 +78,7 @@ def j25_lexical_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT item_id, trim(regexp_replace(lower(substr(text, 1, 12)), '[^a-z0-9]+', ' ', 'g')) AS q FROM benchmark),
+WITH q AS (SELECT item_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS q FROM benchmark),
 d AS (SELECT item_id AS doc, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS t FROM benchmark)
 SELECT q.item_id, d.doc FROM q JOIN d ON list_bool_and(list_transform(list_filter(string_split(q.q, ' '), lambda x: x <> ''), lambda x: contains(d.t, x)))""")
 def p18_all_words_search(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +86,7 @@ def p18_all_words_search(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.relational import join_scored
 
     b = table(spark, sf, "benchmark")
-    queries = b.select("item_id", F.substring("text", 1, 12).alias("q"))
+    queries = b.select("item_id", F.col("text").alias("q"))
     docs = b.select(F.col("item_id").alias("doc"), "text")
     hit = text.all_words_in("text", "q").cast("int")
     return join_scored(docs, queries, hit, 1).select("item_id", "doc")

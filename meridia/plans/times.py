@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import evidence, intervals, quality, relational, windows
+from ..sources.tables import shared_dir
 from ..streaming import progress
 from .registry import query, table
 
@@ -122,7 +123,7 @@ def t01_stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The same counts through a stream: files in order, repeats dropped by key, state merged batch by batch."""
     import uuid
 
-    base = _shared(spark) + f"/stream-{uuid.uuid4().hex}"
+    base = shared_dir(spark) + f"/stream-{uuid.uuid4().hex}"
     kinds = table(spark, sf, "events").schema
     stream = spark.readStream.schema(kinds).parquet(f"{sf}/events.parquet*")
     once = progress.once_each(stream.withColumn("ts", F.col("ts").cast("timestamp")), "event_id", "ts")
@@ -136,14 +137,6 @@ def t01_stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     return relational.last_per_key(rows.select("day", "event_type", "n", "batch"), ["day", "event_type"], "batch").select("day", "event_type", "n")
 
 
-def _shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
-    import tempfile
-
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else tempfile.mkdtemp(prefix="meridia-")
-
-
 @query("""
 SELECT event_id, user_id FROM events WHERE ts <= TIMESTAMP '2024-01-05 00:00:00' ORDER BY ts, event_id LIMIT 8""")
 def t10_due_first(spark: SparkSession, sf: str) -> DataFrame:

@@ -166,6 +166,20 @@ def duplicate_metrics(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.exists("l", lambda v: v.startswith("LIBRARY"))).select(F.map_from_entries(F.filter(F.arrays_zip(head.alias("k"), row.alias("v")), lambda e: e.k.isNotNull())).alias("metrics"))
 
 
+def contamination(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(sample, contamination, error) of a contamination table; comment lines are left out."""
+    rows = spark.read.option("comment", "#").option("header", True).option("sep", "\t").csv(path)
+    return rows.select("sample", F.col("contamination").try_cast("double").alias("contamination"), F.col("error").try_cast("double").alias("error"))
+
+
+def read_stats(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, num_seqs, sum_len, sum_n, n_share) of a table of read statistics; numbers may have thousands separators."""
+    rows = spark.read.option("header", True).option("sep", "\t").csv(path)
+    whole = lambda c: F.regexp_replace(c, ",", "").try_cast("long").alias(c)
+    out = rows.select("file", whole("num_seqs"), whole("sum_len"), whole("sum_n"))
+    return out.withColumn("n_share", F.round(F.try_divide("sum_n", "sum_len"), 6))
+
+
 def workbook(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """workbook_rows() of the files at a path."""
     return workbook_rows(spark.read.format("binaryFile").load(path))

@@ -1,5 +1,8 @@
 """A paged REST or GraphQL source as a Python data source: one partition a request key, pages fetched in the executors.
 
+Pages go by number, by a continuation token in the answer (`token` names its field), or come from a job that is submitted and
+polled (`mode` job). Options max_rows and max_pages bound a key: the first ends it, the second fails.
+
 `fetch` is a function (url, params) -> JSON text given by its import path, so that tests and private networks bring their own.
 """
 
@@ -7,6 +10,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import time
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -15,7 +19,6 @@ from pyspark.sql.types import StructType
 
 def urllib_fetch(url: str, params: dict[str, str]) -> str:
     """A GET, or a POST where params hold `body`; three tries."""
-    import time
     import urllib.parse
     import urllib.request
 
@@ -33,17 +36,36 @@ def urllib_fetch(url: str, params: dict[str, str]) -> str:
 
 
 def staged_fetch(url: str, params: dict[str, str]) -> str:
-    """A page that was staged as `url`/`q`/`page`.json in a folder that all executors see; blank pages past the last."""
+    """A page that was staged under `url`/q=`q`/page=`page` in a folder that all executors see, as a partitioned write leaves it;
+    blank pages past the last. A body with variables gives q and page as a GraphQL request does, a token is a page's name."""
     from pyarrow import fs
 
+    if "body" in params:
+        params = params | {k: str(v) for k, v in json.loads(params["body"])["variables"].items()}
     files, base = fs.FileSystem.from_uri(url)
-    path = f"{base}/{params['q']}/{params['page']}.json"
-    if files.get_file_info(path).type == fs.FileType.NotFound:
+    found = files.get_file_info(fs.FileSelector(f"{base}/q={params['q']}/page={params.get('token') or params['page']}", allow_not_found=True))
+    found = [x.path for x in found if x.is_file and not x.base_name.startswith((".", "_"))]
+    if not found:
         return "[]"
-    with files.open_input_stream(path) as f:
+    with files.open_input_stream(min(found)) as f:
         return f.read().decode()
 
 
+_POLLS: dict[tuple[str, str], int] = {}
+
+
+def staged_job(url: str, params: dict[str, str]) -> str:
+    """A job service over staged pages: what is submitted waits for two polls, then its result is the page."""
+    key = (url, params["q"])
+    if params["op"] == "submit":
+        _POLLS[key] = 0
+        return json.dumps({"id": params["q"]})
+    if params["op"] == "status":
+        _POLLS[key] = _POLLS.get(key, 0) + 1
+        return json.dumps({"status": "READY" if _POLLS[key] > 2 else "WAITING"})
+    return staged_fetch(url, params | {"page": "0"})
+
+
 class _Key(InputPartition):
     def __init__(self, key: str):
         super().__init__(key)
@@ -62,20 +84,47 @@ class _Reader(DataSourceReader):
         fetch = getattr(importlib.import_module(module), name)
         limit, rows_left = int(self.options.get("max_pages", "1000")), int(self.options.get("max_rows", "1000000000"))
         records = self.options.get("records", "")
-        for page in range(limit):
+        token, page = "", 0
+        while True:
+            if page == limit:
+                raise RuntimeError(f"more than {limit} pages of {partition.key!r}; raise max_pages")
             params = {self.options.get("key_param", "q"): partition.key, self.options.get("page_param", "page"): str(page)}
+            if token:
+                params["token"] = token
             if "body" in self.options:
                 params["body"] = self.options["body"].replace("{key}", partition.key).replace("{page}", str(page))
-            found = json.loads(fetch(self.options["url"], params))
+            if self.options.get("mode") == "job":
+                answer = json.loads(self._job(fetch, partition.key))
+            else:
+                answer = json.loads(fetch(self.options["url"], params))
+            if isinstance(answer, dict) and answer.get("errors"):
+                raise RuntimeError(f"{partition.key!r}: {answer['errors']}")
+            found = answer
             for part in filter(None, records.split(".")):
-                found = found.get(part, []) if isinstance(found, dict) else found
+                found = (found.get(part) or []) if isinstance(found, dict) else found
             found = found if isinstance(found, list) else [found] if found else []
             for x in found[:rows_left]:
                 yield partition.key, page, json.dumps(x)
             rows_left -= len(found)
-            if not found or rows_left <= 0 or self.options.get("paged", "true") == "false":
+            token = answer.get(self.options["token"]) if "token" in self.options and isinstance(answer, dict) else None
+            last = not token if "token" in self.options else not found
+            page += 1
+            if last or rows_left <= 0 or self.options.get("mode") == "job" or self.options.get("paged", "true") == "false":
                 return
 
+    def _job(self, fetch, key: str) -> str:
+        """Submits, asks until the job is ready, and fetches its result."""
+        url, wait = self.options["url"], float(self.options.get("poll_seconds", "5"))
+        job = json.loads(fetch(url, {"op": "submit", "q": key}))["id"]
+        for _ in range(int(self.options.get("max_polls", "100"))):
+            status = json.loads(fetch(url, {"op": "status", "q": job}))["status"]
+            if status == "READY":
+                return fetch(url, {"op": "result", "q": job})
+            if status != "WAITING":
+                raise RuntimeError(f"job {job} ended as {status}")
+            time.sleep(wait)
+        raise RuntimeError(f"job {job} isn't ready")
+
 
 class RestDataSource(DataSource):
     """spark.read.format("meridia_rest").options(url=..., keys='["a","b"]', records="data.items").load()"""

@@ -33,11 +33,13 @@ def write_if_changed(df: DataFrame, path: str, keys: list[str]) -> bool:
 
 
 def markdown(df: DataFrame, order: list[str], limit: int = 1000) -> str:
-    """A report table of at most `limit` rows as Markdown text."""
+    """A report table as Markdown text; more than `limit` rows are no report, and fail."""
     from ..functions.text import markdown_cell
 
     row = F.concat(F.lit("| "), F.concat_ws(" | ", *[markdown_cell(c) for c in df.columns]), F.lit(" |"))
-    lines = [r[0] for r in df.orderBy(*order).limit(limit).select(row).collect()]
+    lines = [r[0] for r in df.orderBy(*order).limit(limit + 1).select(row).collect()]
+    if len(lines) > limit:
+        raise ValueError(f"more than {limit} rows for a report")
     return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns), *lines]) + "\n"
 
 
@@ -59,9 +61,15 @@ def artifact_index(spark, path: str | list[str]) -> DataFrame:
     return digests(spark, path).drop("md5")
 
 
-def verified_copy(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """(name, state) of two indexes by file name: equal, differs, missing or unexpected."""
+def document(df: DataFrame, value: str, path: str, create_only: bool = True) -> None:
+    """Whole documents, a row each, as text with a newline at the end; create_only refuses a folder that is there."""
+    ended = F.regexp_replace(F.col(value), r"\n+$", "")
+    df.select(ended.alias("value")).write.mode("errorifexists" if create_only else "overwrite").text(path)
+
+
+def verified_copy(source: DataFrame, copy: DataFrame, name: str = r"([^/]*)$") -> DataFrame:
+    """(name, state) of two indexes by what `name` (a regular expression with a group) reads from paths: equal, differs, missing or unexpected."""
     from ..operators.relational import compare_sides
 
-    named = lambda d: d.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.concat_ws(":", "bytes", "sha256").alias("digest"))
+    named = lambda d: d.select(F.regexp_extract("path", name, 1).alias("name"), F.concat_ws(":", "bytes", "sha256").alias("digest"))
     return compare_sides(named(source), named(copy), ["name"], "digest").select("name", "state")

@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNUSED = "\u0001"
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where that is unset it is set: to a folder of the
+    warehouse on a cluster, to a temporary one, removed at the end, where driver and executors are one process."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if spark.sparkContext.master.startswith("local["):
+            import atexit
+            import shutil
+            import tempfile
+
+            found = tempfile.mkdtemp(prefix="meridia-")
+            atexit.register(shutil.rmtree, found, True)
+        else:
+            found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, which cuts its lineage."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
+
+
 def csv(spark: SparkSession, path: str | list[str], sep: str = ",", columns: list[str] | None = None) -> DataFrame:
     """All-string rows by header; with columns, no file is read to learn them."""
     r = spark.read.option("header", True).option("sep", sep).option("nullValue", UNUSED).option("emptyValue", "").option("multiLine", sep == ",").option("escape", '"')
@@ -81,3 +107,23 @@ def trace(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = tsv(spark, path)
     rows = rows.filter((F.col("task_id") != "task_id") & (F.col("name") != ""))
     return rows.withColumn("duration_s", duration_seconds("duration")).withColumn("realtime_s", duration_seconds("realtime")).withColumn("stage", stage_name("name"))
+
+
+def manifests(spark: SparkSession, pattern: str, schema: str, run: str) -> DataFrame:
+    """JSON manifests that a path pattern finds, with the run that `run` (a regular expression with a group) reads from each path."""
+    rows = spark.read.schema(schema).json(pattern)
+    return rows.select(F.regexp_extract(F.col("_metadata.file_path"), run, 1).alias("run"), *rows.columns)
+
+
+def matrix_configs(matrix: Column, default: dict[str, object]) -> Column:
+    """Array of struct(strategy, concurrency, bytes, parts, label) of `strategy:concurrency:bytes:parts[:label]`, comma-separated; blanks take the defaults."""
+    items = F.filter(F.transform(F.split(matrix, ","), lambda x: F.trim(x)), lambda x: x != "")
+
+    def config(x: Column) -> Column:
+        p = F.split(x, ":")
+        at = lambda i: F.nullif(F.trim(F.get(p, F.lit(i))), F.lit(""))
+        number = lambda i, k: F.coalesce(at(i).cast("long"), F.lit(default[k]).cast("long")).alias(k)
+        strategy = F.coalesce(at(0), F.lit(default["strategy"]))
+        return F.struct(strategy.alias("strategy"), number(1, "concurrency"), number(2, "bytes"), number(3, "parts"), F.coalesce(at(4), strategy).alias("label"))
+
+    return F.transform(items, config)

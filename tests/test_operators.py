@@ -177,3 +177,23 @@ def test_state_rules(spark):
     assert sorted((r.span_id, r.parent_name, r.ms) for r in progress.span_tree(spans).collect()) == [("a", None, 5.0), ("b", "run", 1.5)]
     edges = spark.createDataFrame([(2, 1), (3, 2), (1, None)], "c int, p int")
     assert rows(windows.closure(edges, "c", "p")) == [(2, 1, 1), (3, 1, 2), (3, 2, 1)]
+    chain = spark.range(1, 300).selectExpr("id AS c", "id - 1 AS p")
+    assert windows.closure(chain, "c", "p").count() == 299 * 300 // 2
+    with pytest.raises(ValueError):
+        windows.closure(spark.createDataFrame([(1, 2), (2, 1)], "c long, p long"), "c", "p")
+
+
+def test_counts_must_be_the_expected_ones(spark):
+    m = spark.createDataFrame([(1, 5), (2, 6)], "lane long, reads long")
+    fine = spark.createDataFrame([(1, 5), (2, 6)], "lane long, expected long")
+    assert genomics.expected_counts(m, fine, ["lane"]).count() == 2
+    for bad in ([(1, 5), (2, 7)], [(1, 5)]):
+        with pytest.raises(Exception, match="reads, found 6"):
+            genomics.expected_counts(m, spark.createDataFrame(bad, "lane long, expected long"), ["lane"]).collect()
+
+
+def test_authorised_state_fails_on_two(spark):
+    e = spark.createDataFrame([("a", "x"), ("a", "no_call"), ("b", "no_call")], "s string, state string")
+    assert rows(evidence.authorised_state(e, "s", "state")) == [("a", "x"), ("b", "no_call")]
+    with pytest.raises(Exception, match="conflicting states"):
+        evidence.authorised_state(e.union(spark.createDataFrame([("a", "y")], "s string, state string")), "s", "state").collect()
