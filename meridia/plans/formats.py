@@ -151,7 +151,7 @@ def _append_lines(spark: SparkSession, path: str, *lines: str) -> None:
 
 
 @query("""
-SELECT 'f' || p_partkey || '.fq.gz' AS file, p_partkey * 1000 AS num_seqs, p_size * 1000000::BIGINT AS sum_len, p_partkey AS sum_n, round(p_partkey / nullif(p_size * 1000000.0, 0), 6) AS n_share FROM part""")
+SELECT 'f' || p_partkey || '.fq.gz' AS file, p_partkey * 1000 AS num_seqs, p_size * 1000000::BIGINT AS sum_len, p_partkey AS sum_n, p_partkey::DOUBLE / nullif(p_size * 1000000, 0) AS n_share FROM part""")
 def s38_read_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Read statistics by file, numbers with thousands separators, and the share of N."""
     p = table(spark, sf, "part")

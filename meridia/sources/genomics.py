@@ -177,7 +177,7 @@ def read_stats(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = spark.read.option("header", True).option("sep", "\t").csv(path)
     whole = lambda c: F.regexp_replace(c, ",", "").try_cast("long").alias(c)
     out = rows.select("file", whole("num_seqs"), whole("sum_len"), whole("sum_n"))
-    return out.withColumn("n_share", F.round(F.try_divide("sum_n", "sum_len"), 6))
+    return out.withColumn("n_share", F.try_divide("sum_n", "sum_len"))
 
 
 def workbook(spark: SparkSession, path: str | list[str]) -> DataFrame:
