@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir
+
 
 _WRITTEN: list[DataFrame] = []
 
@@ -19,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="meridia-")
-        atexit.register(shutil.rmtree, found, True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df to a table in the shared folder and reads it back: the lineage is cut, and a lost executor costs no recomputation."""
     spark = df.sparkSession
@@ -40,6 +31,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Tables that materialize() writes within are removed at the end; what reads them must be written by then."""
+    mark = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        made = _WRITTEN[mark:]
+        del _WRITTEN[mark:]
+        discard(*made)
+
+
 def release() -> int:
     """Removes all tables that materialize() has written in this process, once results that read them are themselves written; says how many."""
     n = len(_WRITTEN)

@@ -43,3 +43,12 @@ def test_tables_are_kept_until_released(spark):
 
 def test_names_that_clash():
     assert common.fresh("a", ["A", "_a"]) == "__a"
+
+
+def test_temporary_tables_are_removed(spark):
+    from meridia.sources.tables import exists
+
+    with common.temporary():
+        made = common.materialize(spark.range(5).toDF("x"), "t")
+        assert made.count() == 5 and exists(spark, made._meridia_path)
+    assert not exists(spark, made._meridia_path) and made not in common._WRITTEN
