@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridia.llm.common import shared_dir, table
+from meridia.llm.common import discard, shared_dir, table, temporary
 from meridia.llm.exact import drop_exact_duplicates
 from meridia.llm.language import accepted
 from meridia.llm.packing import packed
@@ -53,10 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the documents of sf_dir."""
+    """All stages in order over the documents of sf_dir. What a stage wrote for itself goes once its result is written, and each result once the next one is."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
+        with temporary():
+            stage(spark, docs, sf_dir).write.parquet(out)
+        if k:
+            discard(docs)
         docs = spark.read.parquet(out)
+        docs._meridia_path = out
     return docs
