@@ -14,6 +14,8 @@ a chunk of a very common passage are fetched once, and joined to the runs that n
 Defined cases: null text is empty and has no chunks; repeats inside one document aren't reported; rows that repeat an id are
 one document, each with runs of its own (with other texts under one id, ends may be compared with either); rows with a null id take
 no part; an empty table gives an empty result; other columns are ignored. Digests have 64 bits: a chance collision adds one chunk.
+In a text that repeats one word over and over chunks are alike at many places, and ends are compared at one of them: such a passage
+may come out shorter, or be missed when it has few more than WORDS words.
 """
 
 from __future__ import annotations

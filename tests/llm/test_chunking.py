@@ -113,3 +113,27 @@ def test_repeated_ids_with_other_texts(spark):
     a, b = words(rng, 100), words(rng, 100)
     got = chunking.repeated_passages(spark.createDataFrame([(1, a), (1, b), (2, b)], "doc_id long, text string")).collect()
     assert {(r.doc_id, r.passage_start, r.passage_end, r.kept) for r in got} == {(1, 0, len(b), True), (2, 0, len(b), False)}
+
+
+def test_a_table_against_all_runs_of_words(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r.doc_id: (r.text or "").split() for r in df.collect()}
+
+    def sharing(n):
+        """Documents with n words in a row that another document has too."""
+        first, out = {}, set()
+        for i, w in texts.items():
+            for k in range(len(w) - n + 1):
+                other = first.setdefault(hash(tuple(w[k : k + n])), i)
+                if other != i:
+                    out |= {i, other}
+        return out
+
+    got = {r.doc_id for r in chunking.repeated_passages(df).collect()}
+    surely = sharing(52)
+    assert len(surely) > 500
+    assert len(got & surely) >= 0.99 * len(surely)
+    # what is missed repeats one word over and over: its chunks are alike at many places, and ends may be compared with another
+    for i in surely - got:
+        assert any(len(set(texts[i][k : k + 25])) == 1 for k in range(len(texts[i]) - 24)), i
+    assert len(got - sharing(47)) <= 0.002 * len(got)
