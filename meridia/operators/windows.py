@@ -28,7 +28,7 @@ def argmax_by_order(scores: dict[str, Column], skip: tuple[str, ...] = ()) -> Co
 def merge_intervals(df: DataFrame, contig: str = "contig", start: str = "start", end: str = "end", tolerance: int = 50, tile: int = 10_000_000) -> DataFrame:
     """(contig, start, end, n): intervals of a contig merged where the next starts at most `tolerance` after the last end.
 
-    Two rounds: within tiles of a contig, which spreads one contig over many tasks, and then over the tiles' few islands.
+    Two rounds: within tiles of a contig, which spreads one contig over many tasks, and then over the islands at the tiles' borders.
     """
     rows = df.select(F.col(contig).alias("contig"), F.col(start).alias("start"), F.col(end).alias("end"), F.lit(1).cast("long").alias("n"))
 
@@ -40,7 +40,13 @@ def merge_intervals(df: DataFrame, contig: str = "contig", start: str = "start",
         return numbered.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("_island")
 
     tiled = islands(rows.withColumn("_tile", F.floor(F.col("start") / tile)), ["contig", "_tile"])
-    return islands(tiled.drop("_tile"), ["contig"])
+    # only islands that reach over a tile's border, or lie where an earlier tile's reach, can go on in another tile
+    before = Window.partitionBy("contig").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    reach = tiled.groupBy("contig", "_tile").agg(F.max("end").alias("_end")).select("contig", "_tile", F.max("_end").over(before).alias("_reach"))  # a row a tile
+    placed = tiled.join(reach, ["contig", "_tile"])
+    alone = (F.col("end") + tolerance < (F.col("_tile") + 1) * tile) & (F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + tolerance))
+    at_borders = islands(placed.filter(~alone).drop("_tile", "_reach"), ["contig"])
+    return placed.filter(alone).select(*at_borders.columns).unionByName(at_borders)
 
 
 def islands_by_gap(df: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> DataFrame:

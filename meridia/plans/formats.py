@@ -84,6 +84,16 @@ def s22_simple_variants(spark: SparkSession, sf: str) -> DataFrame:
     return v.orderBy("contig", "pos", "dp", F.col("id").cast("long")).limit(60).select("contig", "pos", "ref", "alt", "dp")
 
 
+@query("SELECT p_name AS value, p_partkey % 2 = 0 AS packed FROM part")
+def s79_lines_by_magic(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of gzipped and plain files alike, told apart by their first bytes."""
+    path, p = _place(spark, "magic"), table(spark, sf, "part")
+    p.filter("p_partkey % 2 = 0").select("p_name").write.option("compression", "gzip").text(f"{path}/a")
+    p.filter("p_partkey % 2 = 1").select("p_name").write.text(f"{path}/b")
+    rows = genomics.lines_by_magic(spark, [f"{path}/a/*.txt.gz", f"{path}/b/*.txt"])
+    return rows.select("value", F.col("path").endswith(".gz").alias("packed"))
+
+
 @query("SELECT 'chr' || l_linenumber AS contig, l_orderkey AS start, l_orderkey + 50 AS \"end\" FROM lineitem")
 def s23_regions(spark: SparkSession, sf: str) -> DataFrame:
     """BED rows, 0-based and half open, with comment lines."""

@@ -70,6 +70,23 @@ def vcf(spark: SparkSession, path: str | list[str], standard_only: bool = False)
     return out.filter(standard_contig(F.col("contig"))) if standard_only else out
 
 
+def lines_by_magic(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, value): the lines of files that are gzipped or not, by their first bytes and not by their names; a file is one task's stream."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gzip
+        import io
+
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                data = content.as_py()
+                lines = io.TextIOWrapper(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data), "utf-8", "replace")
+                while part := lines.readlines(1 << 20):
+                    yield pa.RecordBatch.from_pydict({"path": pa.array([name] * len(part)), "value": pa.array([x.rstrip("\r\n") for x in part], pa.string())})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, value string")
+
+
 def vcf_samples(spark: SparkSession, path: str) -> DataFrame:
     """(samples): the names after column nine of the header line."""
     head = spark.read.text(path).filter(F.col("value").startswith("#CHROM"))

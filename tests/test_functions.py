@@ -132,3 +132,24 @@ def test_json(spark):
     assert one(spark, js.scan_form("x"), x="a%2541&amp;​b") == "aA&b"
     df = spark.createDataFrame([(1, '{"a":{"b":[1,"v 2.5"]},"t":true}')], "id long, j string")
     assert sorted((r.fact_id, r.pointer, r.kind, r.value) for r in js.number_facts(df, "id", "j").collect()) == [("Q0001", "/a/b/0", "number", 1.0), ("Q0002", "/a/b/1", "text", 2.5)]
+
+
+def test_lesser_used_functions(spark):
+    from meridia.operators import genomics as ops
+
+    assert one(spark, text.coalesced_text("a", "b"), a="  ", b=" x ") == "x"
+    assert one(spark, text.wildcard_free("a", "b"), a="50%_Off", b="%_o") and not one(spark, text.wildcard_free("a", "b"), a="50x", b="5%")
+    assert str(one(spark, numeric.micro_usd("x"), x=1.23456789)) == "1.234568"
+    assert one(spark, dates.elapsed_today("a", "b", "c"), a="2024-01-02 00:10:00", b="2024-01-01 23:00:00", c="2024-01-02 00:04:00") == 360
+    assert one(spark, ops.simple_quality(F.col("x")), x="II!!") == 20
+    split = ops.split_alleles(spark.createDataFrame([("A", "C,G")], "ref string, alt string"))
+    assert sorted(r.alt for r in split.collect()) == ["C", "G"]
+
+
+def test_identity_of_receipts(spark):
+    from meridia.operators import relational
+
+    a = spark.createDataFrame([(1, "w", "r"), (2, "w", None), (3, "w", "r")], "k int, workflow string, run string")
+    b = spark.createDataFrame([(1, "w", "r"), (2, "w", None), (4, "v", "r")], "k int, workflow string, run string")
+    got = dict(tuple(r) for r in relational.same_identity({"x": a, "y": b}, "k", ["workflow", "run"]).collect())
+    assert got == {1: "same", 2: "same", 3: "y missing", 4: "x missing"}

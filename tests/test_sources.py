@@ -140,3 +140,33 @@ def test_late_and_repeated_events(spark, tmp_path):
     seen = []
     progress.run_available(progress.once_each(stream, "k", "ts"), str(tmp_path / "cp"), lambda b, n: seen.extend(r.k for r in b.collect()))
     assert sorted(seen) == ["a", "b"]
+
+
+def test_paged_source_fails_loudly(tmp_path):
+    import json
+
+    from meridia.sources import rest
+
+    for page in range(3):
+        folder = tmp_path / "q=a" / f"page={page}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text(json.dumps([{"n": page}]))
+    options = {"url": f"file://{tmp_path}", "keys": '["a"]', "fetch": "meridia.sources.rest:staged_fetch"}
+
+    def read(**more):
+        reader = rest._Reader(options | more)
+        return [json.loads(x)["n"] for p in reader.partitions() for _, _, x in reader.read(p)]
+
+    assert read() == [0, 1, 2] and read(max_rows="2") == [0, 1]
+    with pytest.raises(RuntimeError, match="more than 2 pages"):
+        read(max_pages="2")
+    (tmp_path / "q=a" / "page=0" / "part-0.txt").write_text(json.dumps({"errors": ["no such gene"]}))
+    with pytest.raises(RuntimeError, match="no such gene"):
+        read()
+
+
+def test_reports_are_bounded(spark):
+    df = spark.range(5).toDF("a")
+    assert sinks.markdown(df, ["a"], limit=5).count("\n") == 7
+    with pytest.raises(ValueError):
+        sinks.markdown(df, ["a"], limit=4)
