@@ -142,6 +142,33 @@ def reference_base(variants: DataFrame, chunks: DataFrame, width: int, flank: in
     return v.join(chunks, ["contig", "chunk"], "left").withColumn("bases", F.substr("seq", at + 1, F.lit(2 * flank + 1))).drop("chunk", "seq")
 
 
+def normalised(variants: DataFrame, window: str = "window", most: int = 200) -> DataFrame:
+    """Variants (contig, pos, ref, alt, window) left-aligned and trimmed; those whose REF isn't the reference's are left out.
+
+    window holds the reference from some place up to the end of REF. Alleles lose a last base that they share and gain the base
+    before them where one is empty, `most` times at most or up to the window's start; then they lose first bases that they share.
+    """
+    start = F.length(window) - F.length("ref")  # bases of the window before REF
+    state = F.struct(F.upper("ref").alias("r"), F.upper("alt").alias("a"), start.cast("int").alias("left"))
+
+    def shorter(s: Column, _: Column) -> Column:
+        same = (F.right(s.r, F.lit(1)) == F.right(s.a, F.lit(1))) & (F.greatest(F.length(s.r), F.length(s.a)) > 1) & ((s.left > 0) | (F.least(F.length(s.r), F.length(s.a)) > 1))
+        r, a = F.substr(s.r, F.lit(1), F.length(s.r) - 1), F.substr(s.a, F.lit(1), F.length(s.a) - 1)
+        empty = (r == "") | (a == "")
+        base = F.when(empty, F.upper(F.substr(F.col(window), s.left, F.lit(1)))).otherwise("")
+        changed = F.struct(F.concat(base, r).alias("r"), F.concat(base, a).alias("a"), (s.left - empty.cast("int")).alias("left"))
+        return F.when(same, changed).otherwise(s)
+
+    def trimmed(s: Column, _: Column) -> Column:
+        same = (F.left(s.r, F.lit(1)) == F.left(s.a, F.lit(1))) & (F.least(F.length(s.r), F.length(s.a)) > 1)
+        return F.when(same, F.struct(F.substr(s.r, F.lit(2)).alias("r"), F.substr(s.a, F.lit(2)).alias("a"), (s.left + 1).alias("left"))).otherwise(s)
+
+    fits = F.upper(F.right(F.col(window), F.length("ref"))) == F.upper("ref")
+    rows = variants.filter(fits).withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.lit(most)), state, shorter)).withColumn("_start", start)
+    rows = rows.withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("_s.r"), F.length("_s.a")))), F.col("_s"), trimmed))
+    return rows.withColumn("pos", F.col("pos") + F.col("_s.left") - F.col("_start")).withColumn("ref", F.col("_s.r")).withColumn("alt", F.col("_s.a")).drop("_s", "_start")
+
+
 def simple_quality(x: Column) -> Column:
     """Mean Phred quality of a quality string (offset 33)."""
     codes = F.transform(F.filter(F.split(x, ""), lambda s: s != ""), F.ascii)

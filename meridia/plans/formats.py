@@ -321,9 +321,12 @@ def s50_requests_of_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderstatus AS run, count(*) AS n, sum(o_custkey)::BIGINT AS total FROM orders GROUP BY 1")
 def s73_run_manifests(spark: SparkSession, sf: str) -> DataFrame:
-    """Manifests found by a path pattern, with the run that their path names."""
+    """Manifests found by a path pattern, with the run that their path names; malformed entries are left out."""
     path = _place(spark, "runs")
-    table(spark, sf, "orders").select(F.to_json(F.struct("o_custkey")).alias("value"), F.col("o_orderstatus").alias("run")).write.partitionBy("run").text(path)
+    o = table(spark, sf, "orders")
+    rows = o.select(F.to_json(F.struct("o_custkey")).alias("value"), F.col("o_orderstatus").alias("run"))
+    broken = o.filter("o_orderkey % 100 = 0").select(F.lit('{"o_custkey": ').alias("value"), F.col("o_orderstatus").alias("run"))
+    rows.union(broken).write.partitionBy("run").text(path)
     m = tables.manifests(spark, f"{path}/run=*/*.txt", "o_custkey bigint", r"/run=([^/]+)/")
     return m.groupBy("run").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("total"))
 
@@ -480,3 +483,59 @@ def t15_span_tree(spark: SparkSession, sf: str) -> DataFrame:
     start = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
     spans = e.select(F.col("event_id").alias("span_id"), F.when(F.col("event_id") >= 3, F.expr("event_id DIV 3")).alias("parent_id"), F.col("event_type").alias("name"), start.alias("start_ns"), (start + F.round(F.col("value") * 1e6).cast("long")).alias("end_ns"))
     return span_tree(spans).select("span_id", "name", "parent_name", "ms")
+
+
+@query("""
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority AS service, round(sum(o_totalprice), 2) AS amount FROM orders GROUP BY 1, 2""")
+def s72_daily_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily groups of a nested cost answer, one answer a day, flattened to rows."""
+    o = table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderpriority").alias("service")).agg(F.round(F.sum("o_totalprice"), 2).alias("amount"))
+    group = F.format_string('{"Keys": ["%s"], "Metrics": {"UnblendedCost": {"Amount": "%s", "Unit": "USD"}}}', "service", F.col("amount").cast("decimal(20,2)").cast("string"))
+    days = o.groupBy("day").agg(F.array_join(F.collect_list(group), ", ").alias("groups"))  # five services a day
+    line = F.concat(F.lit('{"TimePeriod": {"Start": "'), "day", F.lit('"}, "Groups": ['), "groups", F.lit("]}"))
+    schema = "TimePeriod struct<Start: string>, Groups array<struct<Keys: array<string>, Metrics: struct<UnblendedCost: struct<Amount: string>>>>"
+    rows = tables.json_lines(spark, _lines(days, line, "costs"), schema).select(F.col("TimePeriod.Start").alias("day"), F.explode("Groups").alias("g"))
+    return rows.select("day", F.get("g.Keys", F.lit(0)).alias("service"), F.col("g.Metrics.UnblendedCost.Amount").cast("double").alias("amount"))
+
+
+@query("""
+SELECT 'chr' || l_linenumber AS contig, l_orderkey AS pos, l_linenumber::BIGINT AS dna_ref, l_suppkey % 5 AS dna_alt, CASE WHEN l_orderkey % 3 > 0 THEN l_suppkey % 4 END AS rna_alt FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_suppkey)""")
+def j12_locus_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """DNA and RNA pileups of a locus side by side, row by row; loci without RNA stay."""
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("l_suppkey"))
+    contig = F.concat(F.lit("chr"), F.col("l_linenumber"))
+
+    def side(rows: DataFrame, bases: F.Column, name: str) -> DataFrame:
+        path = _lines(rows, _tabs(contig, "l_orderkey", F.lit("A"), F.lit(9), bases, F.lit("I")), name)
+        return genomics.mpileup(spark, path, 1).select("contig", "pos", text.pileup_counts("bases", "ref", F.lit("T")).alias(name))
+
+    dna = side(li, F.concat(F.expr("repeat('.', l_linenumber)"), F.expr("repeat('t', CAST(l_suppkey % 5 AS INT))"), F.lit("*")), "dna")
+    rna = side(li.filter("l_orderkey % 3 > 0"), F.concat(F.lit("^I,"), F.expr("repeat('T', CAST(l_suppkey % 4 AS INT))")), "rna")
+    both = dna.join(rna, ["contig", "pos"], "left")
+    return both.select("contig", "pos", F.col("dna.ref").alias("dna_ref"), F.col("dna.alt").alias("dna_alt"), F.col("rna.alt").alias("rna_alt"))
+
+
+@query("""
+SELECT n_name AS sample, 'R' || n_regionkey AS cohort, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 1.5 END AS expression FROM nation""")
+def s49_source_bundle(spark: SparkSession, sf: str) -> DataFrame:
+    """A clinical source and an expression source of two shapes, each read page by page, joined by sample."""
+    clinical = _staged(spark, _pages(spark, sf, F.concat(F.lit("["), "items", F.lit("]"))), "clinical")
+    e = table(spark, sf, "nation").filter("n_nationkey % 2 = 0").select(F.lit("e").alias("q"), F.lit(0).alias("page"), F.format_string('{"sample": "%s", "value": %s}', "n_name", (F.col("n_nationkey") * 1.5).cast("string")).alias("item"))
+    expression = _staged(spark, e.groupBy("q", "page").agg(F.concat(F.lit('{"results": ['), F.array_join(F.collect_list("item"), ", "), F.lit("]}")).alias("value")), "expression")  # 13 nations
+    people = _rest(spark, url=clinical, keys=REGIONS).select(js.at_path("record", "n").alias("sample"), F.col("key").alias("cohort"))
+    values = _rest(spark, url=expression, keys='["e"]', records="results").select(js.at_path("record", "sample").alias("sample"), js.at_path("record", "value").cast("double").alias("expression"))
+    return relational.lookup(people, values, ["sample"])
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_custkey % 6 + 2 AS n FROM orders)
+SELECT k, k * 100 AS pos, 'GA' AS ref, 'G' AS alt FROM o UNION ALL SELECT k, k * 100 + n, 'A', 'T' FROM o UNION ALL SELECT k, k * 100, 'G', 'GA' FROM o""")
+def b06_normalised_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Deletions and insertions in runs of one base moved to the run's start, alleles split and trimmed, wrong REF left out."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 6 + 2).cast("int").alias("n"))
+    run = F.concat(F.lit("G"), F.repeat(F.lit("A"), F.col("n")))  # the reference from k * 100 on
+    deleted = o.select("k", (F.col("k") * 100 + F.col("n") - 1).alias("pos"), F.lit("AA").alias("ref"), F.lit("A,AT").alias("alts"), run.alias("window"))
+    inserted = o.select("k", (F.col("k") * 100 + F.col("n")).alias("pos"), F.lit("a").alias("ref"), F.lit("aa").alias("alts"), run.alias("window"))
+    wrong = o.select("k", (F.col("k") * 100).alias("pos"), F.lit("C").alias("ref"), F.lit("T").alias("alts"), F.lit("G").alias("window"))
+    v = deleted.union(inserted).union(wrong).withColumn("contig", F.lit("c"))
+    return ops.normalised(ops.split_alleles(v.withColumnRenamed("alts", "alt"))).select("k", "pos", "ref", "alt")

@@ -110,8 +110,8 @@ def trace(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def manifests(spark: SparkSession, pattern: str, schema: str, run: str) -> DataFrame:
-    """JSON manifests that a path pattern finds, with the run that `run` (a regular expression with a group) reads from each path."""
-    rows = spark.read.schema(schema).json(pattern)
+    """JSON manifests that a path pattern finds, with the run that `run` (a regular expression with a group) reads from each path; malformed entries are left out."""
+    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(pattern)
     return rows.select(F.regexp_extract(F.col("_metadata.file_path"), run, 1).alias("run"), *rows.columns)
 
 

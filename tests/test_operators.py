@@ -197,3 +197,29 @@ def test_authorised_state_fails_on_two(spark):
     assert rows(evidence.authorised_state(e, "s", "state")) == [("a", "x"), ("b", "no_call")]
     with pytest.raises(Exception, match="conflicting states"):
         evidence.authorised_state(e.union(spark.createDataFrame([("a", "y")], "s string, state string")), "s", "state").collect()
+
+
+def test_normalised_variants_against_a_loop(spark):
+    rng = random.Random(6)
+    data, want = [], []
+    for k in range(150):
+        window = "".join(rng.choice("AC") for _ in range(rng.randint(3, 30)))
+        n = rng.randint(1, min(4, len(window)))
+        ref = window[-n:]
+        alt = "".join(rng.choice("AC") for _ in range(rng.randint(1, 4)))
+        if ref == alt:
+            continue
+        pos = 1000 + len(window) - n
+        data.append((k, pos, ref, alt, window))
+        r, a, left = ref, alt, len(window) - n
+        while r[-1:] == a[-1:] and (min(len(r), len(a)) > 1 or left > 0):
+            r, a = r[:-1], a[:-1]
+            if not r or not a:
+                left -= 1
+                r, a = window[left] + r, window[left] + a
+        while len(r) > 1 and len(a) > 1 and r[0] == a[0]:
+            r, a, left = r[1:], a[1:], left + 1
+        want.append((k, 1000 + left, r, a))
+    df = spark.createDataFrame(data, "k int, pos long, ref string, alt string, window string")
+    assert rows(genomics.normalised(df).select("k", "pos", "ref", "alt")) == sorted(want)
+    assert genomics.normalised(spark.createDataFrame([(1, 5, "G", "A", "AAC")], "k int, pos long, ref string, alt string, window string")).count() == 0
