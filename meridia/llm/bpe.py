@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from .common import slim
 
 NONE = np.int32(2**31 - 1)
-CHUNK_CHARS = 8_000_000  # bytes of text whose new words are merged at once
+CHUNK_CHARS = 16_000_000  # bytes of text whose new words are merged at once
 SPLIT_CHARS = 1_000_000  # signs of text split into words at once
-KEEP_WORDS = 1_000_000  # words remembered from chunk to chunk
+KEEP_WORDS = 1_500_000  # words remembered from chunk to chunk
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 CUT = re.compile(r"\S(?=[ \n])")
