@@ -164,7 +164,7 @@ def normalised(variants: DataFrame, window: str = "window", most: int = 200) ->
         return F.when(same, F.struct(F.substr(s.r, F.lit(2)).alias("r"), F.substr(s.a, F.lit(2)).alias("a"), (s.left + 1).alias("left"))).otherwise(s)
 
     fits = F.upper(F.right(F.col(window), F.length("ref"))) == F.upper("ref")
-    rows = variants.filter(fits).withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.lit(most)), state, shorter)).withColumn("_start", start)
+    rows = variants.filter(fits).withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.least(F.lit(most), F.length(window) + F.length("alt"))), state, shorter)).withColumn("_start", start)
     rows = rows.withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("_s.r"), F.length("_s.a")))), F.col("_s"), trimmed))
     return rows.withColumn("pos", F.col("pos") + F.col("_s.left") - F.col("_start")).withColumn("ref", F.col("_s.r")).withColumn("alt", F.col("_s.a")).drop("_s", "_start")
 
