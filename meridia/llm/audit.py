@@ -8,7 +8,7 @@ Method: texts go to partitions by their xxhash. There each fingerprint has a cha
 with its smallest id, and every other id is given out as one that fails E. The same chains run before the shuffle over the rows of
 a task, in blocks of bounded bytes, so a text moves once a block whatever its copies; the copies already known to have a smaller twin
 move without it, by their ids. After the shuffle rows come sorted by fingerprint and id (Spark spills them), so only one fingerprint's
-chain is held at a time. Count vectors are merged by combineByKey, first within tasks, so a hot source is one vector a task.
+chain is held at a time; the number of partitions follows the measured bytes of texts. Count vectors are merged by combineByKey, first within tasks, so a hot source is one vector a task.
 
 Defined cases: null text is empty, null source the empty string; a null id is larger and smaller than none, so E never fails it nor through
 it; rows that repeat an id and a text don't fail E by each other; labels that repeat an id count as 1 where any of them is 1; an empty
@@ -31,8 +31,9 @@ from .common import slim
 
 FILTERS = "ABCDE"
 SAME = 1 << FILTERS.index("E")
-#: Bytes of texts that a task holds before its shuffle.
+#: Bytes of texts that a task holds before its shuffle, and that a partition gets in the mean after it.
 BLOCK = 32 << 20
+PARTITION = 64 << 20
 UPPER = bytes(range(0x41, 0x5B))
 SIGNS = b"#$%&*|"
 
@@ -110,9 +111,10 @@ def failed_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     rows = slim(docs, doc_id=id_col, part=part_col, text=text_col)
     kind = rows.schema["doc_id"].dataType
-    rows = rows.select("doc_id", F.coalesce(F.col("part").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    rows = rows.select("doc_id", F.coalesce(F.col("part").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     routed: RDD = rows.rdd.mapPartitions(chained)
-    width = max(routed.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION))
     found = routed.repartitionAndSortWithinPartitions(width, _route, True, _order).mapPartitions(non_minimum)
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("part", T.StringType()), T.StructField("mask", T.IntegerType()), T.StructField("n", T.LongType())])
     return spark.createDataFrame(found, schema, verifySchema=False)
