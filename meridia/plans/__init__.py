@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import files, formats, more, tables, texts, times  # noqa: F401
+from . import files, formats, more, streams, tables, texts, times  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

@@ -120,7 +120,7 @@ def t16_window_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def t01_stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same counts through a stream: files in order, repeats dropped by key, state merged batch by batch."""
+    """The same counts through a stream: files in order, repeats dropped by key, state merged batch by batch."""
     import uuid
 
     base = shared_dir(spark) + f"/stream-{uuid.uuid4().hex}"

@@ -11,39 +11,56 @@ from __future__ import annotations
 import importlib
 import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 
 def urllib_fetch(url: str, params: dict[str, str]) -> str:
-    """A GET, or a POST where params hold `body`; three tries."""
+    """A GET, or a POST where params hold `body`."""
     import urllib.parse
     import urllib.request
 
+    params = dict(params)
     body = params.pop("body", None)
     full = f"{url}?{urllib.parse.urlencode(params)}" if params else url
-    for attempt in range(3):
-        try:
-            with urllib.request.urlopen(urllib.request.Request(full, body.encode() if body else None, {"Content-Type": "application/json"}), timeout=60) as r:
-                return r.read().decode()
-        except OSError:
-            if attempt == 2:
-                raise
-            time.sleep(2**attempt)
-    return ""
+    with urllib.request.urlopen(urllib.request.Request(full, body.encode() if body else None, {"Content-Type": "application/json"}), timeout=60) as r:
+        return r.read().decode()
+
+
+def fetcher(options: dict[str, str]) -> Callable[[str, dict[str, str]], str]:
+    """The function that option `fetch` names. What fails as a connection does, or as a server does for a while (429, 5xx), is tried
+    `tries` times in all, after `wait_seconds`, doubled each time; other answers fail at once."""
+    module, _, name = options.get("fetch", "meridia.sources.rest:urllib_fetch").partition(":")
+    fetch = getattr(importlib.import_module(module), name)
+    tries, wait = int(options.get("tries", "3")), float(options.get("wait_seconds", "1"))
+
+    def run(url: str, params: dict[str, str]) -> str:
+        for attempt in range(tries):
+            try:
+                return fetch(url, params)
+            except OSError as e:
+                code = getattr(e, "code", None)
+                if attempt == tries - 1 or code is not None and code != 429 and code < 500:
+                    raise
+                time.sleep(wait * 2**attempt)
+        raise ValueError("tries must be positive")
+
+    return run
 
 
 def staged_fetch(url: str, params: dict[str, str]) -> str:
     """A page that was staged under `url`/q=`q`/page=`page` in a folder that all executors see, as a partitioned write leaves it;
-    blank pages past the last. A body with variables gives q and page as a GraphQL request does, a token is a page's name."""
+    blank pages past the last. A body with variables gives q and page as a GraphQL request does, a token is a page's name, and so is an
+    operation on a job with the number of its poll."""
     from pyarrow import fs
 
     if "body" in params:
         params = params | {k: str(v) for k, v in json.loads(params["body"])["variables"].items()}
     files, base = fs.FileSystem.from_uri(url)
-    found = files.get_file_info(fs.FileSelector(f"{base}/q={params['q']}/page={params.get('token') or params['page']}", allow_not_found=True))
+    page = params.get("token") or (params["op"] + params.get("poll", "") if "op" in params else params["page"])
+    found = files.get_file_info(fs.FileSelector(f"{base}/q={params['q']}/page={page}", allow_not_found=True))
     found = [x.path for x in found if x.is_file and not x.base_name.startswith((".", "_"))]
     if not found:
         return "[]"
@@ -51,21 +68,6 @@ def staged_fetch(url: str, params: dict[str, str]) -> str:
         return f.read().decode()
 
 
-_POLLS: dict[tuple[str, str], int] = {}
-
-
-def staged_job(url: str, params: dict[str, str]) -> str:
-    """A job service over staged pages: what is submitted waits for two polls, then its result is the page."""
-    key = (url, params["q"])
-    if params["op"] == "submit":
-        _POLLS[key] = 0
-        return json.dumps({"id": params["q"]})
-    if params["op"] == "status":
-        _POLLS[key] = _POLLS.get(key, 0) + 1
-        return json.dumps({"status": "READY" if _POLLS[key] > 2 else "WAITING"})
-    return staged_fetch(url, params | {"page": "0"})
-
-
 class _Key(InputPartition):
     def __init__(self, key: str):
         super().__init__(key)
@@ -80,8 +82,7 @@ class _Reader(DataSourceReader):
         return [_Key(k) for k in json.loads(self.options.get("keys", '[""]'))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        module, _, name = self.options.get("fetch", "meridia.sources.rest:urllib_fetch").partition(":")
-        fetch = getattr(importlib.import_module(module), name)
+        fetch = fetcher(self.options)
         limit, rows_left = int(self.options.get("max_pages", "1000")), int(self.options.get("max_rows", "1000000000"))
         records = self.options.get("records", "")
         token, page = "", 0
@@ -116,8 +117,8 @@ class _Reader(DataSourceReader):
         """Submits, asks until the job is ready, and fetches its result."""
         url, wait = self.options["url"], float(self.options.get("poll_seconds", "5"))
         job = json.loads(fetch(url, {"op": "submit", "q": key}))["id"]
-        for _ in range(int(self.options.get("max_polls", "100"))):
-            status = json.loads(fetch(url, {"op": "status", "q": job}))["status"]
+        for n in range(int(self.options.get("max_polls", "100"))):
+            status = json.loads(fetch(url, {"op": "status", "q": job, "poll": str(n)}))["status"]
             if status == "READY":
                 return fetch(url, {"op": "result", "q": job})
             if status != "WAITING":
