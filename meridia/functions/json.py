@@ -59,42 +59,48 @@ def list_response(x: ColumnLike) -> Column:
     return F.zip_with(ids, rows, lambda i, r: F.struct(total.alias("total"), i.alias("id"), r.alias("row")))
 
 
+#: A number in a text: fixed value, which results must agree with. It has a sign, a fraction, an exponent or a percent sign, and no letter or digit beside it.
+NUMBER = r"(?<![A-Za-z0-9])[-+]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?%?(?![A-Za-z0-9])"
+
+
 class _Facts:
-    """A row for each number, or number within a string, of a JSON text, with the pointer to it."""
+    """A row for each number, or number within a string, of a JSON text, in the order of the document with names of objects sorted."""
 
-    def eval(self, text: str) -> Iterator[tuple[str, str, float]]:
+    def eval(self, text: str) -> Iterator[tuple[int, str, str, int | None, str, float]]:
         import re
 
         try:
             work = [("", json.loads(text))] if text else []
         except ValueError:
             return
+        n = 0
         while work:
             path, v = work.pop()
             if isinstance(v, dict):
-                work += [(f"{path}/{k.replace('~', '~0').replace('/', '~1')}", x) for k, x in reversed(v.items())]
+                work += [(f"{path}/{k.replace('~', '~0').replace('/', '~1')}", v[k]) for k in sorted(v, reverse=True)]
             elif isinstance(v, list):
                 work += [(f"{path}/{i}", x) for i, x in reversed(list(enumerate(v)))]
             elif isinstance(v, str):
-                for m in re.finditer(r"(?<![\w.])-?\d+(?:\.\d+)?(?![\w.])", v):
-                    yield path, "text", float(m[0])
+                for i, m in enumerate(re.finditer(NUMBER, v), 1):
+                    n += 1
+                    yield n, path, "string_token", i, m[0], float(m[0].rstrip("%"))
             elif isinstance(v, (int, float)) and not isinstance(v, bool):
-                yield path, "number", float(v)
+                n += 1
+                yield n, path, "number", None, json.dumps(v), float(v)
 
 
 def number_facts(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(id, fact_id, pointer, kind, value): all numbers of each row's JSON text, numbered Q0001 on within the row."""
-    facts: UserDefinedTableFunction = F.udtf(_Facts, returnType="pointer string, kind string, value double")
-    spark: SparkSession = df.sparkSession
-    spark.udtf.register("meridia_facts", facts)
-    spark_view = f"meridia_facts_{id(df)}"
-    df.select(F.col(id_col).alias("id"), F.col(json_col).alias("j")).createOrReplaceTempView(spark_view)
-    out = spark.sql(f"SELECT id, f.* FROM {spark_view}, LATERAL meridia_facts(j) f")
-    from pyspark.sql import Window
-
-    # numbered by place: pointers in text order of the row, ties by value
-    n = F.row_number().over(Window.partitionBy("id").orderBy("pointer", "kind", "value"))
-    return out.select("id", F.concat(F.lit("Q"), F.lpad(n.cast("string"), 4, "0")).alias("fact_id"), "pointer", "kind", "value")
+    """(id, fact_id, pointer, kind, token, exact, value): all numbers of the JSON texts, numbered Q0001 on over all rows in the order of
+    their ids, and in a row by their place: lists by index, objects by name, a string's numbers from left to right (`token`).
+
+    exact is the number as it is written; value leaves a percent sign out. Texts that aren't JSON have no facts."""
+    from ..operators.relational import numbered
+
+    facts: UserDefinedTableFunction = F.udtf(_Facts, returnType="n int, pointer string, kind string, token int, exact string, value double")
+    rows = df.select(F.col(id_col).alias("id"), F.col(json_col).alias("j"))
+    found = rows.lateralJoin(facts(F.col("j").outer())).drop("j")
+    placed = numbered(found, [F.col("id"), F.col("n")])
+    return placed.select("id", F.format_string("Q%04d", "ordinal").alias("fact_id"), "pointer", "kind", "token", "exact", "value")
 
 
 def _shrunk(v, items: int, depth: int, width: int):

@@ -142,31 +142,86 @@ def reference_base(variants: DataFrame, chunks: DataFrame, width: int, flank: in
     return v.join(chunks, ["contig", "chunk"], "left").withColumn("bases", F.substr("seq", at + 1, F.lit(2 * flank + 1))).drop("chunk", "seq")
 
 
-def normalised(variants: DataFrame, window: str = "window", most: int = 200) -> DataFrame:
-    """Variants (contig, pos, ref, alt, window) left-aligned and trimmed; those whose REF isn't the reference's are left out.
-
-    window holds the reference from some place up to the end of REF. Alleles lose a last base that they share and gain the base
-    before them where one is empty, `most` times at most or up to the window's start; then they lose first bases that they share.
+def reference_agrees(variants: DataFrame, chunks: DataFrame, width: int) -> DataFrame:
+    """Variants (contig, pos 1-based, ref, ...) whose REF is the reference's, from chunks (contig, chunk, seq) of `width` bases: each distinct
+    REF is cut at the chunks' ends and every piece compared, so its length doesn't matter."""
+    refs = variants.select("contig", "pos", "ref").distinct()
+    last = F.floor((F.col("pos") + F.length("ref") - 2) / width)
+    pieces = refs.withColumn("chunk", F.explode(F.sequence(F.floor((F.col("pos") - 1) / width), last)))
+    low = F.greatest(F.col("pos") - 1, F.col("chunk") * width)
+    high = F.least(F.col("pos") - 1 + F.length("ref"), (F.col("chunk") + 1) * width)
+    said = F.substr("ref", (low - F.col("pos") + 2).cast("int"), (high - low).cast("int"))
+    found = F.substr("seq", (low - F.col("chunk") * width + 1).cast("int"), (high - low).cast("int"))
+    good = pieces.join(chunks, ["contig", "chunk"], "left").groupBy("contig", "pos", "ref").agg(F.every(F.coalesce(F.upper(said) == F.upper(found), F.lit(False))).alias("_good"))
+    return variants.join(good.filter("_good").drop("_good"), ["contig", "pos", "ref"], "left_semi")
+
+
+def _common_tail(a: Column, b: Column, upto: int) -> Column:
+    """How many last signs two texts share, fewer than `upto`: found by halving, as k last signs are the same only where fewer are."""
+    bits = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, (upto - 1).bit_length())))])
+
+    def longer(k: Column, bit: Column) -> Column:
+        n = k + bit
+        return F.when((n <= F.length(a)) & (n <= F.length(b)) & (F.right(a, n) == F.right(b, n)), n).otherwise(k)
+
+    return F.aggregate(bits, F.lit(0), longer)
+
+
+def left_aligned(variants: DataFrame, chunks: DataFrame, width: int, most_mismatches: int | None = None) -> DataFrame:
+    """Variants (contig, pos 1-based, ref, alt, ...) as far left as they go, and trimmed, whatever the length of the run that they lie in.
+    Those whose REF isn't the reference's are left out; more than `most_mismatches` of them fail the query.
+
+    chunks are the reference (contig, chunk, seq) in pieces of `width` bases. A variant that becomes an insertion or a deletion of d bases
+    moves by the length of the tail that the bases before it, followed by those d, share with the bases before it alone. That is taken
+    within the chunk before it; variants that reach its start go on with the next chunk, in rounds, until none does. Each round is an
+    equi join of the variants that still move. At a contig's start the base after the variant is its anchor.
     """
-    start = F.length(window) - F.length("ref")  # bases of the window before REF
-    state = F.struct(F.upper("ref").alias("r"), F.upper("alt").alias("a"), start.cast("int").alias("left"))
-
-    def shorter(s: Column, _: Column) -> Column:
-        same = (F.right(s.r, F.lit(1)) == F.right(s.a, F.lit(1))) & (F.greatest(F.length(s.r), F.length(s.a)) > 1) & ((s.left > 0) | (F.least(F.length(s.r), F.length(s.a)) > 1))
-        r, a = F.substr(s.r, F.lit(1), F.length(s.r) - 1), F.substr(s.a, F.lit(1), F.length(s.a) - 1)
-        empty = (r == "") | (a == "")
-        base = F.when(empty, F.upper(F.substr(F.col(window), s.left, F.lit(1)))).otherwise("")
-        changed = F.struct(F.concat(base, r).alias("r"), F.concat(base, a).alias("a"), (s.left - empty.cast("int")).alias("left"))
-        return F.when(same, changed).otherwise(s)
-
-    def trimmed(s: Column, _: Column) -> Column:
-        same = (F.left(s.r, F.lit(1)) == F.left(s.a, F.lit(1))) & (F.least(F.length(s.r), F.length(s.a)) > 1)
-        return F.when(same, F.struct(F.substr(s.r, F.lit(2)).alias("r"), F.substr(s.a, F.lit(2)).alias("a"), (s.left + 1).alias("left"))).otherwise(s)
-
-    fits = F.upper(F.right(F.col(window), F.length("ref"))) == F.upper("ref")
-    rows = variants.filter(fits).withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.least(F.lit(most), F.length(window) + F.length("alt"))), state, shorter)).withColumn("_start", start)
-    rows = rows.withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("_s.r"), F.length("_s.a")))), F.col("_s"), trimmed))
-    return rows.withColumn("pos", F.col("pos") + F.col("_s.left") - F.col("_start")).withColumn("ref", F.col("_s.r")).withColumn("alt", F.col("_s.a")).drop("_s", "_start")
+    from ..sources.tables import checkpointed
+
+    rest = [c for c in variants.columns if c not in ("contig", "pos", "ref", "alt")]
+    good = reference_agrees(variants, chunks, width)
+    if most_mismatches is not None:
+        bad = variants.join(good.select("contig", "pos", "ref").distinct(), ["contig", "pos", "ref"], "left_anti").count()
+        if bad > most_mismatches:
+            raise RuntimeError(f"{bad} variants don't fit the reference, {most_mismatches} at most may")
+    r, a = F.upper("ref"), F.upper("alt")
+    rows = good.select("contig", F.col("pos").cast("long").alias("pos"), r.alias("r"), a.alias("a"), F.struct(*rest).alias("rest") if rest else F.lit(0).alias("rest"))
+    # Bases that both alleles share at their ends; where that is all of one, the other is a pure insertion or deletion.
+    rows = rows.withColumn("tail", _common_tail(F.col("r"), F.col("a"), 1 << 16))
+    cut = lambda x: F.substr(x, F.lit(1), F.length(x) - F.col("tail"))
+    rows = rows.withColumn("r", cut(F.col("r"))).withColumn("a", cut(F.col("a"))).drop("tail")
+    rows = checkpointed(rows)
+    moving = ((F.col("r") == "") | (F.col("a") == "")) & (F.col("r") != F.col("a"))
+    still = rows.filter(~moving)
+    # (pos, x): x is what is put in or taken out before the base at pos.
+    now = rows.filter(moving).select("contig", "pos", F.concat("r", "a").alias("x"), (F.col("r") == "").alias("more"), "rest")
+    settled, pieces = None, chunks.select("contig", "chunk", F.upper("seq").alias("seq"))
+    while True:
+        at = now.withColumn("chunk", F.floor((F.col("pos") - 2) / width)).join(pieces, ["contig", "chunk"], "left")
+        before = F.when(F.col("pos") > 1, F.substr("seq", F.lit(1), (F.col("pos") - 1 - F.col("chunk") * width).cast("int"))).otherwise("")
+        at = at.withColumn("before", before).withColumn("k", _common_tail(F.concat("before", "x"), F.col("before"), width + 1))
+        # What x has become after k steps: the d bases that end k before the end of `before` and x.
+        turned = F.substr(F.concat("before", "x"), F.length("before") - F.col("k") + 1, F.length("x"))
+        anchor = F.when(F.col("k") < F.length("before"), F.substr("before", F.length("before") - F.col("k"), F.lit(1)))
+        at = checkpointed(at.select("contig", (F.col("pos") - F.col("k")).alias("pos"), turned.alias("x"), "more", "rest", anchor.alias("anchor")))
+        done = at.filter("anchor IS NOT NULL OR pos = 1")
+        settled = done if settled is None else settled.unionByName(done)
+        now = at.filter("anchor IS NULL AND pos > 1").drop("anchor")
+        if now.isEmpty():
+            break
+    # At the start of a contig: the base after the variant, which for a deletion is the one after what is taken out.
+    after = F.when(F.col("more"), F.lit(0)).otherwise(F.length("x"))
+    edge = settled.filter("anchor IS NULL").withColumn("chunk", F.floor(after / width)).join(pieces, ["contig", "chunk"], "left")
+    edge = edge.withColumn("b", F.substr("seq", (after - F.col("chunk") * width + 1).cast("int"), F.lit(1)))
+    whole = F.concat("x", "b")
+    first = edge.select("contig", "pos", F.when(F.col("more"), F.col("b")).otherwise(whole).alias("ref"), F.when(F.col("more"), whole).otherwise(F.col("b")).alias("alt"), "rest")
+    with_x = F.concat("anchor", "x")
+    inner = settled.filter("anchor IS NOT NULL").select("contig", (F.col("pos") - 1).alias("pos"), F.when(F.col("more"), F.col("anchor")).otherwise(with_x).alias("ref"), F.when(F.col("more"), with_x).otherwise(F.col("anchor")).alias("alt"), "rest")
+    # The rest loses the first bases that both alleles share, but for the last of one.
+    head = F.least(_common_tail(F.reverse("r"), F.reverse("a"), 1 << 16), F.greatest(F.least(F.length("r"), F.length("a")) - 1, F.lit(0)))
+    still = still.withColumn("h", head).select("contig", (F.col("pos") + F.col("h")).alias("pos"), F.substr("r", F.col("h") + 1, F.length("r")).alias("ref"), F.substr("a", F.col("h") + 1, F.length("a")).alias("alt"), "rest")
+    out = still.unionByName(inner).unionByName(first)
+    return out.select("contig", "pos", "ref", "alt", *([F.col("rest")[c].alias(c) for c in rest]))
 
 
 def simple_quality(x: Column) -> Column:

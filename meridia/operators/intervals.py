@@ -13,26 +13,73 @@ def genome_bins(contigs: DataFrame, width: int, contig: str = "contig", length:
     return out.select("contig", F.col("bin").cast("long").alias("bin"), "start", F.least(F.col("start") + width, F.col("_len")).alias("end"))
 
 
+#: Bins of one level that make one of the next, and the number of levels: widths up to `width` times 8^11.
+FAN, LEVELS = 8, 12
+
+
+def _nodes(low: Column, high: Column, width: int) -> Column:
+    """Array of struct(level, bin): the fewest bins of all levels that make up the lowest bins from that of low to that of high, 14 a level at most."""
+    first, last = F.floor(low / width), F.floor(high / width) + 1  # bins of level 0, the last exclusive
+
+    def whole(k: int) -> tuple[Column, Column]:
+        return F.ceil(first / FAN**k), F.floor(last / FAN**k)
+
+    def run(k: int, a: Column, b: Column) -> Column:
+        made = F.transform(F.sequence(a.cast("long"), b.cast("long") - 1), lambda x: F.struct(F.lit(k).alias("level"), x.alias("bin")))
+        return F.when(a < b, made).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+
+    out = []
+    for k in range(LEVELS - 1):
+        a, b = whole(k)
+        up, down = (x * FAN for x in whole(k + 1))
+        out += [run(k, a, F.when(up < down, up).otherwise(b)), run(k, F.when(up < down, down).otherwise(b), b)]
+    return F.concat(*out, run(LEVELS - 1, *whole(LEVELS - 1)))
+
+
+def _in_ranges(points: DataFrame, at: Column, ranges: DataFrame, key: str, start: str, end: str, width: int) -> DataFrame:
+    """Points p with ranges r, both with all their columns, where a bin of r holds p; `_at` is the point."""
+    r = ranges.filter(F.col(end) > F.col(start)).withColumn("_node", F.explode(_nodes(F.col(start), F.col(end) - 1, width)))
+    r = r.withColumn("_level", F.col("_node.level")).withColumn("_bin", F.col("_node.bin")).drop("_node")
+    # Points look only at levels that ranges use: a dozen numbers at most.
+    levels = sorted(x[0] for x in r.select("_level").distinct().collect())
+    p = points.withColumn("_at", at).withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+    p = p.withColumn("_bin", F.floor(F.col("_at") / F.element_at(F.array(*[F.lit(width * FAN**k) for k in range(LEVELS)]), F.col("_level") + 1)))
+    return p.alias("p").join(r.alias("r"), [F.col(f"p.{c}") == F.col(f"r.{c}") for c in (key, "_level", "_bin")])
+
+
 def points_in_ranges(points: DataFrame, ranges: DataFrame, key: str, pos: str, start: str, end: str, width: int, one_based: bool = False) -> DataFrame:
     """Points with each range of their key that holds them: start <= pos < end, 1-based points shifted down.
 
-    An equi join on (key, bin): a range is copied to the bins it touches, a point has one. Each match is found once.
+    An equi join on (key, level, bin): a range is made up of bins of `width`, of 8 times that, 64 times and so on, 14 of a level at most, so
+    its length doesn't matter; a point has one bin on each level that ranges use. Each match is found once.
     """
-    p = points.withColumn("_bin", F.floor((F.col(pos) - int(one_based)) / width))
-    r = ranges.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end), F.col(start) + 1) - 1) / width))))
-    at = F.col(pos) - int(one_based)
-    return p.join(r, [key, "_bin"]).filter((at >= F.col(start)) & (at < F.col(end))).drop("_bin")
+    found = _in_ranges(points, F.col(pos) - int(one_based), ranges, key, start, end, width)
+    found = found.filter((F.col("_at") >= F.col(f"r.{start}")) & (F.col("_at") < F.col(f"r.{end}")))
+    return found.select(*[f"p.{c}" for c in points.columns], *[f"r.{c}" for c in ranges.columns if c != key])
 
 
 def overlapping(a: DataFrame, b: DataFrame, key: str, width: int, a_cols: tuple[str, str] = ("a_start", "a_end"), b_cols: tuple[str, str] = ("b_start", "b_end")) -> DataFrame:
-    """Pairs of ranges of a key that overlap (half open). Both sides are copied to the bins they touch; a pair counts in the first bin they share."""
-
-    def spread(df: DataFrame, s: str, e: str) -> DataFrame:
-        return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor((F.greatest(F.col(e), F.col(s) + 1) - 1) / width))))
-
-    joined = spread(a, *a_cols).join(spread(b, *b_cols), [key, "_bin"])
-    first = F.floor(F.greatest(F.col(a_cols[0]), F.col(b_cols[0])) / width)
-    return joined.filter((F.col(a_cols[0]) < F.col(b_cols[1])) & (F.col(b_cols[0]) < F.col(a_cols[1])) & (F.col("_bin") == first)).drop("_bin")
+    """Pairs of ranges of a key that overlap (half open), of any length: one of them begins within the other. Each pair comes once. Empty ranges overlap nothing."""
+    a, b = a.filter(F.col(a_cols[0]) < F.col(a_cols[1])), b.filter(F.col(b_cols[0]) < F.col(b_cols[1]))
+    out = [*a.columns, *(c for c in b.columns if c != key)]
+    mine = points_in_ranges(a, b, key, a_cols[0], *b_cols, width).select(*out)
+    other = points_in_ranges(b, a, key, b_cols[0], *a_cols, width).filter(F.col(b_cols[0]) > F.col(a_cols[0])).select(*out)
+    return mine.unionByName(other)
+
+
+def reference_span(cigar: Column) -> Column:
+    """Bases of the reference that an alignment covers: those of M, D, N, = and X; 0 where there is no CIGAR."""
+    steps = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    return F.coalesce(F.aggregate(steps, F.lit(0).cast("long"), lambda n, x: n + x.cast("long")), F.lit(0).cast("long"))
+
+
+def reads_over_loci(reads: DataFrame, loci: DataFrame, width: int = 1024) -> DataFrame:
+    """Mapped reads (rname, pos 1-based, cigar, flag, ...) with each locus (contig, start, end) that their alignment touches, gaps of a
+    spliced one included; a read that covers no reference base takes up one."""
+    mapped = reads.filter((F.col("flag").bitwiseAND(4) == 0) & (F.col("rname") != "*") & (F.col("pos") > 0))
+    start = F.col("pos") - 1
+    placed = mapped.withColumnRenamed("rname", "contig").withColumn("read_start", start).withColumn("read_end", start + F.greatest(reference_span(F.col("cigar")), F.lit(1)))
+    return overlapping(placed, loci, "contig", width, ("read_start", "read_end"), ("start", "end"))
 
 
 def depth_in_bins(depth: DataFrame, width: int, contig: str = "contig", pos: str = "pos", value: str = "depth") -> DataFrame:

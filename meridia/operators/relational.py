@@ -138,3 +138,15 @@ def in_order(df: DataFrame, order: list[Column], bucket: Column, name: str = "or
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     ranked = b.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(*order)))
     return ranked.join(before, "_b").withColumn(name, F.col("_before") + F.col("_r")).drop("_b", "_r", "_before")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
+    """Each row's place from 1 on in a total order. Rows are sorted by range over all partitions and written to the shared folder with their
+    place in a partition; the sizes of the partitions, of which there are few, are summed up. No window holds rows, whatever the order's values."""
+    from ..sources.tables import checkpointed
+
+    rows = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

@@ -119,15 +119,15 @@ def b09_flag_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH r AS (SELECT l_linenumber AS lane, l_orderkey, repeat(substr('ACGTN', (l_partkey % 5)::INT + 1, 1), l_suppkey % 7 + 1) || 'GATTACA' AS s FROM lineitem WHERE l_linenumber <= 2)
+WITH r AS (SELECT l_linenumber AS lane, l_orderkey, repeat(substr('ACGTN', (l_partkey % 5)::INT + 1, 1), l_suppkey % 7 + 1) || 'GATTACA' AS s FROM lineitem)
 SELECT lane::BIGINT AS lane, count(*) AS reads, min(length(s)) AS min_length, max(length(s)) AS max_length, round(avg(length(s)), 2) AS mean_length, round(sum(length(regexp_replace(s, '[^GC]', '', 'g'))) / sum(length(s)), 4) AS gc,
  round(sum(length(regexp_replace(s, '[^N]', '', 'g'))) / sum(length(s)), 4) AS n_share, 70 AS min_quality, 73 AS max_quality FROM r GROUP BY 1""")
 def a24_read_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """FASTQ files written and read back, then their metrics."""
-    li = table(spark, sf, "lineitem").filter("l_linenumber <= 2")
+    li = table(spark, sf, "lineitem")
     seq = F.concat(F.expr("repeat(substr('ACGTN', CAST(l_partkey % 5 AS INT) + 1, 1), CAST(l_suppkey % 7 + 1 AS INT))"), F.lit("GATTACA"))
     record = F.concat(F.lit("@"), F.concat_ws(":", "l_linenumber", "l_orderkey"), F.lit("\n"), seq, F.lit("\n+\n"), F.concat(F.lit("F"), F.expr(f"repeat('I', {7} + CAST(l_suppkey % 7 AS INT))")))
-    reads = genomics.fastq(spark, _lines(li, record, "fastq") + "/*.txt").filter("problem IS NULL")
+    reads = genomics.fastq(spark, _lines(li, record, "fastq") + "/*.txt", numbered=False).filter("problem IS NULL")
     out = ops.read_metrics(reads.withColumn("lane", F.split("id", ":")[0].cast("long")), ["lane"])
     return out.select("lane", "reads", "min_length", "max_length", "mean_length", "gc", "n_share", F.col("min_quality").cast("int").alias("min_quality"), F.col("max_quality").cast("int").alias("max_quality"))
 

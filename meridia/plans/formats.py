@@ -529,14 +529,14 @@ def s49_source_bundle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT o_orderkey AS k, o_custkey % 6 + 2 AS n FROM orders)
-SELECT k, k * 100 AS pos, 'GA' AS ref, 'G' AS alt FROM o UNION ALL SELECT k, k * 100 + n, 'A', 'T' FROM o UNION ALL SELECT k, k * 100, 'G', 'GA' FROM o""")
+WITH o AS (SELECT o_orderkey AS k, o_custkey % 300 + 2 AS n FROM orders)
+SELECT k, 1 AS pos, 'GA' AS ref, 'G' AS alt FROM o UNION ALL SELECT k, n + 1, 'A', 'T' FROM o UNION ALL SELECT k, 1, 'G', 'GA' FROM o""")
 def b06_normalised_variants(spark: SparkSession, sf: str) -> DataFrame:
-    """Deletions and insertions in runs of one base moved to the run's start, alleles split and trimmed, wrong REF left out."""
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 6 + 2).cast("int").alias("n"))
-    run = F.concat(F.lit("G"), F.repeat(F.lit("A"), F.col("n")))  # the reference from k * 100 on
-    deleted = o.select("k", (F.col("k") * 100 + F.col("n") - 1).alias("pos"), F.lit("AA").alias("ref"), F.lit("A,AT").alias("alts"), run.alias("window"))
-    inserted = o.select("k", (F.col("k") * 100 + F.col("n")).alias("pos"), F.lit("a").alias("ref"), F.lit("aa").alias("alts"), run.alias("window"))
-    wrong = o.select("k", (F.col("k") * 100).alias("pos"), F.lit("C").alias("ref"), F.lit("T").alias("alts"), F.lit("G").alias("window"))
-    v = deleted.union(inserted).union(wrong).withColumn("contig", F.lit("c"))
-    return ops.normalised(ops.split_alleles(v.withColumnRenamed("alts", "alt"))).select("k", "pos", "ref", "alt")
+    """Deletions and insertions in runs of up to 301 bases moved to the run's start over several chunks, alleles split and trimmed, wrong REF left out."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("contig"), F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 300 + 2).cast("int").alias("n"))
+    whole = F.concat(F.lit("G"), F.repeat(F.lit("A"), F.col("n")), F.lit("T"))
+    chunks = o.select("contig", whole.alias("s"), F.explode(F.sequence(F.lit(0), F.floor((F.col("n") + 1) / 128).cast("int"))).alias("chunk"))
+    chunks = chunks.select("contig", "chunk", F.substr("s", F.col("chunk") * 128 + 1, F.lit(128)).alias("seq"))
+    kinds = [(F.col("n"), "AA", "A,AT"), (F.col("n") + 1, "a", "aa"), (F.lit(1), "C", "T")]
+    v = o.select("contig", "k", F.explode(F.array(*[F.struct(p.cast("long").alias("pos"), F.lit(r).alias("ref"), F.lit(x).alias("alt")) for p, r, x in kinds])).alias("v")).select("contig", "k", "v.*")
+    return ops.left_aligned(ops.split_alleles(v), chunks, 128).select("k", "pos", "ref", "alt")

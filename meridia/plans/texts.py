@@ -37,10 +37,23 @@ def x01_json_path(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, 'Q0001' AS fact_id, '/k' AS pointer, 'number' AS kind, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS value FROM events WHERE json_extract(props, '$.k') IS NOT NULL""")
+WITH f AS (
+  SELECT event_id, 1 AS n, '/a' AS pointer, 'number' AS kind, NULL::INTEGER AS token, user_id::VARCHAR AS exact, user_id::DOUBLE AS value FROM events
+  UNION ALL SELECT event_id, 2 + i, '/b/' || i, 'number', NULL, (event_id + i)::VARCHAR, (event_id + i)::DOUBLE FROM events, range(12) r(i)
+  UNION ALL SELECT event_id, 14, '/c~1d', 'string_token', 1, '-' || user_id || '%', -user_id::DOUBLE FROM events
+  UNION ALL SELECT event_id, 15, '/c~1d', 'string_token', 2, event_id || 'e1', event_id * 10.0 FROM events
+  UNION ALL SELECT event_id, 16, '/c~1d', 'string_token', 3, '.5', 0.5 FROM events
+  UNION ALL SELECT event_id, 17, '/z/k', 'number', NULL, json_extract_string(props, '$.k'), json_extract_string(props, '$.k')::DOUBLE FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL)
+SELECT event_id, 'Q' || CASE WHEN q < 10000 THEN lpad(q::VARCHAR, 4, '0') ELSE q::VARCHAR END AS fact_id, pointer, kind, token, exact, value FROM (SELECT *, row_number() OVER (ORDER BY event_id, n) AS q FROM f)""")
 def x05_number_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Every number of a JSON text with its pointer."""
-    return js.number_facts(table(spark, sf, "events"), "event_id", "props").withColumnRenamed("id", "event_id")
+    """Every number of JSON texts with its pointer, numbered over all rows: lists of more than ten, several numbers a string."""
+    e = table(spark, sf, "events")
+    said = F.concat(F.lit("x1 -"), "user_id", F.lit("% of "), "event_id", F.lit("e1, v2 (.5) 3rd"))
+    text = F.concat(
+        F.lit('{"z": '), F.coalesce("props", F.lit("null")), F.lit(', "c/d": '), F.to_json(F.array(said)).substr(F.lit(2), F.length(said) + 2), F.lit(', "b": ['),
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: (F.col("event_id") + i).cast("string")), ","), F.lit('], "a": '), F.col("user_id").cast("string"), F.lit("}"),
+    )
+    return js.number_facts(e.select("event_id", text.alias("j")), "event_id", "j").withColumnRenamed("id", "event_id")
 
 
 @query(r"""

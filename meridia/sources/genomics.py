@@ -8,42 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ranges
 
-def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, ordinal, id, sequence, quality, problem): four lines a record, streamed file by file.
 
-    Gzip files can't be split, so a file is a task's work; each is read as a stream of lines through one binary value.
-    problem says what is wrong with a malformed record, else it is null.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
-        import io
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if i == 1 else pa.string()) for i in range(6)], names=["path", "ordinal", "id", "sequence", "quality", "problem"])
-
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_py()
-                text = io.TextIOWrapper(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data), "utf-8", "replace")
-                rows, n = [], 0
-                while lines := [x.rstrip("\r\n") for x in (text.readline() for _ in range(4)) if x]:
-                    if not any(lines):
-                        continue
-                    lines += [""] * (4 - len(lines))
-                    head, seq, plus, qual = lines
-                    problem = "header" if head[:1] != "@" else "separator" if plus[:1] != "+" else "lengths differ" if len(seq) != len(qual) else None
-                    rows.append((name, n, head[1:], seq, qual, problem))
-                    n += 1
-                    if len(rows) == 10_000:
-                        yield out(rows)
-                        rows = []
-                if rows:
-                    yield out(rows)
-
-    return files.mapInArrow(run, "path string, ordinal bigint, id string, sequence string, quality string, problem string")
+def fastq(spark: SparkSession, path: str | list[str], numbered: bool = True, split: int = ranges.SPLIT) -> DataFrame:
+    """(path, ordinal, id, sequence, quality, problem): four lines a record; see ranges.reads(). Plain and block-compressed files are split."""
+    return ranges.reads(ranges.files(spark, path), numbered, split=split)
 
 
 def mates(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -71,20 +41,8 @@ def vcf(spark: SparkSession, path: str | list[str], standard_only: bool = False)
 
 
 def lines_by_magic(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, value): the lines of files that are gzipped or not, by their first bytes and not by their names; a file is one task's stream."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
-        import io
-
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_py()
-                lines = io.TextIOWrapper(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data), "utf-8", "replace")
-                while part := lines.readlines(1 << 20):
-                    yield pa.RecordBatch.from_pydict({"path": pa.array([name] * len(part)), "value": pa.array([x.rstrip("\r\n") for x in part], pa.string())})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, value string")
+    """(path, value): the lines of files that are gzipped or not, by their first bytes and not by their names."""
+    return ranges.text_lines(ranges.files(spark, path)).select("path", "value")
 
 
 def vcf_samples(spark: SparkSession, path: str) -> DataFrame:

@@ -29,14 +29,15 @@ def urllib_fetch(url: str, params: dict[str, str]) -> str:
         return r.read().decode()
 
 
-def fetcher(options: dict[str, str]) -> Callable[[str, dict[str, str]], str]:
-    """The function that option `fetch` names. What fails as a connection does, or as a server does for a while (429, 5xx), is tried
+def fetcher(options: dict[str, str], fetch: Callable | None = None) -> Callable:
+    """The function given, or that option `fetch` names. What fails as a connection does, or as a server does for a while (429, 5xx), is tried
     `tries` times in all, after `wait_seconds`, doubled each time; other answers fail at once."""
-    module, _, name = options.get("fetch", "meridia.sources.rest:urllib_fetch").partition(":")
-    fetch = getattr(importlib.import_module(module), name)
+    if fetch is None:
+        module, _, name = options.get("fetch", "meridia.sources.rest:urllib_fetch").partition(":")
+        fetch = getattr(importlib.import_module(module), name)
     tries, wait = int(options.get("tries", "3")), float(options.get("wait_seconds", "1"))
 
-    def run(url: str, params: dict[str, str]) -> str:
+    def run(url: str, params: dict[str, str]):
         for attempt in range(tries):
             try:
                 return fetch(url, params)

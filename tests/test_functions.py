@@ -130,8 +130,19 @@ def test_json(spark):
     assert [tuple(r) for r in one(spark, js.list_response("x"), x='[2,["a","b"],null,[["x","y"],["z","w"]]]')] == [(2, "a", ["x", "y"]), (2, "b", ["z", "w"])]
     assert one(spark, js.without_keys("x", ("secret",)), x='{"a":[{"Secret":1,"b":2}]}') == '{"a": [{"b": 2}]}'
     assert one(spark, js.scan_form("x"), x="a%2541&amp;​b") == "aA&b"
-    df = spark.createDataFrame([(1, '{"a":{"b":[1,"v 2.5"]},"t":true}')], "id long, j string")
-    assert sorted((r.fact_id, r.pointer, r.kind, r.value) for r in js.number_facts(df, "id", "j").collect()) == [("Q0001", "/a/b/0", "number", 1.0), ("Q0002", "/a/b/1", "text", 2.5)]
+
+
+def test_number_facts_by_place(spark):
+    from pyspark.sql import functions as F
+
+    long = '{"b":[' + ",".join(str(i) for i in range(12)) + '],"a":{"x/y":"5% of 1e5, then -.5 (+3) v2 7.","~":2.50},"t":true,"n":null}'
+    df = spark.createDataFrame([(2, long), (1, '[1e400, "9 8"]'.replace("1e400", "1e40")), (3, "not json"), (4, None), (5, "7"), (6, '"a1 1a 1.2.3"')], "id long, j string")
+    got = [tuple(r) for r in js.number_facts(df.repartition(3), "id", "j").orderBy(F.expr("int(substr(fact_id, 2))")).collect()]
+    want = [(1, "/0", "number", None, "1e+40", 1e40), (1, "/1", "string_token", 1, "9", 9.0), (1, "/1", "string_token", 2, "8", 8.0)]
+    want += [(2, "/a/x~1y", "string_token", i, t, v) for i, (t, v) in enumerate([("5%", 5.0), ("1e5", 1e5), ("-.5", -0.5), ("+3", 3.0), ("7", 7.0)], 1)]
+    want += [(2, "/a/~0", "number", None, "2.5", 2.5)] + [(2, f"/b/{i}", "number", None, str(i), float(i)) for i in range(12)]
+    want += [(5, "", "number", None, "7", 7.0), (6, "", "string_token", 1, "1.2", 1.2), (6, "", "string_token", 2, "3", 3.0)]
+    assert got == [(w[0], f"Q{n:04d}", *w[1:]) for n, w in enumerate(want, 1)]
 
 
 def test_lesser_used_functions(spark):

@@ -79,16 +79,33 @@ def test_merge_intervals(spark, tile):
     assert rows(windows.merge_intervals(got, tile=tile).select("contig", "start", "end")) == [r[:3] for r in merged(data, 50)]
 
 
-def test_range_joins(spark):
-    rng = random.Random(2)
-    pts = [("c", p, i) for i, p in enumerate(rng.choices(range(1, 500), k=80))]
-    rng_ = [("c", s, s + rng.randint(0, 120), i) for i, s in enumerate(rng.choices(range(500), k=30))]
+@pytest.mark.parametrize("width", [1, 7, 50])
+def test_range_joins(spark, width):
+    rng = random.Random(width)
+    pts = [(rng.choice("cd"), p, i) for i, p in enumerate(rng.choices(range(1, 5000), k=150))] + [("c", 0, 900), (None, 5, 901), ("c", None, 902), ("c", -3, 903)]
+    rng_ = [(rng.choice("cd"), s, s + rng.choice([0, 1, 7, 30, 500, 5000, 10**9]), i) for i, s in enumerate(rng.choices(range(-20, 5000), k=60))] + [(None, 0, 9, 900), ("c", None, 5, 901), ("c", 5, None, 902), ("c", 9, 3, 903)]
     p, r = spark.createDataFrame(pts, "k string, pos long, p int"), spark.createDataFrame(rng_, "k string, s long, e long, r int")
-    got = intervals.points_in_ranges(p, r, "k", "pos", "s", "e", 50, one_based=True)
-    assert rows(got.select("p", "r")) == sorted((i, j) for _, x, i in pts for _, s, e, j in rng_ if s <= x - 1 < e)
+    ok = [x for x in rng_ if None not in x]
+    got = intervals.points_in_ranges(p, r, "k", "pos", "s", "e", width, one_based=True)
+    assert rows(got.select("p", "r")) == sorted((i, j) for k, x, i in pts for q, s, e, j in ok if k == q and x is not None and s <= x - 1 < e)
     a = r.select("k", F.col("s").alias("a_start"), F.col("e").alias("a_end"), F.col("r").alias("a"))
     b = r.select("k", F.col("s").alias("b_start"), F.col("e").alias("b_end"), F.col("r").alias("b"))
-    assert rows(intervals.overlapping(a, b, "k", 40).select("a", "b")) == sorted((i, j) for _, s, e, i in rng_ for _, t, f, j in rng_ if s < f and t < e)
+    want = sorted((i, j) for k, s, e, i in ok for q, t, f, j in ok if k == q and s < e and t < f and s < f and t < e)
+    assert rows(intervals.overlapping(a, b, "k", width).select("a", "b")) == want
+
+
+def test_a_long_range_has_few_bins(spark):
+    df = spark.range(1).select(F.size(intervals._nodes(F.lit(3), F.lit(250_000_000), 100)).alias("n"), F.size(intervals._nodes(F.lit(3), F.lit(3), 100)).alias("one"))
+    n, one_ = df.first()
+    assert one_ == 1 and n < 14 * 8
+
+
+def test_reads_over_loci(spark):
+    reads = [("a", 0, "c", 100, "10M"), ("b", 16, "c", 100, "5S5M100N5M3I"), ("d", 4, "c", 105, "10M"), ("e", 0, "c", 109, "*"), ("f", 0, "*", 0, "10M"), ("g", 0, "d", 100, "3=2X1D4H"), ("h", 0, "c", 1, "98M1P"), ("i", 0, "c", 1, "99M")]
+    loci = [("c", 98, 99, "first"), ("c", 105, 110, "mid"), ("c", 208, 300, "far"), ("d", 104, 105, "d"), ("d", 105, 106, "beyond")]
+    r = spark.createDataFrame(reads, "qname string, flag int, rname string, pos long, cigar string")
+    got = intervals.reads_over_loci(r, spark.createDataFrame(loci, "contig string, start long, end long, locus string"))
+    assert rows(got.select("locus", "qname")) == [("d", "g"), ("far", "b"), ("first", "i"), ("mid", "a"), ("mid", "b"), ("mid", "e")]
 
 
 def test_bins_and_contigs(spark):
@@ -199,27 +216,43 @@ def test_authorised_state_fails_on_two(spark):
         evidence.authorised_state(e.union(spark.createDataFrame([("a", "y")], "s string, state string")), "s", "state").collect()
 
 
-def test_normalised_variants_against_a_loop(spark):
-    rng = random.Random(6)
-    data, want = [], []
-    for k in range(150):
-        window = "".join(rng.choice("AC") for _ in range(rng.randint(3, 30)))
-        n = rng.randint(1, min(4, len(window)))
-        ref = window[-n:]
-        alt = "".join(rng.choice("AC") for _ in range(rng.randint(1, 4)))
-        if ref == alt:
-            continue
-        pos = 1000 + len(window) - n
-        data.append((k, pos, ref, alt, window))
-        r, a, left = ref, alt, len(window) - n
-        while r[-1:] == a[-1:] and (min(len(r), len(a)) > 1 or left > 0):
+def aligned_by_steps(ref, pos, r, a):
+    """One base at a time: the published procedure; at a contig's start the base after the variant is the anchor."""
+    r, a = r.upper(), a.upper()
+    while r[-1:] == a[-1:] and r != a:
+        if min(len(r), len(a)) > 1:
             r, a = r[:-1], a[:-1]
-            if not r or not a:
-                left -= 1
-                r, a = window[left] + r, window[left] + a
-        while len(r) > 1 and len(a) > 1 and r[0] == a[0]:
-            r, a, left = r[1:], a[1:], left + 1
-        want.append((k, 1000 + left, r, a))
-    df = spark.createDataFrame(data, "k int, pos long, ref string, alt string, window string")
-    assert rows(genomics.normalised(df).select("k", "pos", "ref", "alt")) == sorted(want)
-    assert genomics.normalised(spark.createDataFrame([(1, 5, "G", "A", "AAC")], "k int, pos long, ref string, alt string, window string")).count() == 0
+        elif pos > 1:
+            pos -= 1
+            r, a = ref[pos - 1] + r[:-1], ref[pos - 1] + a[:-1]
+        else:
+            break
+    while len(r) > 1 and len(a) > 1 and r[0] == a[0]:
+        r, a, pos = r[1:], a[1:], pos + 1
+    return pos, r, a
+
+
+@pytest.mark.parametrize("width", [60, 1000])
+def test_left_aligned_against_single_steps(spark, width):
+    rng = random.Random(6)
+    refs = {"c": "".join(rng.choice("AC") for _ in range(60)), "run": "G" + "A" * 700 + "CACACA" * 60 + "T", "edge": "AAAAAAAAAAAACAC"}
+    data = []
+    for k in range(400):
+        c = rng.choice(list(refs))
+        n = rng.randint(1, 4)
+        pos = rng.randint(1, len(refs[c]) - n + 1)
+        ref = refs[c][pos - 1 : pos - 1 + n]
+        alt = rng.choice([ref[:1], ref + ref[-1] * rng.randint(1, 3), "".join(rng.choice("AC") for _ in range(rng.randint(1, 4))), (ref + "CA").lower()])
+        if ref != alt.upper():
+            data.append((k, c, pos, ref, alt))
+    data += [(900, "run", 2, refs["run"][1:651], "A"), (901, "run", 700, "AA", "A"), (902, "run", 1061, "A", "ACA"), (903, "edge", 12, "A", "AAA"), (904, "c", 1, "G", "A"), (905, "c", 59, refs["c"][58:] + "A", "A"), (906, "none", 1, "A", "T")]
+    chunks = [(c, i // width, s[i : i + width]) for c, s in refs.items() for i in range(0, len(s), width)]
+    df = spark.createDataFrame(data, "k int, contig string, pos long, ref string, alt string")
+    ch = spark.createDataFrame(chunks, "contig string, chunk long, seq string")
+    want = sorted((k, c, *aligned_by_steps(refs[c], pos, r, a)) for k, c, pos, r, a in data if k not in (904, 905, 906))
+    assert (901, "run", 1, "GA", "G") in want
+    got = rows(genomics.left_aligned(df, ch, width).select("k", "contig", "pos", "ref", "alt"))
+    assert got == want
+    with pytest.raises(RuntimeError, match="3 variants"):
+        genomics.left_aligned(df, ch, width, most_mismatches=2)
+
