@@ -1,8 +1,9 @@
 """Operator 2: secret scan with a recursive decoding worklist.
 
-Three base patterns run over the whole text. Then a worklist unwraps layers: percent escapes and Unicode escapes (the
-layer with all of them decoded), base64 runs, also over
-line ends and from each of the four signs that a run glued to a word can begin with, UTF-16 and UTF-32 read as bytes, and
+Three base patterns run over the whole text. Then a worklist unwraps layers: percent escapes and Unicode escapes (\\u, \\x, \\U, octal,
+%u, character references by number or name; the layer with all of them decoded), base64 runs, also over
+line ends and from each of the four signs that a run glued to a word can begin with, UTF-16 and UTF-32 read as bytes (where zeros stand
+at every second or fourth place), and
 compressed bytes (gzip, zlib, bzip2, xz, zstd; all members) wherever they begin inside any of them. Bytes are on the same
 worklist as texts, so layers of compression without a text between them are unwrapped too. Each new layer is scanned and
 unwrapped in turn until nothing new comes; a layer whose content was seen before is not entered again, which ends cycles. Each
@@ -10,8 +11,8 @@ character of a layer carries the place in the document that it came from, so a f
 document that encodes it. Rows never leave their partition.
 
 A compressed layer is never held whole: what is more than BLOCK bytes is unpacked and scanned block by block, with OVERLAP bytes
-in common and no block ending inside a run of encoded signs of under RUN_BLOCK bytes, and a member inside it is unpacked by
-unpacking the layer again up to there. No size is left out, so the time follows the size unpacked.
+in common. A block ends where no run of encoded signs goes on, and what stands behind that place is carried over, up to RUN_BLOCK bytes;
+a member inside it is unpacked by unpacking the layer again up to there. No size is left out, so the time follows the size unpacked.
 
 Defined cases: null text is empty; an empty text has no spans; one row out for each row in; other columns are ignored; bytes that
 are no UTF-8 count as signs that no pattern takes; base64 runs under 16 signs are not tried; damaged members give what comes
@@ -28,6 +29,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Iterator
+from html.entities import html5
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +43,20 @@ PART = 1 << 20
 BLOCK = 4 << 20  # bytes of an unpacked layer that are scanned at once
 OVERLAP = 1 << 16
 RUN_BLOCK = 64 << 20  # the same where one run without other signs goes on and on
-NO_RUN = re.compile(rb"[^A-Za-z0-9+/_=%\\&#;{}\s-]")
+#: By byte: whether it ends a run of encoded signs, a stretch with percent escapes, a stretch with other escapes.
+ENDS_RUN = np.array([re.match(rb"[^A-Za-z0-9+/_=%\\&#;{}\s-]", bytes([c])) is not None for c in range(256)])
+ENDS_PERCENT = np.array([not 0x21 <= c <= 0x7E for c in range(256)])
+ENDS_ESCAPED = np.array([not 0x20 <= c <= 0x7E or c in (0x22, 0x27) for c in range(256)])
 NO_SIGNS = np.frombuffer(b"= \t\r\n", np.uint8)
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPES = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
-ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|%u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\([0-3][0-7]{2})|&([A-Za-z]{2,8});")
+ESCAPES = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|%u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\[0-3][0-7]{2}|&[A-Za-z]{2,8};)+")
+NAMED = {name[:-1]: ord(sign) for name, sign in html5.items() if name.endswith(";") and len(sign) == 1}
+WIDE = re.compile(r"(?:[^\0]\0\0\0){8,}|(?:\0\0\0[^\0]){8,}|(?:[^\0]\0){8,}|(?:\0[^\0]){8,}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4,}[ \t]*\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
 PERCENT_BYTES = re.compile(r"%([0-9A-Fa-f]{2})|[!-~]")
@@ -202,17 +209,25 @@ def _percent_bytes(run: str) -> bytes:
     return b"".join([bytes([int(m[1], 16)]) if m[1] else m[0].encode() for m in PERCENT_BYTES.finditer(run)])
 
 
+def _code(m: re.Match) -> int | None:
+    """The code point that an escape stands for; None if its name is unknown."""
+    if m[9]:
+        return NAMED.get(m[9])
+    return int(m[4]) if m[4] else int(m[8], 8) if m[8] else int(m[1] or m[2] or m[3] or m[5] or m[6] or m[7], 16)
+
+
 def _escaped_bytes(run: str) -> bytes:
     """The bytes of escapes and of the signs between them; empty if one stands for more than a byte."""
     out = []
     for m in ESCAPED_BYTES.finditer(run):
-        if m[6]:
-            code = SHORT[m[6]]
-        elif m[7]:
-            code = ord(m[7])
+        if m[10]:
+            out.append(SHORT[m[10]])
+        elif m[11]:
+            out.append(ord(m[11]))
+        elif (code := _code(m)) is None:
+            out += m[0].encode()
         else:
-            code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3] or m[5], 16)
-        out.append(code)
+            out.append(code)
     return bytes(out) if all(c < 256 for c in out) else b""
 
 
@@ -262,8 +277,10 @@ def _percent(m: re.Match):
 def _escaped(m: re.Match):
     units = []
     for x in ESCAPE.finditer(m[0]):
-        code = int(x[4]) if x[4] else int(x[1] or x[2] or x[3] or x[5], 16)
-        a, b = m.start() + x.start(), m.start() + x.end()
+        code, a, b = _code(x), m.start() + x.start(), m.start() + x.end()
+        if code is None:
+            units += [(ord(c), a + i, a + i + 1) for i, c in enumerate(x[0])]
+            continue
         if units and 0xD800 <= units[-1][0] < 0xDC00 <= code < 0xE000:  # a surrogate pair
             high = units.pop()
             units.append((0x10000 + ((high[0] - 0xD800) << 10) + code - 0xDC00, high[1], b))
@@ -273,6 +290,30 @@ def _escaped(m: re.Match):
     return pieces, bytes(c for c, _, _ in units) if all(c < 256 for c, _, _ in units) else b""
 
 
+def _cut(data: bytes) -> int:
+    """The last place at which no run of encoded signs goes on: after a sign that is in none, and outside of stretches of printable signs
+    with a percent escape, or of those and blanks with another one. 0 if there is no such place."""
+    codes = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(ENDS_RUN[codes])
+    breaks = [np.flatnonzero(ENDS_PERCENT[codes]), np.flatnonzero(ENDS_ESCAPED[codes])]
+    below = len(data)
+    while (k := int(np.searchsorted(ends, below))) > 0:
+        at = int(ends[k - 1])
+        for places, marks in zip(breaks, ((b"%",), (b"\\", b"&#"))):
+            i = int(np.searchsorted(places, at, "right"))
+            if i and places[i - 1] == at:
+                continue  # the sign itself ends the stretch
+            low, high = int(places[i - 1]) + 1 if i else 0, int(places[i]) if i < len(places) else len(data)
+            if any(data.find(mark, low, high) >= 0 for mark in marks):
+                below = low
+                break
+        else:
+            return at + 1
+        if not below:
+            return 0
+    return 0
+
+
 class _Worklist:
     """The layers of one document that wait to be scanned and unwrapped, and what was found."""
 
@@ -305,7 +346,7 @@ class _Worklist:
         if "%" in body:
             made, raw = _rewritten(layer, PERCENT, _percent)
             more += [made] if made else []
-        if "\\" in body or "&#" in body:
+        if "\\" in body or "&" in body or "%u" in body:
             made, also = _rewritten(layer, ESCAPES, _escaped)
             more += [made] if made else []
             raw += also
@@ -319,9 +360,10 @@ class _Worklist:
         if "\n" in body:
             for m in LINES.finditer(body):
                 _base64(layer, m.start(), m[0], more, raw)
-        if "\0" in body:  # UTF-16 and UTF-32, read as bytes
-            at = np.flatnonzero(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), np.uint32))
-            more.append(layer.made(body.replace("\0", ""), at, at + 1))
+        if "\0" in body:
+            for m in WIDE.finditer(body):
+                at = m.start() + np.flatnonzero(np.frombuffer(m[0].encode("utf-32-le", "surrogatepass"), np.uint32))
+                more.append(layer.made(m[0].replace("\0", ""), at, at + 1))
         self.add(more)
         for data, a, b in raw:
             self.raw += self._members(data, 0, data, a, b)
@@ -336,16 +378,22 @@ class _Worklist:
         """Scans what is unpacked, at most a block at a time; any find in it is the same span of the document."""
         if all((a, k, b) in self.found for k in range(len(KINDS))):
             return  # nothing can be added to this span
-        digest, held, size, begin, large, later = hashlib.md5(), [], 0, 0, False, []
+        digest, held, size, begin, large, later, look = hashlib.md5(), [], 0, 0, False, [], BLOCK
         parts = iter(packed)
         while True:
             part = next(parts, b"")
             digest.update(part)
             held.append(part)
             size += len(part)
-            if part and (size < BLOCK or (size < RUN_BLOCK and not NO_RUN.search(part))):
+            if part and size < look:
                 continue
-            data = b"".join(held)
+            data, end = b"".join(held), size
+            if part:
+                end = _cut(data)
+                if not end and size < RUN_BLOCK:
+                    held, look = [data], min(2 * size, RUN_BLOCK)
+                    continue
+                end = end or size
             large |= bool(part)
             if not large:
                 mark = (digest.digest(), a, b)
@@ -357,13 +405,15 @@ class _Worklist:
                 return
             block = _Worklist(self.found)  # a large layer is done block by block
             block.seen = self.seen
-            block.add([_Layer(data.decode(errors="replace"), fixed=(a, b))])
+            block.add([_Layer(data[:end].decode(errors="replace"), fixed=(a, b))])
             block.drain()
-            later += self._members(packed, begin, data, a, b)
+            later += self._members(packed, begin, data[:end], a, b)
             if not part:
                 break
-            held = [data[-OVERLAP:]]
-            begin, size = begin + len(data) - OVERLAP, OVERLAP
+            keep = max(0, end - OVERLAP)
+            held, begin = [data[keep:]], begin + keep
+            size = len(held[0])
+            look = size - (end - keep) + BLOCK
         mark = (digest.digest(), a, b)
         if mark not in self.seen:
             self.seen.add(mark)

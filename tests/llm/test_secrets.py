@@ -160,3 +160,54 @@ def test_layers_to_the_fixpoint():
     assert has("u=" + quote(gzip.compress(plain), safe=""))
     assert has("b'" + repr(gzip.compress(plain))[2:-1].replace("'", "\\x27").replace('"', "\\x22") + "'")
     assert has(base64.b64encode(gzip.compress(b"nothing") + gzip.compress(plain)).decode())
+
+
+def test_runs_that_cross_the_end_of_a_block():
+    """Layers of more than a block with a long encoded run at its end, with the real sizes."""
+    plain, rng = f", secret={HEX}zz, ".encode(), random.Random(5)
+    letters = bytes(rng.choices(b"abcdefghij klmnop,", k=220_000))
+    inner = gzip.compress(letters + plain)
+    wraps = [base64.b64encode(inner), quote(inner, safe="").encode(), "".join(f"\\x{c:02x}" for c in inner).encode(), base64.encodebytes(inner)]
+    for wrapped in wraps:
+        for before in (1_000, 66_000):
+            filler = b"hello, world " * ((secrets.BLOCK - before) // 13)
+            text = base64.b64encode(gzip.compress(filler + b", " + wrapped + b", " + filler[:500_000])).decode()
+            assert (0, 0, len(text)) in {(k, s, e) for s, k, e in secrets.all_spans(text)[1]}, (wrapped[:10], before)
+
+
+def test_a_run_beyond_all_blocks(monkeypatch):
+    for name, size in (("BLOCK", 40_000), ("PART", 9_000), ("OVERLAP", 500), ("RUN_BLOCK", 1_000_000)):
+        monkeypatch.setattr(secrets, name, size)
+    inner = base64.b64encode(gzip.compress(random.Random(2).randbytes(300_000) + f" secret={HEX}zz ".encode()))
+    text = base64.b64encode(zlib.compress(b"a, " * 20_000 + inner + b", b" * 20_000)).decode()
+    assert any(k == 0 for _, k, _ in secrets.all_spans(text)[1])
+
+
+def test_clean_layers_have_no_spans():
+    rng = random.Random(9)
+    for n, body in enumerate((b"hello, world ... " * 300_000, " ".join(rng.choices(["ab", "cde", "f0", "0a"], k=30_000)).encode(), bytes(x for i in range(10_000) for x in (i * 7 % 10 + 48, 0, 0, i % 200 + 32)))):
+        for pack in (gzip.compress, *([bz2.compress, lzma.compress, zstandard.compress, bytes] if n else [])):
+            assert secrets.all_spans("x " + base64.b64encode(pack(body)).decode() + " y")[1] == [], (body[:9], pack)
+
+
+def test_wide_text_and_more_escapes():
+    plain = f"secret={HEX}zz"
+
+    def found(text):
+        return {text[s:e] for s, k, e in secrets.all_spans(text)[1] if k == 0}
+
+    for code in ("utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"):
+        assert found("see " + base64.b64encode(f" {plain} ".encode(code)).decode() + ", end"), code
+    for escaped in ("".join(f"%u{ord(c):04X}" for c in plain), "".join(f"\\U{ord(c):08x}" for c in plain), "".join(f"\\{ord(c):03o}" for c in plain)):
+        assert escaped in found(f"x {escaped} y")
+    assert found(f"password&equals;&quot;{HEX}&quot;") == {f"password&equals;&quot;{HEX}"}
+    assert secrets.all_spans("AT&T; fish &chips; \\9 %uZZ &nosuch;")[1] == []
+    assert found("x " + "".join(f"\\{c:03o}" for c in gzip.compress(plain.encode())) + " y")
+
+
+def test_cuts():
+    assert secrets._cut(b"abc, def") == 4
+    assert secrets._cut(b"abcdef") == 0 and secrets._cut(b"") == 0
+    assert secrets._cut(b"one. two%41.%42~three") == 4  # not within the stretch with escapes
+    assert secrets._cut(b'x. "a \\x41, b" c. d%') == 17
+    assert secrets._cut(b'"a. \\x41, b') == 1
