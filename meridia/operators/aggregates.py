@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import finite
+from . import relational
 
 
 def first_seen_groups(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -18,17 +21,38 @@ def pivot_last(df: DataFrame, key: str, name: str, value: str, order: str, names
     return df.groupBy(key).pivot(name, names).agg(F.max_by(value, order))
 
 
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(keys, one column a share): exact quantiles by linear interpolation of finite values, of many groups at once.
+
+    No task holds a group's values: equal ones are counted first, the counts of all groups are sorted by range, and a running sum over
+    partitions says which rows hold the wanted places. A group of any size, or a value of any frequency, is spread like the rest.
+    Groups without finite values have no row.
+    """
+    counts = df.select(*keys, finite(value).cast("double").alias("_v")).filter("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    rows = relational.ordered_parts(counts, [*map(F.col, keys), F.col("_v")])
+    own = F.sum("_n").over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_own", own).join(F.broadcast(relational.before_parts(rows, F.col("_n"))), "_part")
+    rows = rows.select(*keys, "_v", (F.col("_before") + F.col("_own") - F.col("_n")).alias("_from"), (F.col("_before") + F.col("_own")).alias("_to"))
+    totals = rows.groupBy(*keys).agg(F.min("_from").alias("_first"), F.max("_to").alias("_last"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys] or [F.lit(True)]
+    placed = rows.alias("r").join(totals.alias("t"), same)
+    place = lambda q: (F.col("_last") - F.col("_first") - 1) * F.lit(float(q))
+    at = lambda n: (F.col("_from") <= F.col("_first") + n) & (F.col("_first") + n < F.col("_to"))
+    ends = [(f"_{name}_{i}", at(end(place(q)).cast("long"))) for name, q in shares.items() for i, end in enumerate((F.floor, F.ceil))]
+    hits = placed.filter(reduce(lambda a, b: a | b, [hit for _, hit in ends]))
+    found = hits.groupBy(*[F.col(f"r.{k}").alias(k) for k in keys], "_first", "_last").agg(*[F.max(F.when(hit, F.col("_v"))).alias(name) for name, hit in ends])
+    between = lambda name, q: F.col(f"_{name}_0") + (F.col(f"_{name}_1") - F.col(f"_{name}_0")) * (place(q) - F.floor(place(q)))
+    return found.select(*keys, *[between(name, q).alias(name) for name, q in shares.items()])
+
+
 def describe_numbers(df: DataFrame, keys: list[str], value: str, places: int = 4) -> DataFrame:
     """n, mean, sd (null below two), median and quartiles by linear interpolation, of finite values only."""
     v = finite(value)
-    return df.groupBy(*keys).agg(
-        F.count(v).alias("n"),
-        F.round(F.avg(v), places).alias("mean"),
-        F.round(F.stddev_samp(v), places).alias("sd"),
-        F.round(F.percentile(v, 0.25), places).alias("q1"),
-        F.round(F.median(v), places).alias("median"),
-        F.round(F.percentile(v, 0.75), places).alias("q3"),
-    )
+    sums = df.groupBy(*keys).agg(F.count(v).alias("n"), F.round(F.avg(v), places).alias("mean"), F.round(F.stddev_samp(v), places).alias("sd"))
+    marks = quantiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys] or [F.lit(True)]
+    joined = sums.alias("s").join(marks.alias("m"), same, "left")
+    return joined.select(*[f"s.{k}" for k in keys], "n", "mean", "sd", *[F.round(c, places).alias(c) for c in ("q1", "median", "q3")])
 
 
 def z_scores(df: DataFrame, group: str, value: str, least: int = 1) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import log2_ratio
 from ..functions.rules import coverage_class, discordant, plain_snv, supplementary
 from ..functions.text import pyrimidine_context
+from .aggregates import quantiles
 
 
 def sbs96_contexts(spark: SparkSession) -> DataFrame:
@@ -123,7 +124,9 @@ def coverage_bins(depths: DataFrame) -> DataFrame:
 def coverage_summary(binned: DataFrame) -> DataFrame:
     """One row: bins, median ratio, gains and losses."""
     is_ = lambda c: F.count_if(F.col("coverage_class") == c)
-    return binned.agg(F.count("*").alias("bins"), F.round(F.median("log2_ratio"), 4).alias("median_log2"), is_("relative_gain").alias("gains"), is_("relative_loss").alias("losses"))
+    counts = binned.agg(F.count("*").alias("bins"), is_("relative_gain").alias("gains"), is_("relative_loss").alias("losses"))
+    median = quantiles(binned, [], "log2_ratio", {"median_log2": 0.5})
+    return counts.join(median, how="left").select("bins", F.round("median_log2", 4).alias("median_log2"), "gains", "losses")
 
 
 def depth_summary(depths: DataFrame, tumor: str, normal: str, least: int = 10) -> DataFrame:

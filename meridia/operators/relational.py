@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 20_000
-
-
 def last_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row a key: the last by order, as a dict build leaves it. A partial aggregation, not a window."""
     rest = [c for c in df.columns if c not in keys]
@@ -103,20 +100,6 @@ def join_members(left: DataFrame, right: DataFrame, left_list: str, right_key: s
     return out.join(right, out["_m"] == right[right_key]).drop("_m")
 
 
-def join_scored(left: DataFrame, terms: DataFrame, score: Column, least: float) -> DataFrame:
-    """Left rows with the terms that score enough against them.
-
-    No equality decides here, so the terms are sent to all tasks; their number is checked first, and more of them are
-    taken in slices of a bounded size, one after another.
-    """
-    n = terms.count()
-    if n <= SMALL_ROWS:
-        return left.join(F.broadcast(terms), score >= least).withColumn("score", score)
-    slices = -(-n // SMALL_ROWS) * 2
-    parts = [terms.filter(F.pmod(F.xxhash64(*terms.columns), F.lit(slices)) == i) for i in range(slices)]
-    return reduce(DataFrame.unionByName, [left.join(F.broadcast(p), score >= least).withColumn("score", score) for p in parts])
-
-
 def merged_by_priority(sides: list[DataFrame], keys: list[str]) -> DataFrame:
     """The union of tables of one schema; of rows with one key, that of the latest table stays."""
     tagged = reduce(DataFrame.unionByName, [d.withColumn("_p", F.lit(i)) for i, d in enumerate(sides)])
@@ -140,13 +123,21 @@ def in_order(df: DataFrame, order: list[Column], bucket: Column, name: str = "or
     return ranked.join(before, "_b").withColumn(name, F.col("_before") + F.col("_r")).drop("_b", "_r", "_before")
 
 
-def numbered(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
-    """Each row's place from 1 on in a total order. Rows are sorted by range over all partitions and written to the shared folder with their
-    place in a partition; the sizes of the partitions, of which there are few, are summed up. No window holds rows, whatever the order's values."""
+def ordered_parts(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df sorted by range over all partitions and written to the shared folder, with `_part` and `_at`: a row's partition and place in it."""
     from ..sources.tables import checkpointed
 
     rows = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
-    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
-    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+    return rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
+
+
+def before_parts(rows: DataFrame, weight: Column) -> DataFrame:
+    """(_part, _before): what all rows in earlier partitions weigh. A row a partition, of which there are a few thousand."""
+    sums = rows.groupBy("_part").agg(F.sum(weight).alias("_n"))
+    return sums.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
+    """Each row's place from 1 on in a total order. No window holds rows, whatever the order's values."""
+    rows = ordered_parts(df, order)
+    return rows.join(F.broadcast(before_parts(rows, F.lit(1))), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

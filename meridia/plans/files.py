@@ -242,16 +242,18 @@ def x15_canonical_digest(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", js.canonical_sha256({"user_id": "user_id", "event_type": "event_type"}).alias("digest"))
 
 
-@query("""
-WITH t AS (SELECT trim(regexp_replace(lower(a.p_name), '[^a-z0-9]+', ' ', 'g')) AS a, trim(regexp_replace(lower(b.p_name), '[^a-z0-9]+', ' ', 'g')) AS b FROM (SELECT DISTINCT p_name FROM part) a, (SELECT DISTINCT p_name FROM part) b)
-SELECT a, b, CASE WHEN contains(a, b) THEN 1.0 ELSE 0.56 END::DOUBLE AS score FROM t WHERE contains(a, b)""")
+@query(r"""
+WITH w AS (SELECT DISTINCT p_name, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS t, list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: len(x) > 2 AND x NOT IN ('and', 'are', 'for', 'from', 'into', 'not', 'other', 'the', 'with', 'without'))) AS k FROM part),
+s AS (SELECT a.p_name AS a, b.p_name AS b, a.t AS ta, b.t AS tb, len(list_intersect(a.k, b.k)) AS n, greatest(len(a.k), 1) AS na, greatest(len(b.k), 1) AS nb FROM w a, w b),
+x AS (SELECT a, b, CASE WHEN contains(ta, tb) THEN 1.0 WHEN n = 0 THEN 0 ELSE least(1.0, n / nb * 0.6 + n / na * 0.4 + CASE WHEN n >= 2 THEN 0.1 ELSE 0 END) END::DOUBLE AS score FROM s)
+SELECT a, b, round(score, 4) AS score FROM x WHERE score >= 0.58""")
 def f20_lexical_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Names that hold other names, by the lexical score."""
-    from ..operators.relational import join_scored
+    """Names joined to names by the lexical score at its usual threshold: contained ones, and those that share rare words."""
+    from ..operators.textjoin import scored
 
     names = table(spark, sf, "part").select("p_name").distinct()
-    a, b = names.select(text.words_only("p_name").alias("a")), names.select(text.words_only("p_name").alias("b"))
-    return join_scored(a, b, text.lexical_score("a", "b"), 1.0).select("a", "b", "score")
+    a, b = names.select(F.col("p_name").alias("a")), names.select(F.col("p_name").alias("b"))
+    return scored(a, b, "a", "b", 0.58).select("a", "b", F.round("score", 4).alias("score"))
 
 
 @query("""

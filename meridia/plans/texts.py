@@ -81,13 +81,15 @@ s AS (SELECT conv_id, turn, item_id, count(*) AS k FROM b JOIN c USING (t) GROUP
 SELECT conv_id, turn, item_id, round(0.6 * k / nb + 0.4 * k / nc + CASE WHEN k >= 2 THEN 0.1 ELSE 0 END, 4) AS score FROM s JOIN n USING (item_id) JOIN m USING (conv_id, turn)
 WHERE k >= 2 AND 0.6 * k / nb + 0.4 * k / nc + CASE WHEN k >= 2 THEN 0.1 ELSE 0 END >= 0.2""")
 def j25_lexical_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts joined to terms by the overlap of their words (F20, J25): an equi join on words, counts summed by pair."""
-    words = lambda name, *keys: table(spark, sf, name).select(*keys, F.explode(text.tokens(F.coalesce("text", F.lit("")))).alias("t"))
-    b, c = words("benchmark", "item_id"), words("conversations", "conv_id", "turn")
-    nb, nc = b.groupBy("item_id").agg(F.count("*").alias("nb")), c.groupBy("conv_id", "turn").agg(F.count("*").alias("nc"))
-    both = b.join(c, "t").groupBy("conv_id", "turn", "item_id").agg(F.count("*").alias("both")).filter("both >= 2")
-    score = F.col("both") * 0.6 / F.col("nb") + F.col("both") * 0.4 / F.col("nc") + F.when(F.col("both") >= 2, 0.1).otherwise(0.0)
-    return both.join(nb, "item_id").join(nc, ["conv_id", "turn"]).filter(score >= 0.2).select("conv_id", "turn", "item_id", F.round(score, 4).alias("score"))
+    """Texts joined to terms by the overlap of their words: candidates by each term's rarest words, then whole texts."""
+    from ..operators.textjoin import sharing
+
+    of = lambda name, k, *keys: table(spark, sf, name).select(F.struct(*keys).alias(k), text.tokens(F.coalesce("text", F.lit(""))).alias("tokens")).filter(F.size("tokens") > 0)
+    b, c = of("benchmark", "_r", "item_id"), of("conversations", "_l", "conv_id", "turn")
+    pairs = sharing(c, b, 0.2, 2).join(c, "_l").join(b.withColumnRenamed("tokens", "term"), "_r")
+    both = F.size(F.array_intersect("tokens", "term"))
+    score = both * 0.6 / F.size("term") + both * 0.4 / F.size("tokens") + F.when(both >= 2, 0.1).otherwise(0.0)
+    return pairs.filter((both >= 2) & (score >= 0.2)).select("_l.conv_id", "_l.turn", "_r.item_id", F.round(score, 4).alias("score"))
 
 
 @query("""
@@ -95,14 +97,11 @@ WITH q AS (SELECT item_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', '
 d AS (SELECT item_id AS doc, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS t FROM benchmark)
 SELECT q.item_id, d.doc FROM q JOIN d ON list_bool_and(list_transform(list_filter(string_split(q.q, ' '), lambda x: x <> ''), lambda x: contains(d.t, x)))""")
 def p18_all_words_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts that hold every word of a query (P16-P18): the queries' number is checked before they are sent out."""
-    from ..operators.relational import join_scored
+    """Texts that hold every word of a query, also within words, by the query's rarest word."""
+    from ..operators.textjoin import holding_all_words
 
     b = table(spark, sf, "benchmark")
-    queries = b.select("item_id", F.col("text").alias("q"))
-    docs = b.select(F.col("item_id").alias("doc"), "text")
-    hit = text.all_words_in("text", "q").cast("int")
-    return join_scored(docs, queries, hit, 1).select("item_id", "doc")
+    return holding_all_words(b.select(F.col("item_id").alias("doc"), "text"), b.select("item_id", F.col("text").alias("q")), "text", "q").select("item_id", "doc")
 
 
 @query("""

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from meridia.operators import aggregates, evidence, genomics, intervals, quality, relational, windows
+from meridia.operators import aggregates, evidence, genomics, intervals, quality, relational, textjoin, windows
 from meridia.sources import sinks
 from meridia.streaming import progress
 
@@ -35,12 +36,72 @@ def test_overlap_classes(spark):
     assert tuple(relational.recall_precision(got).first()) == (1, 1, 1, 1, 0.5, 0.5)
 
 
-def test_join_scored_in_slices(spark, monkeypatch):
-    monkeypatch.setattr(relational, "SMALL_ROWS", 2)
-    a = spark.createDataFrame([(i,) for i in range(5)], "a int")
-    b = spark.createDataFrame([(i,) for i in range(5)], "b int")
-    got = relational.join_scored(a, b, (F.col("a") == F.col("b")).cast("int"), 1)
-    assert rows(got.select("a", "b")) == [(i, i) for i in range(5)]
+def test_quantiles_against_numpy(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "b", None]), rng.choice([1.0, 2.0, rng.random() * 100, -0.0])) for _ in range(500)] + [("hot", 7.0)] * 400 + [("hot", 8.0)] + [("one", 3.5), ("none", None), ("none", float("nan")), ("none", float("inf")), ("a", None), ("a", float("nan"))]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    shares = {"low": 0.0, "q1": 0.25, "median": 0.5, "p90": 0.9, "high": 1.0}
+    want = {}
+    for k in {k for k, _ in data}:
+        v = [x for q, x in data if q == k and x is not None and np.isfinite(x)]
+        if v:
+            want[k] = [round(float(x), 9) for x in np.quantile(v, list(shares.values()))]
+    got = {r["k"]: [round(x, 9) for x in tuple(r)[1:]] for r in aggregates.quantiles(df, ["k"], "v", shares).collect()}
+    assert got == want
+    whole = aggregates.quantiles(df, [], "v", {"m": 0.37}).first()
+    assert whole["m"] == pytest.approx(np.quantile([x for _, x in data if x is not None and np.isfinite(x)], 0.37))
+    assert aggregates.quantiles(df.limit(0), ["k"], "v", shares).count() == 0
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gamma", "alphabet", "bet", "be", "a", "the", "cat", "catalog", "log", "x9", "zeta"]
+    docs = [(i, " ".join(rng.choices(words, range(13, 0, -1), k=rng.randint(0, 30))) + rng.choice(["", "!", "\t;"])) for i in range(120)] + [(900, None), (901, ""), (902, "--"), (903, "Alpha-BETA gamma")]
+    terms = [(i, rng.choice(["", "-"]).join([" ".join(rng.choices(words, k=rng.randint(1, 4)))])) for i in range(60)] + [(900, None), (901, ""), (902, "ta gam"), (903, "h"), (904, "lph"), (905, "alpha beta gamma"), (906, "a b"), (907, "a beta gam"), (908, "nowhere")]
+    return docs, terms
+
+
+def plain_words(t):
+    return re.sub("[^a-z0-9]+", " ", t.lower()).strip()
+
+
+def told(t):
+    return list(dict.fromkeys(w for w in re.findall("[a-z0-9]+", t.lower()) if len(w) > 2 and w != "the"))
+
+
+def lexical(a, b):
+    x, y, ta, tb = plain_words(a), plain_words(b), told(a), told(b)
+    both = len(set(ta) & set(tb))
+    if not x or not y:
+        return 0.0
+    return 1.0 if y in x else 0.0 if not both else min(1.0, both / max(1, len(tb)) * 0.6 + both / max(1, len(ta)) * 0.4 + 0.1 * (both >= 2))
+
+
+def frames(spark, texts):
+    return spark.createDataFrame(texts[0], "d int, doc string"), spark.createDataFrame(texts[1], "t int, term string")
+
+
+@pytest.mark.parametrize("least", [0.05, 0.58, 0.8, 1.0])
+def test_scored_terms_are_those_of_all_pairs(spark, texts, least):
+    docs, terms = frames(spark, texts)
+    got = {(r.d, r.t): round(r.score, 9) for r in textjoin.scored(docs, terms, "doc", "term", least).collect()}
+    want = {(d, t): round(s, 9) for d, a in texts[0] for t, b in texts[1] if a is not None and b is not None and (s := lexical(a, b)) >= least}
+    assert got == want
+
+
+def test_words_and_strings_within_texts(spark, texts):
+    docs, terms = frames(spark, texts)
+    pairs = [(d, t, plain_words(a), plain_words(b)) for d, a in texts[0] for t, b in texts[1] if a is not None and b is not None]
+    got = textjoin.holding_all_words(docs, terms, "doc", "term").select("d", "t")
+    assert rows(got) == sorted((d, t) for d, t, a, b in pairs if all(w in a for w in b.split()))
+    got = textjoin.containing(docs, terms, "doc", "term").select("d", "t")
+    assert rows(got) == sorted((d, t) for d, t, a, b in pairs if b and b in a)
+    assert textjoin.containing(docs.limit(0), terms, "doc", "term").count() == 0 and textjoin.scored(docs, terms.limit(0), "doc", "term", 0.5).count() == 0
+    with pytest.raises(ValueError):
+        textjoin.scored(docs, terms, "doc", "term", 0)
 
 
 def test_places_in_a_total_order(spark):
