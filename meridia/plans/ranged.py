@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import intervals
-from ..sources import genomics, ranges
+from ..sources import genomics, packets, ranges
 from .files import _lines, _tabs
 from .formats import _place
 from .registry import query, table
@@ -84,3 +84,23 @@ def j11_reads_over_loci(spark: SparkSession, sf: str) -> DataFrame:
     start = F.col("s_suppkey") * 300
     loci = table(spark, sf, "supplier").select(F.lit("c").alias("contig"), "s_suppkey", start.alias("start"), (start + F.when(F.col("s_suppkey") % 10 == 0, 100_000).otherwise(50)).alias("end"))
     return intervals.reads_over_loci(reads, loci).groupBy("s_suppkey").agg(F.count("*").alias("reads"), F.min(F.split("qname", ":")[0].cast("long")).alias("first"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+def k07_installed_packet(spark: SparkSession, sf: str) -> DataFrame:
+    """A packet staged by tasks that hash what they write, installed with a check of every part before and after its copy, and read by its manifest."""
+    spark.dataSource.register(packets.PacketSink)
+    base = _place(spark, "packet")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    o.write.format("meridia_packet").mode("append").option("about", '{"run": "orders"}').save(f"{base}/staged")
+    packets.install(spark, f"{base}/staged", f"{base}/final")
+    return packets.installed(spark, f"{base}/final")
+
+
+@query("SELECT count(*) AS rows, 'ok' AS state, count(DISTINCT l_linenumber) > 0 AS listed FROM lineitem")
+def k18_evidence_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """What a packet's manifest says of its parts against the parts themselves."""
+    spark.dataSource.register(packets.PacketSink)
+    path = _place(spark, "evidence")
+    table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").write.format("meridia_packet").mode("append").save(path)
+    return packets.checked(spark, path).groupBy("state").agg(F.sum("rows").alias("rows"), (F.count("*") > 0).alias("listed")).select("rows", "state", "listed")
