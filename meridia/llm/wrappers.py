@@ -11,9 +11,12 @@ whatever the pages of a host hold.
 
 A wrapper says how much text each slot holds, how much of it is in links, and whether it was the same on all of three different
 pages or more (copies of a page count once). A page's main part is found by its own slots: of those that differ between pages and
-aren't mostly links, the deepest element with SHARE of the host's text. Slots in article or main elements weigh more. Never part of the text are slots in menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments, by element, role, class or id. Pages of several templates on one host
-so have their main parts each.
+aren't mostly links, the deepest element with SHARE of the page's weight. Slots in article or main elements weigh more. Elements and roles
+that hold no text (menus, footers, asides, forms, scripts and the like) and reader comments are never part of it. A class or an id that says no
+more than a word for such parts (`sidebar`, `cookie-notice`, but not `content-sidebar-wrap` or `share-price`) lowers the weight of what is
+in it: what is so named within the main part is left out, but a main part that stands in such an element is still one. All else of
+an article or main element is text. Of other main parts it is what differs between pages, lists of links included, with headings that recur
+before such text, and the title that stands before the part. Pages of several templates on one host so have their main parts each.
 
 Defined cases: null html is an empty page; a page without main text has empty text; a null or odd url belongs to the host ''
 or to what stands for one; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
@@ -43,7 +46,15 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NOT_TEXT = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments disqus respond replies share sharing social related recommended widget login signup skip".split()
 )
+COMMENTS = frozenset("comment comments disqus respond replies".split())
 HEADING = frozenset("header masthead".split())
+#: Words that say nothing of what an element holds.
+NEUTRAL = frozenset(
+    "site page main top bottom left right inner outer box block bar list item items area section wrap wrapper container holder slot unit link links button buttons post posts entry article text title global primary secondary first last my the js wp ui col row group panel form icon icons label message inline fixed sticky mini small large".split()
+)
+#: Elements that hold blocks of a text, but not a whole one.
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th figure figcaption caption details summary address center".split())
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 dt th caption legend".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
@@ -56,30 +67,44 @@ ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"
 WIDE, DEEP = 24, 60
 LEAST_PAGES = 3  # different pages with one text in a slot: it isn't theirs
 MAIN_WEIGHT, SHARE = 20, 0.85
+#: Factors of what is named as another part, and of lists of links; text weighs HEAVY at least, whatever its factors, lists of links less.
+NAMED_WEIGHT, LINKS_WEIGHT, HEAVY = 0.05, 1e-9, 0.03
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+def named(words: list[str], in_main: bool) -> str:
+    """What a class or an id of these words says: '!' for reader comments, '~' for a part that isn't text, else nothing."""
+    known = set(words)
+    rest = known - NOT_TEXT - HEADING - NEUTRAL
+    if rest:
+        return ""
+    if known & COMMENTS:
+        return "!"
+    return "~" if known & NOT_TEXT or (not in_main and known & HEADING) else ""
+
+
 def shape(tag: str, attrs: str, in_main: bool) -> str:
-    """An element's name in a wrapper: its tag, '!' if it holds no main text, and its first class."""
-    bad, first = tag in ASIDE and not (in_main and tag == "header"), ""
+    """An element's name in a wrapper: its tag, its first class, and '!' if it holds no main text or '~' if its name says so."""
+    mark, first = "!" if tag in ASIDE and not (in_main and tag == "header") else "", ""
     if attrs and not attrs.isspace():
         for m in ATTR.finditer(attrs):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "role":
-                bad |= value in ROLES
+                mark = "!" if value in ROLES else mark
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                bad = True
+                mark = "!"
             elif name in ("class", "id"):
-                words = set(re.split(r"[^a-z0-9]+", value))
-                bad |= bool(words & NOT_TEXT) or (not in_main and bool(words & HEADING))
+                # Within an article ids are places to link to.
+                says = {named([w for w in re.split(r"[^a-z0-9]+", x) if w], in_main) for x in value.split()}
+                mark = "!" if "!" in says else mark or ("~" if "~" in says and not (in_main and name == "id") else "")
                 if name == "class" and value.split():
-                    first = "." + NUMBERED.sub("#", value.split()[0]).replace("/", "_")
-    return tag + first + ("!" if bad and tag not in ("html", "body", "article", "main") else "")
+                    first = "." + NUMBERED.sub("#", value.split()[0]).replace("/", "_").rstrip("!~")
+    return tag + first + (mark if tag not in ("html", "body", "article", "main") else "")
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
     """(path of shapes, text, characters of it in links) of each block of text, in order."""
-    stack: list[tuple[str, str, int, int]] = []  # tag, shape, and how many of the elements so far are main or hold no main text
+    stack: list[tuple[str, str, int, int, int]] = []  # tag, shape, and how many of the elements so far are main, hold no main text, or are named so
     path: tuple[str, ...] = ()
     held: list[str] = []
     links = link_depth = open_p = 0
@@ -88,7 +113,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         if len(stack) <= DEEP:
             return tuple([x[1] for x in stack])
         top, above = stack[-1], stack[DEEP - 2]
-        return (*[x[1] for x in stack[: DEEP - 1]], ("article" if top[2] > above[2] else "div") + ".deep" + "!" * (top[3] > above[3]))
+        return (*[x[1] for x in stack[: DEEP - 1]], ("article" if top[2] > above[2] else "div") + ".deep" + ("!" if top[3] > above[3] else "~" if top[4] > above[4] else ""))
 
     def flush():
         nonlocal links
@@ -129,9 +154,9 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
                 k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == other), -1)
                 if k >= 0 and not any(x[0] in ("ul", "ol", "table", "dl") for x in stack[k:]):
                     pop_to(k)
-            mains, bad = stack[-1][2:] if stack else (0, 0)
+            mains, bad, said = stack[-1][2:] if stack else (0, 0, 0)
             name = shape(tag, m["attrs"] or "", mains > 0)
-            stack.append((tag, name, mains + (tag in MAIN), bad + name.endswith("!")))
+            stack.append((tag, name, mains + (tag in MAIN), bad + name.endswith("!"), said + name.endswith("~")))
             open_p += tag == "p"
             path = (*path, stack[-1][1]) if len(stack) <= DEEP else place()
         elif m["close"]:
@@ -198,7 +223,7 @@ def put(parts: list[list], node: list) -> None:
 
 def any_class(shape_: str) -> str:
     """The shape of elements of one name, whatever their class."""
-    return shape_ if shape_ == "#" else shape_.rstrip("!").split(".")[0] + ".*" + "!" * shape_.endswith("!")
+    return shape_ if shape_ == "#" else shape_.rstrip("!~").split(".")[0] + ".*" + (shape_[-1] if shape_[-1:] in ("!", "~") else "")
 
 
 def narrowed(parts: list[list]) -> list[list]:
@@ -272,9 +297,15 @@ def expression(node: list) -> str:
     return f"({body}){mark}" if mark else body
 
 
+def element(shape_: str) -> str:
+    """The tag of a shape."""
+    return shape_.rstrip("!~").split(".")[0]
+
+
 def slots(wrapper: list) -> dict[str, float]:
-    """The weight of each path of slots: its characters a page, more in article or main elements, 0 if its text isn't the page's own (one
-    text on different pages, or links for the most part), and -1 if it is never main text. Paths with parts of any class end so."""
+    """The weight of each path of slots: its characters a page, more in article or main elements, less in those named as something else;
+    next to nothing if they are links for the most part, 0 if it is one text on different pages, and -1 if it is never main text.
+    Paths with parts of any class end so."""
     found: dict[str, list] = {}
     waiting = [(wrapper, ())]
     while waiting:
@@ -293,8 +324,8 @@ def slots(wrapper: list) -> dict[str, float]:
         if any(s.endswith("!") for s in parts) or p.startswith("head"):
             out[p] = -1.0
         else:
-            own = not same and links * 2 < n
-            out[p] = n / pages * own * (MAIN_WEIGHT if any(s.split(".")[0] in MAIN for s in parts) else 1.0)
+            own = 0.0 if same else 1.0 if links * 2 < n else LINKS_WEIGHT
+            out[p] = n / pages * own * (MAIN_WEIGHT if any(element(s) in MAIN for s in parts) else 1.0) * (NAMED_WEIGHT if any(s.endswith("~") for s in parts) else 1.0)
     return out
 
 
@@ -303,17 +334,49 @@ def main_part(paths: set[tuple[str, ...]], weight: dict[str, float]) -> tuple[st
     held: dict[tuple[str, ...], float] = {}
     for p in paths:
         w = weight.get("/".join(p), 0.0)
-        if w > 0:
+        if w > HEAVY:
             for k in range(len(p) + 1):
                 held[p[:k]] = held.get(p[:k], 0.0) + w
     if not held:  # an article that is the same on different pages is still one
-        inside = sorted(p[: k + 1] for p in paths for k, x in enumerate(p) if x.split(".")[0] in MAIN and weight.get("/".join(p)) == 0)
+        inside = sorted(p[: k + 1] for p in paths for k, x in enumerate(p) if element(x) in MAIN and weight.get("/".join(p)) == 0)
         return inside[0] if inside else None
     at = max((p for p in held if held[p] >= SHARE * held[()]), key=lambda p: (len(p), p))
-    main = next((k + 1 for k, s in enumerate(at) if s.split(".")[0] in MAIN), None)
+    main = next((k + 1 for k, s in enumerate(at) if element(s) in MAIN), None)
     return at if main is None else at[:main]  # all of the article
 
 
+def within(rows: list[tuple[tuple[str, ...], str]], at: tuple[str, ...], weight: dict[str, float]) -> list[str]:
+    """The texts of a page's blocks (path, text) that belong to its main part, the element at."""
+    whole = any(element(s) in MAIN for s in at)
+    loose = not whole and bool(at) and element(at[-1]) in BLOCKS
+    while at and not whole and element(at[-1]) in BLOCKS:
+        at = at[:-1]  # to the element that holds all blocks of the text
+    heavy = [weight.get("/".join(p), -1.0) > HEAVY for p, _ in rows]
+    inside = [p[: len(at)] == at and (not loose or len(p) == len(at) or element(p[len(at)]) in BLOCKS) and weight.get("/".join(p), -1.0) >= 0 and not any(s[-1:] in ("!", "~") for s in p[len(at) :]) for p, _ in rows]
+    if whole:
+        return [t for (_, t), ok in zip(rows, inside) if ok]
+    keep = [a and b for a, b in zip(inside, heavy)]
+    first = next((i for i, k in enumerate(keep) if k), len(rows))
+    nearly_all = element(at[-1]) in ("html", "body") if at else True
+    after = False
+    for i in range(len(rows) - 1, -1, -1):
+        if inside[i] and not keep[i]:
+            p = rows[i][0]
+            # Headings that recur before own text, and lists of links that differ between pages.
+            keep[i] = (after and bool(p) and element(p[-1]) in TITLES) or (weight["/".join(p)] > 0 and (not nearly_all or (after and i > first)))
+        after = after or keep[i]
+    # The title, and what stands between it and the part, if elements above the part hold them.
+    for up in range(1, len(at) + 1):
+        above = at[:-up]
+        own = [i for i in range(first) if heavy[i] and rows[i][0][: len(above)] == above and not any(s[-1:] in ("!", "~") for s in rows[i][0][len(above) :])]
+        title = next((i for i in reversed(own) if rows[i][0] and element(rows[i][0][-1]) in ("h1",) + (() if not above or element(above[-1]) in ("html", "body") else ("h2",))), None)
+        if title is not None:
+            for i in own:
+                keep[i] |= i >= title
+            break
+    return [t for (_, t), k in zip(rows, keep) if k]
+
+
 def host_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, main) for pages(host, html)."""
 
@@ -377,10 +440,7 @@ class Wrapped:
                 self.main.clear()
             self.main[paths] = main_part(paths, self.weight)
         at = self.main[paths]
-        if at is None:
-            return ""
-        whole = any(s.split(".")[0] in MAIN for s in at)
-        return "\n\n".join([t for p, t in rows if p[: len(at)] == at and ((w := self.weight.get("/".join(p), -1.0)) > 0 or (whole and w == 0))])
+        return "" if at is None else "\n\n".join(within(rows, at, self.weight))
 
 
 def main_text(page: str, weight: dict[str, float]) -> str:

@@ -101,6 +101,59 @@ def test_a_table_by_the_articles_of_its_pages(spark):
         assert re.sub(r"\s", "", got[r.page_id]) == re.sub(r"\s", "", words), r.page_id
 
 
+BODY = "<h1>Title {i}</h1><p>Own words number {i}, and many more of them for page {i}.</p><h2>Summary</h2><p>Last words {i} of it.</p>"
+WANT = "Title {i}\n\nOwn words number {i}, and many more of them for page {i}.\n\nSummary\n\nLast words {i} of it."
+
+
+def each(page, n=5):
+    pages = [page.replace("{i}", str(i * 37)) for i in range(1, n + 1)]
+    weight = w.slots(merged(*pages))
+    return [w.main_text(p, weight) for p in pages]
+
+
+def wanted(text, n=5):
+    return [text.replace("{i}", str(i * 37)) for i in range(1, n + 1)]
+
+
+def test_names_that_hold_a_listed_word_are_no_other_part():
+    for before, after in (('<div class="content-sidebar-wrap"><main>', "</main></div>"), ('<div id="page" class="no-sidebar"><article>', "</article></div>"), ('<div class="sidebar"><main>', "</main></div>"), ('<div class="page has-comments"><article>', "</article></div>"), ('<body class="cookie login"><div class="entry">', "</div>")):
+        assert each(f"<body><nav>a b</nav>{before}{BODY}{after}<footer>f</footer></body>") == wanted(WANT), before
+    inside = '<article><p class="share-price">Price {i}</p><h2 id="login">Log in {i}</h2><section id="menu"><p>Dishes {i}</p></section><div class="share-buttons">Share {i}</div><div class="ad">Buy {i}</div><div id="comments">So nice {i}</div></article>'
+    assert each(inside) == wanted("Price {i}\n\nLog in {i}\n\nDishes {i}")
+
+
+def test_titles_headings_and_lists_of_links_stay():
+    top, end = "<body><div class=top>Welcome to all</div>", "<div class=end>The same end</div></body>"
+    assert each(f"{top}<div class=content>{BODY}</div>{end}") == wanted(WANT)
+    title, rest = BODY.split("</h1>")
+    assert each(f"{top}<div class=content>{title}</h1><div class=by>By {{i}}</div><div class=body>{rest}</div></div>{end}") == wanted(WANT.replace("\n\n", "\n\nBy {i}\n\n", 1))
+    assert each(f"{top}{title}</h1><div class=body>{rest}</div>{end}") == wanted(WANT)
+    links = "<h2>References</h2><ul><li><a href=x>Paper {i}</a></li><li><a href=y>Other {i}</a></li></ul>"
+    assert each(f"{top}<div class=content>{BODY}{links}</div>{end}") == wanted(WANT + "\n\nReferences\n\nPaper {i}\n\nOther {i}")
+    # but a menu beside it, even one that differs, and a notice that recurs are none of it
+    assert each(f"{top}<ul class=x><li><a href=x>Go {{i}}</a></li></ul><div class=content>{BODY}<div class=rights>All rights reserved.</div></div>{end}") == wanted(WANT)
+
+
+def test_the_heaviest_text_is_main_whatever_its_name():
+    long = "Many words that tell of {i} and go on and on. " * 20
+    assert each(f"<body><div class=top>Hi {{i}}</div><div class=widget><p>{long}</p></div></body>") == wanted(long.strip())
+
+
+def test_pages_of_links_alone_have_no_text():
+    assert each("<body><ul><li><a href=x>Go {i}</a></li></ul><p>The same</p></body>") == [""] * 5
+
+
+def test_a_table_without_articles(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    plain = rows.selectExpr("page_id", "url", "replace(replace(html, '<article>', '<div class=\"x\">'), '</article>', '</div>') AS html")
+    with_, without = ({r.page_id: r.text for r in w.extracted(df).collect()} for df in (rows, plain))
+    hosts = {r.page_id: r.url.split("/")[2] for r in rows.collect()}
+    known = [i for i in with_ if list(hosts.values()).count(hosts[i]) >= 3]
+    assert len(known) > 100
+    same = sum(with_[i] == without[i] for i in known)
+    assert same >= 0.97 * len(known), same / len(known)
+
+
 def test_frames(spark):
     rows = [(1, "http://h.x/1", PAGE), (1, "http://h.x/1", PAGE), (2, None, None), (None, "http://h.x/2", "<article><p>b</p></article>"), (4, "odd url", "<p>c</p>")]
     df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, text string")
