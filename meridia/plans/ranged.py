@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import intervals
-from ..sources import genomics, packets, ranges
+from ..sources import bam, genomics, packets, ranges
 from .files import _lines, _tabs
 from .formats import _place
 from .registry import query, table
@@ -104,3 +104,24 @@ def k18_evidence_manifest(spark: SparkSession, sf: str) -> DataFrame:
     path = _place(spark, "evidence")
     table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").write.format("meridia_packet").mode("append").save(path)
     return packets.checked(spark, path).groupBy("state").agg(F.sum("rows").alias("rows"), (F.count("*") > 0).alias("listed")).select("rows", "state", "listed")
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, 'c' || l_linenumber AS contig, l_orderkey * 10 AS a, l_orderkey * 10 + 20 + CASE WHEN l_partkey % 4 = 0 THEN 5000 ELSE 0 END AS b, l_partkey % 60 AS mapq FROM lineitem WHERE l_partkey % 11 <> 0),
+g AS (SELECT n_name, 'c' || (n_nationkey % 7 + 1) AS contig, n_nationkey * 3000 AS a, n_nationkey * 3000 + 700 AS b FROM nation)
+SELECT n_name, count(*) AS reads, count(DISTINCT l_orderkey) AS names, sum(mapq)::BIGINT AS mapq FROM g JOIN r ON r.contig = g.contig AND r.a < g.b AND g.a < r.b GROUP BY 1""")
+def s27_alignments_over_loci(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignments written as BAM files with indexes, and read back only where they may touch 25 loci."""
+    li = table(spark, sf, "lineitem")
+    gap = F.when(F.col("l_partkey") % 4 == 0, "5000N").otherwise("")
+    refs = [(f"c{i}", 1 << 29) for i in range(1, 8)]
+    rows = li.select(
+        F.col("l_orderkey").cast("string").alias("qname"), F.when(F.col("l_partkey") % 11 == 0, 4).otherwise(0).alias("flag"), F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("rname"), (F.col("l_orderkey") * 10 + 1).alias("pos"), (F.col("l_partkey") % 60).cast("int").alias("mapq"),
+        F.concat(F.lit("3S10M"), gap, F.lit("2I10=")).alias("cigar"), F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"), F.repeat(F.lit("ACGTN"), F.lit(5)).alias("sequence"), F.lit("*").alias("quality"),
+    )
+    path = _place(spark, "bam")
+    made = bam.write_bam(rows, refs, path).select("path").collect()  # a row a file
+    loci = table(spark, sf, "nation").select("n_name", F.concat(F.lit("c"), (F.col("n_nationkey") % 7 + 1).cast("string")).alias("contig"), (F.col("n_nationkey") * 3000).alias("start"), (F.col("n_nationkey") * 3000 + 700).alias("end"))
+    near = bam.bam(spark, [r["path"] for r in made], loci=[(r["contig"], r["start"], r["end"]) for r in loci.collect()])  # 25 nations
+    found = intervals.reads_over_loci(near, loci)
+    return found.groupBy("n_name").agg(F.count("*").alias("reads"), F.countDistinct("qname").alias("names"), F.sum("mapq").alias("mapq"))

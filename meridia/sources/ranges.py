@@ -109,8 +109,8 @@ class _Window:
         self.at += n
 
 
-def blocks(remote: Remote, start: int, kind: str) -> Iterator[tuple[int, bytes]]:
-    """(place, data) from the first block at or after start: data of a BGZF block at a time, pieces of other files."""
+def blocks(remote: Remote, start: int, kind: str, exact: bool = False) -> Iterator[tuple[int, bytes]]:
+    """(place, data) from the first block at or after start, or exactly there: data of a BGZF block at a time, pieces of other files."""
     if kind == "plain":
         for at in range(start, remote.size, PIECE):
             yield at, remote.read(at, at + PIECE)
@@ -129,7 +129,7 @@ def blocks(remote: Remote, start: int, kind: str) -> Iterator[tuple[int, bytes]]
                     piece, unzip = unzip.unused_data, zlib.decompressobj(31)
     else:
         window = _Window(remote, start)
-        if start:
+        if start and not exact:
             _to_block(window)
         while head := window.upto(18):
             size = block_size(head) or block_size(window.upto(1 << 16))
