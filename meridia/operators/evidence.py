@@ -38,6 +38,36 @@ def members_of_lists(claims: DataFrame, evidence: DataFrame, list_col: str, id_c
     return join_members(claims.withColumn("_ids", listed(list_col)), evidence, "_ids", id_col).drop("_ids")
 
 
+def evidence_rows(summaries: DataFrame, subject: str, payload: str, builders: dict[str, list[tuple[str, str, str, str, str]]], kind: str) -> DataFrame:
+    """(subject, evidence_id, status, detail, artifact, caveat): what the builders of a summary's kind make of its JSON text.
+
+    A builder is (id, path of the status, path of the detail, artifact, caveat); a summary without the status says no_call, one without the
+    detail has none. All builders stand in one array, so the summaries are read once."""
+    from ..functions.json import at_path
+
+    made = [
+        F.when(
+            F.col(kind) == k,
+            F.struct(F.lit(own).alias("evidence_id"), F.coalesce(at_path(payload, status), F.lit("no_call")).alias("status"), F.coalesce(at_path(payload, detail), F.lit("")).alias("detail"), F.lit(artifact).alias("artifact"), F.lit(caveat).alias("caveat")),
+        )
+        for k, items in builders.items()
+        for own, status, detail, artifact, caveat in items
+    ]
+    return summaries.select(subject, F.explode(F.array_compact(F.array(*made))).alias("_e")).select(subject, "_e.*")
+
+
+def packet_rows(evidence: list[DataFrame], keys: list[str], forbidden: list[str], text_cols: list[str]) -> DataFrame:
+    """The union of evidence of one schema, a later table's row for an earlier one's of the same keys; a text with a forbidden word fails the query."""
+    from ..functions.text import any_token_in
+    from .relational import merged_by_priority
+
+    rows = merged_by_priority(evidence, keys)
+    for c in text_cols:
+        bad = F.raise_error(F.concat(F.lit(f"forbidden word in {c} of "), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))).cast("string")
+        rows = rows.withColumn(c, F.when(any_token_in(c, forbidden), bad).otherwise(F.col(c)))
+    return rows
+
+
 def readiness(dependencies: DataFrame, unit: str, ready: str, blockers: str) -> DataFrame:
     """(unit, ready, any_ready, blockers): all, any, and the sum over what a unit depends on."""
     return dependencies.groupBy(unit).agg(F.every(ready).alias("ready"), F.some(ready).alias("any_ready"), F.sum(blockers).alias("blockers"))

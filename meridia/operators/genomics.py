@@ -227,6 +227,63 @@ def left_aligned(variants: DataFrame, chunks: DataFrame, width: int, most_mismat
     return out.select("contig", "pos", "ref", "alt", *([F.col("rest")[c].alias(c) for c in rest]))
 
 
+def resolved_variants(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """What is asked (id, kind, value) in both builds: (id, rsid, grch37, grch38, state, warnings).
+
+    known has a row an rs number and build: (rsid, build, chrom, pos, ref, alts). kind is rsid, or grch37 or grch38 with a variant in any
+    spelling. A position gives the smallest rs number there, and says so where there are more; its ALT is kept where it is one of those
+    known, else the first known one. state is resolved, not_found, or malformed. Equi joins throughout: a dimension of any size.
+    """
+    from ..functions.text import canonical_variant, rsid, variant_parts
+
+    number = lambda x: F.substr(x, F.lit(3)).cast("long")
+    asked = asked.withColumn("_v", F.when(F.col("kind") != "rsid", variant_parts("value"))).withColumn("_rs", F.when((F.col("kind") == "rsid") & F.trim("value").rlike(r"^(?i)rs\d+$"), rsid("value")))
+    places = known.select("build", "chrom", "pos", "rsid").distinct().groupBy("build", "chrom", "pos").agg(F.min_by("rsid", number("rsid")).alias("_at"), F.count("*").alias("_n"))
+    on = [F.col("kind") == F.col("build"), F.col("_v.chrom") == F.col("chrom"), F.col("_v.pos") == F.col("pos")]
+    found = asked.join(places, on, "left").withColumn("rsid", F.coalesce("_rs", "_at")).drop("build", "chrom", "pos")
+    of = lambda b: F.max(F.when(F.col("build") == b, F.struct("chrom", "pos"))).alias(f"_{b}")
+    # ref and alts of the newer build, as far as it has the number.
+    newest = F.max_by(F.struct("ref", "alts"), "build").alias("_r")
+    dim = known.groupBy("rsid").agg(of("grch37"), of("grch38"), newest)
+    out = found.join(dim.withColumnRenamed("rsid", "_key"), F.col("rsid") == F.col("_key"), "left")
+    alts, ref = F.col("_r.alts"), F.col("_r.ref")
+    alt = F.when(F.array_contains(alts, F.col("_v.alt")), F.col("_v.alt")).otherwise(F.coalesce(F.get(alts, F.lit(0)), F.col("_v.alt")))
+    said = lambda when, *parts: F.when(when, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+    warnings = F.array_compact(
+        F.array(
+            said(F.col("_n") > 1, F.col("_n").cast("string"), " rs numbers at this place"),
+            said(F.col("_v.ref") != ref, "ref ", F.col("_v.ref"), " isn't ", ref),
+            said((F.size(alts) > 0) & ~F.array_contains(alts, F.col("_v.alt")), "alt ", F.col("_v.alt"), " isn't known"),
+            said(F.col("_key").isNotNull() & F.col("_grch37").isNull(), "no place in grch37"),
+            said(F.col("_key").isNotNull() & F.col("_grch38").isNull(), "no place in grch38"),
+        )
+    )
+    malformed = F.when(F.col("kind") == "rsid", F.col("_rs").isNull()).when(F.col("kind").isin("grch37", "grch38"), F.col("_v").isNull()).otherwise(True)
+    state = F.when(malformed, "malformed").when(F.col("_key").isNull(), "not_found").otherwise("resolved")
+    name = lambda b: canonical_variant(F.col(f"_{b}.chrom"), F.col(f"_{b}.pos"), ref, alt).alias(b)
+    return out.select("id", F.col("_key").alias("rsid"), name("grch37"), name("grch38"), state.alias("state"), F.when(F.col("_key").isNotNull(), F.coalesce(warnings, F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>")).alias("warnings"))
+
+
+def truth_benchmark(truth: DataFrame, depth: DataFrame, calls: DataFrame, least: int = 10, flank: int = 100, tolerance: int = 50, width: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The benchmark of calls against truth, and the intervals that it looks at.
+
+    truth and calls have (contig, pos, ref, alt, and for calls filter), depth (contig, pos, tumor, normal). Truth is covered where both samples
+    are `least` deep; covered places with `flank` bases on each side are merged with a tolerance; passing calls within these
+    intervals are held against covered truth for recall, and against all truth for precision.
+    """
+    from .intervals import points_in_ranges
+    from .relational import overlap, recall_precision
+    from .windows import merge_intervals
+
+    keys = ["contig", "pos", "ref", "alt"]
+    deep = depth.filter((F.col("tumor") >= least) & (F.col("normal") >= least)).select("contig", "pos").distinct()
+    covered = truth.select(*keys).distinct().join(deep, ["contig", "pos"])
+    around = covered.select("contig", F.greatest(F.col("pos") - 1 - flank, F.lit(0)).alias("start"), (F.col("pos") + flank).alias("end"))
+    looked = merge_intervals(around, tolerance=tolerance).select("contig", "start", "end")
+    seen = points_in_ranges(calls.filter(F.col("filter") == "PASS").select(*keys), looked, "contig", "pos", "start", "end", width, one_based=True)
+    return recall_precision(overlap(seen, truth.select(*keys), covered, keys)), looked
+
+
 def simple_quality(x: Column) -> Column:
     """Mean Phred quality of a quality string (offset 33)."""
     codes = F.transform(F.filter(F.split(x, ""), lambda s: s != ""), F.ascii)

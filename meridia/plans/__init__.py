@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import files, formats, more, ranged, streams, tables, texts, times  # noqa: F401
+from . import files, formats, more, ranged, streams, tables, texts, times, whole  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

@@ -13,6 +13,9 @@ import json
 import time
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -69,6 +72,60 @@ def staged_fetch(url: str, params: dict[str, str]) -> str:
         return f.read().decode()
 
 
+def staged_answers(url: str, params: dict[str, str]) -> str:
+    """Answers that were staged as Parquet rows (id, record): those of the ids that a posted body names, as {"items": [...]}."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    files, base = fs.FileSystem.from_uri(url)
+    wanted = [str(x) for x in json.loads(params["body"])["ids"]]
+    rows = ds.dataset(base, format="parquet", filesystem=files).to_table(["record"], filter=ds.field("id").isin(wanted))
+    return json.dumps({"items": [json.loads(x) for x in rows["record"].to_pylist()]})
+
+
+def normalised_params(params: dict[str, object], path: str, fixes: dict[str, dict[str, str]]) -> dict[str, str]:
+    """Parameters as a service takes them: nulls go, truth values are lower-case words, lists are comma-joined; names that `fixes` has for a
+    path that ends with one of its keys are renamed, where the right name isn't there already."""
+    rename = next((names for tail, names in fixes.items() if path.rstrip("/").endswith(tail)), {})
+    out: dict[str, str] = {}
+    for name, value in params.items():
+        if value is None:
+            continue
+        right = rename.get(name, name)
+        if right != name and params.get(right) is not None:
+            continue
+        out[right] = str(value).lower() if isinstance(value, bool) else ",".join(map(str, value)) if isinstance(value, (list, tuple)) else str(value)
+    return out
+
+
+def posted(ids: DataFrame, column: str, url: str, size: int, options: dict[str, str], name: str = "ids", records: str = "items", more: dict[str, object] | None = None) -> DataFrame:
+    """(ids, record): answers, as JSON, to requests of at most `size` ids each, posted as {name: [...], **more}. Ids are distinct, sorted over all
+    tasks, and cut within each; a request that fails as a connection does is tried again by itself (see fetcher)."""
+    rows = ids.select(F.col(column).cast("string").alias("id")).filter("id IS NOT NULL").distinct().repartitionByRange("id").sortWithinPartitions("id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fetch = fetcher(options)
+
+        def ask(chunk: list[str]) -> pa.RecordBatch:
+            found = json.loads(fetch(url, {"body": json.dumps({name: chunk, **(more or {})})}))
+            for part in filter(None, records.split(".")):
+                found = found.get(part) if isinstance(found, dict) else found
+            if not isinstance(found, list):
+                raise TypeError(f"{url}: no list of records in an answer")
+            return pa.RecordBatch.from_pydict({"ids": pa.array([len(chunk)] * len(found), pa.int32()), "record": pa.array([json.dumps(x) for x in found], pa.string())})
+
+        held: list[str] = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= size:
+                yield ask(held[:size])
+                held = held[size:]
+        if held:
+            yield ask(held)
+
+    return rows.mapInArrow(run, "ids int, record string")
+
+
 class _Key(InputPartition):
     def __init__(self, key: str):
         super().__init__(key)
