@@ -118,6 +118,7 @@ def _in_group(threshold: float, tables: int, probes: int):
         look = group.column("looks").to_numpy().astype(bool)
         ids = group.column("id").to_numpy()
         x = _matrix(group.column("v")).astype(np.float64)
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # by a power of two, so that no square is infinite or zero
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         weight = group.column("m").to_numpy()
         codes = _matrix(group.column("codes")).reshape(len(ids), tables, 1 + probes)

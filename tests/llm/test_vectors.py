@@ -72,6 +72,12 @@ def test_odd_rows(spark):
     assert vectors.linked_vectors(df.limit(0)).count() == 0
 
 
+def test_huge_and_tiny_components(spark):
+    rows = [(i, [k * 1.0, k * 2.0, k * 0.5], 1) for i, k in enumerate((1e200, 3e200, 1e-200, 5e-300, 1.0))] + [(9, [1e200, -2e200, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.linked_vectors(df).collect()) == [*((i, 4, 0) for i in range(5)), (9, 0, 9)]
+
+
 def test_extra_columns_and_null_ids(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1, 5), (None, [1.0, 0.0], 1, 6)], "vec_id long, embedding array<float>, label int, n_links long")
     got = sorted((r.vec_id or -1, r.n_links, r.kept) for r in vectors.linked_vectors(df).collect())
