@@ -78,16 +78,19 @@ INDELS = "[+-](?:" + "|".join(f"{k}[^0-9].{{0,{k - 1}}}" for k in range(1, 100))
 def pileup_counts(bases: ColumnLike, ref: ColumnLike, alt: ColumnLike) -> Column:
     """struct(ref, alt, other, deletion, skip) of a pileup's base string.
 
-    Read starts take a quality sign with them, and an indel as many bases as it says. Lengths up to 99 are alternatives of
-    one pattern; strings with longer indels are folded sign by sign.
+    Read starts take a quality sign with them, and an indel as many bases as it says. Patterns run only on strings that hold a start or an
+    indel; lengths up to 99 are alternatives of one pattern, and strings with longer indels are folded sign by sign.
     """
     r, a = F.upper(_c(ref)), F.upper(_c(alt))
-    bare = F.upper(F.regexp_replace(F.regexp_replace(_c(bases), r"(?s)\^.", ""), INDELS, ""))
-    only = lambda signs: F.length(F.regexp_replace(bare, f"[^{signs}]", ""))
+    whole = _c(bases)
+    started = F.when(F.contains(whole, F.lit("^")), F.regexp_replace(whole, r"(?s)\^.", "")).otherwise(whole)
+    indel = F.contains(whole, F.lit("+")) | F.contains(whole, F.lit("-"))
+    bare = F.upper(F.when(indel, F.regexp_replace(started, INDELS, "")).otherwise(started))
+    only = lambda signs: F.length(bare) - F.length(F.translate(bare, signs, ""))
     named = lambda b: F.length(bare) - F.length(F.replace(bare, b, F.lit("")))
     n_ref, n_alt = named(r), F.when(a == r, 0).otherwise(named(a))
     fast = F.struct((only(".,") + n_ref).alias("ref"), n_alt.alias("alt"), (only("ACGTN") - n_ref - n_alt).alias("other"), only("*#").alias("deletion"), only("<>").alias("skip"))
-    return F.when(_c(bases).rlike("[+-][0-9]{3}"), _pileup_fold(bases, r, a)).otherwise(fast)
+    return F.when(indel & whole.rlike("[+-][0-9]{3}"), _pileup_fold(bases, r, a)).otherwise(fast)
 
 
 def _pileup_fold(bases: ColumnLike, r: Column, a: Column) -> Column:

@@ -22,22 +22,23 @@ def sbs96_matrix(variants: DataFrame, context: str = "context3", pass_fallback:
     """(context, n) for all 96 classes, of variants (ref, alt, filter, context3).
 
     Only PASS rows count; with pass_fallback all do when none passes. Alleles that fit no class are skipped, or fail the
-    query with on_bad='fail'; check_ref fails it where the context's middle base isn't REF.
+    query with on_bad='fail'; check_ref fails it where the context's middle base isn't REF. Rows are counted by their raw context and
+    alleles first, of which there are few, and only these are named.
     """
-    rows = variants.withColumn("_pass", F.col("filter") == "PASS")
+    raw = variants.groupBy(F.col(context).alias("_c"), "ref", "alt").agg(F.count("*").alias("_all"), F.count_if(F.col("filter") == "PASS").alias("_pass"))
     if pass_fallback:
-        some = rows.agg(F.coalesce(F.max("_pass"), F.lit(False)).alias("_any"))
-        rows = rows.crossJoin(F.broadcast(some)).filter("_pass OR NOT _any")  # one row
+        passing = raw.agg(F.coalesce(F.sum("_pass"), F.lit(0)).alias("_any"))
+        rows = raw.crossJoin(F.broadcast(passing)).withColumn("n", F.when(F.col("_any") > 0, F.col("_pass")).otherwise(F.col("_all")))  # one row
     else:
-        rows = rows.filter("_pass")
-    rows = rows.filter(plain_snv("ref", "alt"))
+        rows = raw.withColumn("n", F.col("_pass"))
+    rows = rows.filter("n > 0").filter(plain_snv("ref", "alt"))
     if check_ref:
-        wrong = F.upper(F.substring(context, 2, 1)) != F.upper("ref")
+        wrong = F.upper(F.substring("_c", 2, 1)) != F.upper("ref")
         rows = rows.withColumn("ref", F.when(wrong, F.raise_error(F.lit("context base differs from REF")).cast("string")).otherwise(F.col("ref")))
-    named = pyrimidine_context(context, "ref", "alt")
+    named = pyrimidine_context("_c", "ref", "alt")
     if on_bad == "fail":
         named = F.coalesce(named, F.raise_error(F.lit("variant fits no class")).cast("string"))
-    counts = rows.groupBy(named.alias("context")).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(named.alias("context")).agg(F.sum("n").alias("n"))
     return sbs96_contexts(variants.sparkSession).join(counts, "context", "left").select("context", F.coalesce("n", F.lit(0)).alias("n"))
 
 

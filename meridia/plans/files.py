@@ -47,13 +47,13 @@ def k10_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     return tables.json_lines(spark, path, "event_id bigint, user_id bigint, event_type string")
 
 
-@query("SELECT count(*) AS files, 25 AS documents FROM (SELECT DISTINCT n_nationkey FROM nation)")
+@query("""SELECT n_nationkey::BIGINT AS n_nationkey, n_name, sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' || chr(10)) AS sha256 FROM nation""")
 def s07_json_with_digest(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole JSON files with the digest of the bytes that were parsed."""
+    """Whole JSON files, each with the digest of the bytes that were parsed."""
     path = _place(spark, "json")
     table(spark, sf, "nation").repartitionByRange(25, "n_nationkey").select(F.to_json(F.struct("n_nationkey", "n_name")).alias("value")).write.text(path)
-    docs = tables.json_documents(spark, path + "/*.txt").filter(F.length("sha256") == 64)
-    return docs.agg(F.count("*").alias("files"), F.count(F.expr("try_variant_get(document, '$.n_name', 'string')")).cast("int").alias("documents"))
+    docs = tables.json_documents(spark, path + "/*.txt").filter("document IS NOT NULL")
+    return docs.select(F.expr("variant_get(document, '$.n_nationkey', 'bigint')").alias("n_nationkey"), F.expr("variant_get(document, '$.n_name', 'string')").alias("n_name"), "sha256")
 
 
 VCF_SQL = "SELECT 'chr' || (l_linenumber + 18) AS contig, l_orderkey + 1 AS pos, substr('ACGT', (l_partkey % 4)::INT + 1, 1) AS ref, substr('CGTA', (l_partkey % 4)::INT + 1, 1) AS a1, substr('GTAC', (l_partkey % 4)::INT + 1, 1) AS a2, CASE l_returnflag WHEN 'N' THEN 'PASS' ELSE 'LOW' END AS f, l_suppkey AS dp FROM lineitem"
@@ -133,24 +133,28 @@ def a24_read_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT 'chr' || l_linenumber AS contig, count(*) AS bins, round(sum(l_quantity / 100), 2) AS tumor, round(sum(l_suppkey / 100.0), 2) AS normal FROM lineitem GROUP BY 1""")
+SELECT 'chr' || l_linenumber AS contig, l_orderkey AS start, l_orderkey + 100 AS end, round(l_quantity::BIGINT / 100, 6) AS tumor, round(l_suppkey / 100.0, 6)::DOUBLE AS normal FROM lineitem""")
 def s30_coverage_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Strict five-column coverage rows."""
+    """Strict five-column coverage rows with the mean depths of both samples."""
     li = table(spark, sf, "lineitem")
     line = _tabs(F.concat(F.lit("chr"), F.col("l_linenumber")), "l_orderkey", F.col("l_orderkey") + 100, F.col("l_quantity").cast("long"), "l_suppkey")
     b = ops.coverage_bins(genomics.bedcov(spark, _lines(li, line, "bedcov")))
-    return b.groupBy("contig").agg(F.count("*").alias("bins"), F.round(F.sum(F.col("tumor_sum") / F.col("length")), 2).alias("tumor"), F.round(F.sum(F.col("normal_sum") / F.col("length")), 2).alias("normal"))
+    return b.select("contig", "start", "end", F.col("tumor_mean").alias("tumor"), F.col("normal_mean").alias("normal"))
 
 
 @query("""
-SELECT sum(l_linenumber)::BIGINT AS refs, sum(l_suppkey % 5)::BIGINT AS alts, count(*)::BIGINT AS deletions FROM lineitem""")
+SELECT l_orderkey AS pos, l_linenumber::BIGINT AS n_ref, (l_suppkey % 5)::BIGINT AS n_alt, (l_partkey % 3)::BIGINT AS n_other, 1 AS n_deletion, (l_partkey % 2)::BIGINT AS n_skip FROM lineitem""")
 def f10_pileup(spark: SparkSession, sf: str) -> DataFrame:
     """Pileup text with read starts and indels, counted base by base."""
     li = table(spark, sf, "lineitem")
-    bases = F.concat(F.expr("repeat('^I.', l_linenumber)"), F.lit("+12ACGTACGTACGT$"), F.expr("repeat('t', CAST(l_suppkey % 5 AS INT))"), F.lit("-2tt*"))
+    short = F.concat(F.expr("repeat('^I.', l_linenumber)"), F.lit("+12ACGTACGTACGT$"), F.expr("repeat('t', CAST(l_suppkey % 5 AS INT))"), F.lit("-2tt*"))
+    long = F.concat(F.lit("+105"), F.expr("repeat('T', 105)"), F.expr("repeat('^+,', l_linenumber)"), F.expr("repeat('T', CAST(l_suppkey % 5 AS INT))"), F.lit("#"))
+    plain = F.concat(F.expr("repeat('.', l_linenumber)"), F.expr("repeat('t', CAST(l_suppkey % 5 AS INT))"), F.lit("*"))
+    bases = F.when(F.col("l_orderkey") % 40 == 0, long).when(F.col("l_orderkey") % 2 == 1, plain).otherwise(short)
+    bases = F.concat(bases, F.expr("repeat('g', CAST(l_partkey % 3 AS INT))"), F.expr("repeat('>', CAST(l_partkey % 2 AS INT))"))
     path = _lines(li, _tabs(F.lit("chr1"), "l_orderkey", F.lit("A"), F.lit(1), bases, F.lit("I")), "pileup")
-    n = genomics.mpileup(spark, path, 1).select(text.pileup_counts("bases", "ref", F.lit("T")).alias("n"))
-    return n.agg(F.sum("n.ref").alias("refs"), F.sum("n.alt").alias("alts"), F.sum("n.deletion").alias("deletions"))
+    n = genomics.mpileup(spark, path, 1).select("pos", text.pileup_counts("bases", "ref", F.lit("T")).alias("n"))
+    return n.select("pos", *[F.col(f"n.{k}").cast("long").alias(f"n_{k}") for k in ("ref", "alt", "other")], F.col("n.deletion").alias("n_deletion"), F.col("n.skip").cast("long").alias("n_skip"))
 
 
 @query("""
@@ -202,13 +206,14 @@ def k17_verified_copy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT part, sum(last - first + 1)::BIGINT AS bytes FROM (SELECT l.k AS part, r * 1000 AS first, least(r * 1000 + 999, l.size - 1) AS last FROM (SELECT p_partkey AS k, (p_retailprice * 10)::BIGINT AS size FROM part) l, range(0, 100) t(r) WHERE r * 1000 < l.size) GROUP BY 1""")
+WITH p AS (SELECT p_partkey AS part, (p_retailprice * 10)::BIGINT AS size FROM part)
+SELECT part, first, least(first + 999, size - 1) AS last FROM (SELECT part, size, unnest(range(0, size, 1000)) AS first FROM p)""")
 def m14_byte_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """Inclusive byte ranges of parts."""
     from ..functions.numeric import byte_ranges
 
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("part"), F.explode(byte_ranges(F.round(F.col("p_retailprice") * 10).cast("long"), 1000)).alias("r"))
-    return p.groupBy("part").agg(F.sum(F.col("r.last") - F.col("r.first") + 1).alias("bytes"))
+    return p.select("part", F.col("r.first").alias("first"), F.col("r.last").alias("last"))
 
 
 @query("""
