@@ -12,7 +12,7 @@ from ..operators import evidence, relational
 from ..operators import genomics as ops
 from ..sources import genomics, packets, rest, tables
 from .files import _lines, _tabs
-from .formats import REGIONS, _full_pages, _place, _rest, _staged
+from .formats import REGIONS, _full_pages, _pages, _place, _rest, _staged
 from .registry import query, table
 
 
@@ -32,6 +32,14 @@ def s50_posted_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return got.select(js.at_path("record", "k").cast("long").alias("c_custkey"), js.at_path("record", "n").alias("c_name"), js.at_path("record", "s").cast("long").alias("site"))
 
 
+@query("SELECT 'R' || n_regionkey AS key, n_nationkey % 3 AS page, n_name FROM nation")
+def s54_normalised_params(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages asked for with parameters of other names and kinds, put as the service takes them."""
+    url = _staged(spark, _pages(spark, sf, F.concat(F.lit('{"rows": ['), "items", F.lit("]}"))), "associations")
+    got = _rest(spark, url=url, keys=REGIONS, records="rows", key_param="study", page_param="start", params='{"significant": true, "gene": null}', fixes='{"associations": {"study": "q", "start": "page"}, "": {"study": "q", "start": "page"}}')
+    return got.select("key", "page", js.at_path("record", "n").alias("n_name"))
+
+
 @query("SELECT n_name, 'R' || n_regionkey AS status, (n_nationkey * 10)::BIGINT AS created FROM nation")
 def s71_listed_and_described(spark: SparkSession, sf: str) -> DataFrame:
     """Jobs listed by status over token pages, then described in requests of 10, with the status that listed them."""

@@ -1,7 +1,8 @@
 """A paged REST or GraphQL source as a Python data source: one partition a request key, pages fetched in the executors.
 
 Pages go by number, by a continuation token in the answer (`token` names its field), or come from a job that is submitted and
-polled (`mode` job). Options max_rows and max_pages bound a key: the first ends it, the second fails.
+polled (`mode` job). Options max_rows and max_pages bound a key: the first ends it, the second fails. Options params and fixes (JSON) add
+parameters to each request and rename them by the end of its address, see normalised_params().
 
 `fetch` is a function (url, params) -> JSON text given by its import path, so that tests and private networks bring their own.
 """
@@ -148,6 +149,8 @@ class _Reader(DataSourceReader):
             if page == limit:
                 raise RuntimeError(f"more than {limit} pages of {partition.key!r}; raise max_pages")
             params = {self.options.get("key_param", "q"): partition.key, self.options.get("page_param", "page"): str(page)}
+            if "params" in self.options or "fixes" in self.options:
+                params = normalised_params(json.loads(self.options.get("params", "{}")) | params, self.options["url"], json.loads(self.options.get("fixes", "{}")))
             if token:
                 params["token"] = token
             if "body" in self.options:
