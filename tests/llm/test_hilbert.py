@@ -112,3 +112,11 @@ def test_files_hold_all_rows_and_filters_skip_most(spark, tmp_path):
         hit = {z["shard"] for z in zones if z[f"{c}_min"] <= high and low <= z[f"{c}_max"]}
         have = {r["shard"] for r in back.withColumn("size", F.octet_length("text") + 8).filter(F.col(c).between(low, high)).select("shard").distinct().collect()}
         assert have <= hit
+
+
+def test_files_of_odd_rows(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA).select("*", F.lit(7).alias("shard"), F.lit("y").alias("size"))
+    zones = hilbert.write_shards(df, str(tmp_path / "out"), shards=5).collect()
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select("doc_id", "text", "source", "lang", "size").collect())) == sorted(map(str, df.drop("shard").select("doc_id", "text", "source", "lang", "size").collect()))
+    assert sum(z["rows"] for z in zones) == len(ROWS) and len(zones) == 5
