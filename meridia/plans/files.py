@@ -106,7 +106,7 @@ def a23_alignment_counters(spark: SparkSession, sf: str) -> DataFrame:
     """SAM text scanned once for four structural counters."""
     li = table(spark, sf, "lineitem")
     flag = (F.col("l_partkey") * 7).bitwiseAND(4095)
-    line = _tabs(F.concat(F.lit("r"), F.col("l_orderkey")), flag, F.lit("chr1"), "l_orderkey", F.lit(60), F.lit("50M"), F.when(F.col("l_linenumber") == 3, "chr2").otherwise("="), "l_suppkey", F.floor("l_extendedprice"))
+    line = _tabs(F.concat(F.lit("r"), F.col("l_orderkey")), flag, F.lit("chr1"), "l_orderkey", F.lit(60), F.lit("50M"), F.when(F.col("l_linenumber") == 3, "chr2").otherwise("="), "l_suppkey", F.ceil("l_extendedprice"))  # an insert over a whole limit stays over it
     return ops.alignment_counters(genomics.sam(spark, _lines(li, line, "sam")), 50_000)
 
 
