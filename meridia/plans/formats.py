@@ -183,12 +183,9 @@ def s39_label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT p_partkey, p_partkey::INT AS place FROM part")
 def s41_column_letters(spark: SparkSession, sf: str) -> DataFrame:
-    """Places of sheet columns A, Z, AA, ZZ, AAA and on by their letters."""
-    letter = lambda x: F.char(F.lit(65) + x)
-    k = F.col("p_partkey")
-    two, three = k - 26, k - 702
-    name = F.when(k < 26, letter(k)).when(k < 702, F.concat(letter(F.floor(two / 26)), letter(two % 26))).otherwise(F.concat(letter(F.floor(three / 676)), letter(F.floor(three / 26) % 26), letter(three % 26)))
-    return table(spark, sf, "part").select("p_partkey", genomics.column_index(F.lower(name)).cast("int").alias("place"))
+    """Places of sheet columns A, Z, AA, ZZ, AAA and on by their letters, of any number."""
+    name = F.lower(genomics.column_letters(F.col("p_partkey")))
+    return table(spark, sf, "part").select("p_partkey", genomics.column_index(name).cast("int").alias("place"))
 
 
 CHECKED = "CASE WHEN n_nationkey % 7 = 6 THEN 'unexpected' WHEN n_nationkey % 5 = 3 THEN 'differs' ELSE 'equal' END"

@@ -192,4 +192,15 @@ def workbook_rows(files: DataFrame) -> DataFrame:
 
 def column_index(letters: Column) -> Column:
     """0-based index of a sheet column's letters."""
-    return F.aggregate(F.filter(F.split(F.upper(letters), ""), lambda c: c != ""), F.lit(0), lambda s, c: s * 26 + F.ascii(c) - 64) - 1
+    return F.aggregate(F.filter(F.split(F.upper(letters), ""), lambda c: c != ""), F.lit(0), lambda s, c: s * 26 + (F.ascii(c) - 64)) - 1
+
+
+def column_letters(index: Column) -> Column:
+    """The letters of a sheet column's 0-based index: of one letter, of two and so on, up to seven, which hold any int; null below 0."""
+    out, start = F.when(index < 0, None), 0
+    for width in range(1, 8):
+        at = index - start
+        name = F.concat(*[F.char(F.lit(65) + F.floor(at / 26**i) % 26) for i in reversed(range(width))])
+        start += 26**width
+        out = out.when(index < start, name)
+    return out
