@@ -15,7 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +26,8 @@ from .rest import fetcher
 
 #: Bytes of a split, and of one request.
 SPLIT, PIECE = 64 << 20, 1 << 20
+#: Bytes asked for past the end of a split at first, and bytes of splits that a task takes, where they are many.
+FEW, TASK = 4096, 16 << 20
 FETCH = {"fetch": "meridia.sources.ranges:uri_range"}
 
 
@@ -109,11 +111,16 @@ class _Window:
         self.at += n
 
 
-def blocks(remote: Remote, start: int, kind: str, exact: bool = False) -> Iterator[tuple[int, bytes]]:
-    """(place, data) from the first block at or after start, or exactly there: data of a BGZF block at a time, pieces of other files."""
+def blocks(remote: Remote, start: int, kind: str, exact: bool = False, end: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(place, data) from the first block at or after start, or exactly there: data of a BGZF block at a time, pieces of other files. Pieces of
+    a plain file end at `end`; those after it, of which a split needs a line or two, begin small."""
     if kind == "plain":
-        for at in range(start, remote.size, PIECE):
-            yield at, remote.read(at, at + PIECE)
+        at, small, end = start, FEW, remote.size if end is None else end
+        while at < remote.size:
+            size = min(PIECE, end - at) if at < end else small
+            yield at, remote.read(at, at + size)
+            small = min(PIECE, 2 * small) if at >= end else small
+            at += size
     elif kind == "gzip":
         if start:
             return
@@ -163,7 +170,7 @@ def lines(remote: Remote, start: int, end: int, kind: str) -> Iterator[tuple[boo
     """(own, line): the lines of a split, without their ends, then those after it until the caller has enough."""
     own = begun = start == 0
     rest: list[bytes] = []
-    for at, data in blocks(remote, start, kind):
+    for at, data in blocks(remote, start, kind, end=end):
         low = 0
         if not begun:
             low = data.find(b"\n") + 1
@@ -191,30 +198,29 @@ def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def splits(found: DataFrame, split: int = SPLIT, numbered: bool = False, options: dict[str, str] = FETCH) -> DataFrame:
-    """(path, size, start, end, first) of files (path, size), a row and a partition a split; first is the number of lines before it, where asked for."""
+    """(path, size, start, end, first) of files (path, size), a row a split; first is the number of lines before it, where asked for. A partition
+    has a split, or where they are small and many some that make up 16 MB."""
     rows = found.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start"))
     rows = rows.withColumn("end", F.least(F.col("start") + split, "size"))
-    n = max(1, rows.count())
+    many, total = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()
+    n = max(1, min(many, max(-(-total // TASK), 4 * found.sparkSession.sparkContext.defaultParallelism)))
     return _counted(rows.repartition(n), options).repartition(n) if numbered else rows.repartition(n).withColumn("first", F.lit(None).cast("long"))
 
 
 def _remotes(batches: Iterator[pa.RecordBatch], options: dict[str, str]) -> Iterator[tuple[dict, Remote, str]]:
-    """(split, file, kind) of batches of splits."""
+    """(split, file, kind) of batches of splits; the kind is looked up once a task and file."""
+    kinds: dict[str, str] = {}
     for batch in batches:
         for row in batch.to_pylist():
             remote = Remote(row["path"], row["size"], options)
-            yield row, remote, kind_of(remote.read(0, 1 << 16))
+            if row["path"] not in kinds:
+                kinds[row["path"]] = kind_of(remote.read(0, 1 << 16))
+            yield row, remote, kinds[row["path"]]
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 8192) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == most:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in held], schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in held], schema)
+    while held := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
 def byte_ranges(found: DataFrame, size: int, options: dict[str, str] = FETCH, split: int = SPLIT) -> DataFrame:
@@ -231,16 +237,23 @@ def byte_ranges(found: DataFrame, size: int, options: dict[str, str] = FETCH, sp
     return splits(found, split).mapInArrow(run, "path string, start long, content binary")
 
 
+def _owned(remote: Remote, start: int, end: int, kind: str) -> int:
+    """How many lines a split has. In a plain file one begins after each line end in it, but for the file's last byte, and one at the file's start."""
+    if kind != "plain":
+        return sum(1 for _ in takewhile(lambda x: x[0], lines(remote, start, end, kind)))
+    n, end = int(start == 0 < remote.size), min(end, remote.size)
+    for at in range(start, end, PIECE):
+        piece = remote.read(at, min(at + PIECE, end))
+        n += piece.count(b"\n") - (at + len(piece) == remote.size and piece.endswith(b"\n"))
+    return n
+
+
 def _counted(parts: DataFrame, options: dict[str, str]) -> DataFrame:
     """Splits with `first`, the number of lines before each in its file: one pass that only counts, then sums over the splits of a file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, remote, kind in _remotes(batches, options):
-            n = 0
-            for own, _ in lines(remote, row["start"], row["end"], kind):
-                if not own:
-                    break
-                n += 1
+            n = _owned(remote, row["start"], row["end"], kind)
             yield pa.RecordBatch.from_pydict({k: [row[k]] for k in ("path", "size", "start", "end")} | {"n": [n]})
 
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
