@@ -16,10 +16,10 @@ stops goes on from its checkpoint with the same state and timers.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import UTC, datetime, timedelta
 from typing import Any, Protocol
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -86,7 +86,7 @@ class Retries:
         return state[1]
 
     def fire(self, state: tuple) -> tuple[State, list[tuple]]:
-        return (state[0], None, state[2]), [(state[2], state[0], pd.Timestamp(state[1], unit="us"))]
+        return (state[0], None, state[2]), [(state[2], state[0], datetime.fromtimestamp(0, UTC) + timedelta(microseconds=state[1]))]
 
 
 class InOrder(StatefulProcessor):
@@ -94,7 +94,7 @@ class InOrder(StatefulProcessor):
 
     def __init__(self, rule: Rule, keys: list[str], held: str):
         self.rule, self.keys, self.held_schema = rule, keys, held
-        self.columns = [*keys, *(c.split()[0] for c in rule.output.split(","))]
+        self.made = Row(*keys, *(c.split()[0] for c in rule.output.split(",")))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -102,10 +102,9 @@ class InOrder(StatefulProcessor):
         self.state = handle.getValueState("state", self.rule.state)
         self.armed = handle.getValueState("armed", "at long")
 
-    def _arm(self, wake: int | None) -> None:
-        """One timer a key: the earliest time that it must be woken at, in milliseconds not before it."""
-        old, new = self.armed.get(), None if wake is None else -(-wake // 1000)
-        old = old[0] if old else None
+    def _arm(self, wake: int | None, old: int | None) -> None:
+        """One timer a key: the earliest time that it must be woken at, in milliseconds not before it. `old` is the one that it has."""
+        new = None if wake is None else -(-wake // 1000)
         if new == old:
             return
         if old is not None:
@@ -116,20 +115,26 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(new)
             self.armed.update((new,))
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N803
-        new = [tuple(None if x is not None and x is pd.NA else x for x in r) for frame in rows for r in frame[["at", "tie", "value"]].itertuples(index=False, name=None)]
-        self.held.appendList(new)
-        first, old = min(r[0] for r in new), self.armed.get()
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N803
+        at, tie, value = [], [], []
+        for row in rows:
+            at.append(row["at"])
+            tie.append(row["tie"])
+            value.append(row["value"])
+        # Each call to the store has a price, and so has each row: the events of a batch are one row.
+        self.held.appendValue((at, tie, value))
+        first, old = min(at), self.armed.get()
         if old is None or first < old[0] * 1000:
-            self._arm(first)
-        yield pd.DataFrame(columns=self.columns)
+            self._arm(first, old[0] if old else None)
+        yield from ()
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N803
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N803
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.held.get(), key=lambda r: r[:2])
-        ready = [tuple(r) for r in held if r[0] <= upto]
-        state: State = tuple(self.state.get()) if self.state.exists() else None
-        out: list[tuple] = []
+        held = sorted((r for chunk in self.held.get() for r in zip(*chunk)), key=lambda r: r[:2])
+        ready = [r for r in held if r[0] <= upto]
+        found = self.state.get()
+        state: State = None if found is None else tuple(found)
+        known, out = state, []
 
         def passed(time: int) -> None:
             nonlocal state
@@ -142,16 +147,21 @@ class InOrder(StatefulProcessor):
             state, rows = self.rule.step(state, event)
             out.extend(rows)
         passed(upto)
+        rest = held[len(ready) :]
         if ready:
-            rest = [tuple(r) for r in held[len(ready) :]]
-            self.held.put(rest) if rest else self.held.clear()
-        self.state.clear() if state is None else self.state.update(state)
-        waits = [r[0] for r in held[len(ready) : len(ready) + 1]]
+            self.held.put([tuple(map(list, zip(*rest)))]) if rest else self.held.clear()
+        if state != known:
+            self.state.clear() if state is None else self.state.update(state)
+        waits = [r[0] for r in rest[:1]]
         if state is not None and (due := self.rule.due(state)) is not None:
             waits.append(due)
-        self.armed.clear()
-        self._arm(min(waits, default=None))
-        yield pd.DataFrame([(*key, *r) for r in out], columns=self.columns)
+        # The timer that woke the key is gone.
+        if waits:
+            self._arm(min(waits), None)
+        else:
+            self.armed.clear()
+        for r in out:
+            yield self.made(*key, *r)
 
     def close(self) -> None:
         pass
@@ -166,7 +176,7 @@ def in_order(stream: DataFrame, rule: Rule, keys: list[str], ts: str, tie: str,
     rows = rows.select(*keys, ts, F.unix_micros(ts).alias("at"), F.col(tie).cast("long").alias("tie"), F.col(value).alias("value"))
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([*(f"{k} {kind[k]}" for k in keys), rule.output])
-    return rows.groupBy(*keys).transformWithStateInPandas(InOrder(rule, keys, f"at long, tie long, value {kind['value']}"), schema, "append", "EventTime")
+    return rows.groupBy(*keys).transformWithState(InOrder(rule, keys, f"at array<bigint>, tie array<bigint>, value array<{kind['value']}>"), schema, "append", "EventTime")
 
 
 def status_changes(stream: DataFrame, keys: list[str], status: str, ts: str, tie: str, late: str, idle_seconds: int | None = None) -> DataFrame:
