@@ -58,6 +58,33 @@ def points_in_ranges(points: DataFrame, ranges: DataFrame, key: str, pos: str, s
     return found.select(*[f"p.{c}" for c in points.columns], *[f"r.{c}" for c in ranges.columns if c != key])
 
 
+def range_totals(points: DataFrame, ranges: DataFrame, key: str, pos: str, start: str, end: str, value: str, width: int) -> DataFrame:
+    """Ranges, without their key, with parts of the number `n` of points in them and of the `total` of their values: a range's result is the sum
+    of its parts, and one without points has none.
+
+    No point meets a range that holds its whole bin: points are summed by bin, of `width` and of the larger sizes of points_in_ranges(), and
+    a range takes the sums of the bins that make it up. Only the ends of a range, in a bin or two, meet places, summed too."""
+    rest = [c for c in ranges.columns if c != key]
+    sums = [F.sum("n").alias("n"), F.sum("total").alias("total")]
+    places = points.groupBy(F.col(key).alias("_k"), F.col(pos).alias("_at")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
+    places = places.withColumn("_bin", F.floor(F.col("_at") / width))
+    r = ranges.filter(F.col(end) > F.col(start))
+    first, last = F.ceil(F.col(start) / width), F.floor(F.col(end) / width)  # whole bins of level 0, the last exclusive
+    whole = r.filter(first < last).withColumn("_node", F.explode(_nodes(first * width, last * width - 1, width))).select("*", "_node.*").drop("_node")
+    # Sums are made on levels that ranges use: a dozen numbers at most.
+    levels = sorted(x[0] for x in whole.select("level").distinct().collect())
+    bins = places.groupBy("_k", "_bin").agg(*sums).withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+    fan = F.element_at(F.array(*[F.lit(FAN**k) for k in range(LEVELS)]), F.col("level") + 1)
+    bins = bins.groupBy("_k", "level", F.floor(F.col("_bin") / fan).alias("bin")).agg(*sums)
+    inner = whole.join(bins, [F.col(key) == F.col("_k"), whole["level"] == bins["level"], whole["bin"] == bins["bin"]]).select(*rest, "n", "total")
+    piece = lambda a, b: F.struct(a.cast("long").alias("_a"), b.cast("long").alias("_b"))
+    ends = F.when(first < last, F.array(piece(F.col(start), first * width), piece(last * width, F.col(end)))).otherwise(F.array(piece(F.col(start), F.col(end))))
+    edges = r.withColumn("_p", F.explode(ends)).select(*r.columns, "_p.*").filter("_a < _b")
+    edges = edges.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_a") / width), F.floor((F.col("_b") - 1) / width))))
+    outer = edges.join(places, [F.col(key) == F.col("_k"), edges["_bin"] == places["_bin"], F.col("_at") >= F.col("_a"), F.col("_at") < F.col("_b")])
+    return inner.unionByName(outer.groupBy(*rest).agg(*sums))
+
+
 def overlapping(a: DataFrame, b: DataFrame, key: str, width: int, a_cols: tuple[str, str] = ("a_start", "a_end"), b_cols: tuple[str, str] = ("b_start", "b_end")) -> DataFrame:
     """Pairs of ranges of a key that overlap (half open), of any length: one of them begins within the other. Each pair comes once. Empty ranges overlap nothing."""
     a, b = a.filter(F.col(a_cols[0]) < F.col(a_cols[1])), b.filter(F.col(b_cols[0]) < F.col(b_cols[1]))
