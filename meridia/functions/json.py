@@ -1,12 +1,14 @@
 """JSON functions over Columns; open payloads are VARIANT."""
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.udtf import UserDefinedTableFunction
 
 from .text import ColumnLike, _c
 
@@ -63,43 +65,50 @@ def list_response(x: ColumnLike) -> Column:
 NUMBER = r"(?<![A-Za-z0-9])[-+]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?%?(?![A-Za-z0-9])"
 
 
-class _Facts:
-    """A row for each number, or number within a string, of a JSON text, in the order of the document with names of objects sorted."""
-
-    def eval(self, text: str) -> Iterator[tuple[int, str, str, int | None, str, float]]:
-        import re
-
-        try:
-            work = [("", json.loads(text))] if text else []
-        except ValueError:
-            return
-        n = 0
-        while work:
-            path, v = work.pop()
-            if isinstance(v, dict):
-                work += [(f"{path}/{k.replace('~', '~0').replace('/', '~1')}", v[k]) for k in sorted(v, reverse=True)]
-            elif isinstance(v, list):
-                work += [(f"{path}/{i}", x) for i, x in reversed(list(enumerate(v)))]
-            elif isinstance(v, str):
-                for i, m in enumerate(re.finditer(NUMBER, v), 1):
-                    n += 1
-                    yield n, path, "string_token", i, m[0], float(m[0].rstrip("%"))
-            elif isinstance(v, (int, float)) and not isinstance(v, bool):
-                n += 1
-                yield n, path, "number", None, json.dumps(v), float(v)
+def _facts(text: str | None) -> Iterator[tuple[str, str, int | None, str, float]]:
+    """(pointer, kind, token, exact, value) of each number, or number within a string, of a JSON text, in the order of the document with names of objects sorted."""
+    try:
+        work = [("", json.loads(text))] if text else []
+    except ValueError:
+        return
+    while work:
+        path, v = work.pop()
+        if isinstance(v, dict):
+            work += [(f"{path}/{k.replace('~', '~0').replace('/', '~1')}", v[k]) for k in sorted(v, reverse=True)]
+        elif isinstance(v, list):
+            work += [(f"{path}/{i}", x) for i, x in reversed(list(enumerate(v)))]
+        elif isinstance(v, str):
+            for i, m in enumerate(re.finditer(NUMBER, v), 1):
+                yield path, "string_token", i, m[0], float(m[0].rstrip("%"))
+        elif isinstance(v, (int, float)) and not isinstance(v, bool):
+            yield path, "number", None, json.dumps(v), float(v)
 
 
 def number_facts(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(id, fact_id, pointer, kind, token, exact, value): all numbers of the JSON texts, numbered Q0001 on over all rows in the order of
     their ids, and in a row by their place: lists by index, objects by name, a string's numbers from left to right (`token`).
 
-    exact is the number as it is written; value leaves a percent sign out. Texts that aren't JSON have no facts."""
-    from ..operators.relational import numbered
-
-    facts: UserDefinedTableFunction = F.udtf(_Facts, returnType="n int, pointer string, kind string, token int, exact string, value double")
-    rows = df.select(F.col(id_col).alias("id"), F.col(json_col).alias("j"))
-    found = rows.lateralJoin(facts(F.col("j").outer())).drop("j")
-    placed = numbered(found, [F.col("id"), F.col("n")])
+    exact is the number as it is written; value leaves a percent sign out. Texts that aren't JSON have no facts. The texts are sorted by range,
+    not their facts, which are numbered as they are found in a partition, behind those of the partitions before it."""
+    from ..operators.relational import before_parts
+    from ..sources.ranges import _batches
+    from ..sources.tables import checkpointed
+
+    rows = df.select(F.col(id_col).alias("id"), F.col(json_col).alias("j")).repartitionByRange("id").sortWithinPartitions("id")
+    kinds = [("pointer", pa.string()), ("kind", pa.string()), ("token", pa.int32()), ("exact", pa.string()), ("value", pa.float64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            schema = pa.schema([batch.schema.field("id"), ("_part", pa.int32()), ("_at", pa.int64()), *kinds])
+            facts = ((k, *f) for k, t in zip(batch.column("id").to_pylist(), batch.column("j").to_pylist()) for f in _facts(t))
+            for found in _batches(((k, part, n, *f) for n, (k, *f) in enumerate(facts, at)), schema):
+                at += len(found)
+                yield found
+
+    kind = rows.schema["id"].dataType.simpleString()
+    found = checkpointed(rows.mapInArrow(run, f"id {kind}, _part int, _at long, pointer string, kind string, token int, exact string, value double"))
+    placed = found.join(F.broadcast(before_parts(found, F.lit(1))), "_part").withColumn("ordinal", F.col("_before") + F.col("_at") + 1)
     return placed.select("id", F.format_string("Q%04d", "ordinal").alias("fact_id"), "pointer", "kind", "token", "exact", "value")
 
 
