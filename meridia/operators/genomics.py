@@ -50,10 +50,12 @@ def matrix_differences(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def variant_counters(variants: DataFrame) -> DataFrame:
-    """One row: distinct keys, PASS rows, SNV and indel keys; a record counts once for each ALT."""
+    """One row: distinct keys, PASS rows, SNV and indel keys; a record counts once for each ALT. Rows are grouped by their key once, and the
+    groups counted, so that no row is copied for each of the counts."""
     key = F.concat_ws(":", "contig", F.col("pos").cast("string"), "ref", "alt")
     snv = plain_snv("ref", "alt")
-    return variants.agg(F.count_distinct(key).alias("total"), F.count_if(F.col("filter") == "PASS").alias("passed"), F.count_distinct(F.when(snv, key)).alias("snv"), F.count_distinct(F.when(~snv, key)).alias("indel"))
+    by = variants.groupBy(key.alias("_key")).agg(F.count_if(F.col("filter") == "PASS").alias("_pass"), F.bool_or(snv).alias("_snv"), F.bool_or(~snv).alias("_other"))
+    return by.agg(F.count("*").alias("total"), F.coalesce(F.sum("_pass"), F.lit(0)).alias("passed"), F.count_if("_snv").alias("snv"), F.count_if("_other").alias("indel"))
 
 
 def split_alleles(records: DataFrame, alt: str = "alt") -> DataFrame:
