@@ -242,13 +242,16 @@ def resolved_variants(asked: DataFrame, known: DataFrame) -> DataFrame:
     number = lambda x: F.substr(x, F.lit(3)).cast("long")
     asked = asked.withColumn("_v", F.when(F.col("kind") != "rsid", variant_parts("value"))).withColumn("_rs", F.when((F.col("kind") == "rsid") & F.trim("value").rlike(r"^(?i)rs\d+$"), rsid("value")))
     places = known.select("build", "chrom", "pos", "rsid").distinct().groupBy("build", "chrom", "pos").agg(F.min_by("rsid", number("rsid")).alias("_at"), F.count("*").alias("_n"))
-    on = [F.col("kind") == F.col("build"), F.col("_v.chrom") == F.col("chrom"), F.col("_v.pos") == F.col("pos")]
-    found = asked.join(places, on, "left").withColumn("rsid", F.coalesce("_rs", "_at")).drop("build", "chrom", "pos")
+    # Both tables grow with what is known, whatever size is estimated of them: they are merged, never broadcast. Rows without a key match
+    # nothing, and are dealt over all tasks by their id.
+    on = [F.col("kind") == F.col("build"), F.col("_v.chrom") == F.col("chrom"), F.coalesce(F.col("_v.pos"), F.xxhash64("id")) == F.col("pos")]
+    found = asked.join(places.hint("merge"), on, "left").withColumn("rsid", F.coalesce("_rs", "_at")).drop("build", "chrom", "pos")
     of = lambda b: F.max(F.when(F.col("build") == b, F.struct("chrom", "pos"))).alias(f"_{b}")
     # ref and alts of the newer build, as far as it has the number.
     newest = F.max_by(F.struct("ref", "alts"), "build").alias("_r")
     dim = known.groupBy("rsid").agg(of("grch37"), of("grch38"), newest)
-    out = found.join(dim.withColumnRenamed("rsid", "_key"), F.col("rsid") == F.col("_key"), "left")
+    dim = dim.withColumnRenamed("rsid", "_key").withColumn("_deal", F.xxhash64("_key"))
+    out = found.join(dim.hint("merge"), [F.col("rsid") == F.col("_key"), F.xxhash64(F.coalesce("rsid", F.col("id").cast("string"))) == F.col("_deal")], "left")
     alts, ref = F.col("_r.alts"), F.col("_r.ref")
     alt = F.when(F.array_contains(alts, F.col("_v.alt")), F.col("_v.alt")).otherwise(F.coalesce(F.get(alts, F.lit(0)), F.col("_v.alt")))
     said = lambda when, *parts: F.when(when, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
