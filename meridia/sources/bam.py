@@ -30,6 +30,8 @@ SCHEMA = "qname string, flag int, rname string, pos long, mapq int, cigar string
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 KIND = pa.schema([(c.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[c.split()[1]]) for c in SCHEMA.split(", ")])
 LAST = (1 << 63) - 1
+#: Records of a file, and of one below which no more files are made.
+RECORDS, FEW = 250_000, 20_000
 
 
 def bin_of(start: int, end: int) -> int:
@@ -311,13 +313,17 @@ class Writer:
         return out
 
 
-def write_bam(df: DataFrame, refs: list[tuple[str, int]], path: str, block: int = 60_000) -> DataFrame:
+def write_bam(df: DataFrame, refs: list[tuple[str, int]], path: str, block: int = 60_000, records: int = RECORDS) -> DataFrame:
     """Writes alignments (see SCHEMA) under path, sorted by reference and place, unplaced ones last; (path, records) of the files, each with
-    its index beside it. Files have names of their own, so a repeated task leaves others; only those of the result belong to it."""
+    its index beside it. Files have names of their own, so a repeated task leaves others; only those of the result belong to it.
+
+    Alignments are counted first, so that a task sorts about `records` of them and writes one file of these, however many there are."""
     of = {name: k for k, (name, _) in enumerate(refs)}
     places = F.create_map(*[x for n, k in of.items() for x in (F.lit(n), F.lit(k))])
     place = F.coalesce(F.try_element_at(places, F.col("rname")), F.lit(len(of)))
-    rows = df.select(*NAMES, place.alias("_ref")).repartitionByRange("_ref", "pos", "qname", "flag").sortWithinPartitions("_ref", "pos", "qname", "flag")
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    files = max(1, -(-n // records), min(cores, -(-n // FEW)))  # few are spread over the cores, as far as that pays
+    rows = df.select(*NAMES, place.alias("_ref")).repartitionByRange(files, "_ref", "pos", "qname", "flag").sortWithinPartitions("_ref", "pos", "qname", "flag")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _open(path)
