@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_dir
@@ -74,6 +76,41 @@ def slim(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in cols.items()])
 
 
+#: Words of 64 bits in a block of a Bloom filter, bits for an id, and the most blocks: 32 MB.
+BLOCK_WORDS, ID_BITS, MOST_BLOCKS = 64, 24, 1 << 16
+
+
+def bloom_filter(ids: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """(block, bits) of a Bloom filter in blocks of 512 bytes over a column of longs, and the number of blocks: two bits an id in one block.
+    Beyond MOST_BLOCKS it stays as large as it is, and lets more pass."""
+    blocks = min(MOST_BLOCKS, 1 + ids.count() * ID_BITS // (64 * BLOCK_WORDS))
+
+    def run(group: pa.Table) -> pa.Table:
+        bits = np.zeros(BLOCK_WORDS, np.uint64)
+        for name in ("p", "q"):
+            at = group.column(name).to_numpy()
+            np.bitwise_or.at(bits, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        return pa.table({"block": group.column("block")[:1], "bits": pa.array([bits.view(np.int64)], pa.list_(pa.int64()))})
+
+    block, p, q = _bloom_places(F.col(col), blocks)
+    return ids.select(block.alias("block"), p.alias("p"), q.alias("q")).groupBy("block").applyInArrow(run, "block bigint, bits array<bigint>"), blocks
+
+
+def _bloom_places(x: Column, blocks: int) -> tuple[Column, Column, Column]:
+    h, size = F.xxhash64(x.cast("long")), 64 * BLOCK_WORDS
+    return F.pmod(F.shiftrightunsigned(h, 24), F.lit(blocks)).cast("long"), F.pmod(h, F.lit(size)).cast("long"), F.pmod(F.shiftrightunsigned(h, 12), F.lit(size)).cast("long")
+
+
+def may_hold(df: DataFrame, x: Column, found: tuple[DataFrame, int]) -> DataFrame:
+    """Rows of df whose x is among the ids of a bloom_filter(), and few others. The filter, of bounded size, is broadcast; no row is moved."""
+    bits, blocks = found
+    block, *places = _bloom_places(x, blocks)
+    on = block == F.col("block")
+    for p in places:
+        on &= F.bit_get(F.get(F.col("bits"), F.shiftright(p, 6).cast("int")), (p % 64).cast("int")) == 1
+    return df.join(F.broadcast(bits), on, "left_semi")
+
+
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One large-star or small-star step over edges (a, b) with a > b."""
     if large:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import chunks
-from .common import connected_components, discard, materialize, slim
+from .common import bloom_filter, connected_components, discard, materialize, may_hold, slim
 
 WORDS = 5
 PERCENT = 75
@@ -273,17 +273,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = found.filter("least IS NOT NULL")
     groups = _distinct_groups(_nodes(classes)).join(classes.select("id", "n", "sig"), "id")
     sketched = materialize(groups.groupBy("g").applyInArrow(_sketched, "path bigint, id bigint").distinct(), "sketched")
-    wanted = sketched.select("id").distinct().join(classes.select("id", "least"), "id").select("least").distinct().hint("merge")  # it grows with the corpus: one plan at every size
-    texts = rows.join(wanted, rows["doc_id"] == wanted["least"], "left_semi")
-    sets = document_sets(texts).dropDuplicates(["set_key"])
-    full = sketched.join(classes.select("id", "set_key", "sig"), "id").join(sets, "set_key").drop("set_key")
+    wanted = materialize(sketched.select("id").distinct().join(classes.select("id", "least"), "id").select("least").distinct(), "wanted")
+    # Most texts and classes are in no group: a filter by their ids leaves them where they are. What it lets pass beside finds no partner below.
+    marks = bloom_filter(wanted, "least")
+    sets = document_sets(may_hold(rows, F.col("doc_id"), marks)).dropDuplicates(["set_key"])
+    grouped = may_hold(classes.select("id", "least", "set_key", "sig"), F.col("least"), marks).drop("least")
+    full = sketched.join(grouped, "id").join(sets, "set_key").drop("set_key")
     links = materialize(full.groupBy("path").applyInArrow(_confirmed, "a bigint, b bigint"), "links")
     # an id that repeats with other texts is one node: it joins its classes
     own = members.filter("doc_id IS NOT NULL AND id IS NOT NULL")
     torn = own.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("last")).filter("b < last").drop("last")
     joins = own.join(torn, "doc_id").filter("id <> b").select(F.col("id").alias("a"), "b")
     parts = materialize(connected_components(links.union(joins)), "parts")
-    discard(sketched, links, signed)
+    discard(sketched, links, signed, wanted)
     known = found.select("id", "least").join(parts, F.col("id") == F.col("node"), "left").drop("node")
     least = known.filter("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("all"))
     named = known.join(least, "component", "left").select("id", F.coalesce("all", "least").alias("component"))

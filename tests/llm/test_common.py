@@ -52,3 +52,18 @@ def test_temporary_tables_are_removed(spark):
         made = common.materialize(spark.range(5).toDF("x"), "t")
         assert made.count() == 5 and exists(spark, made._meridia_path)
     assert not exists(spark, made._meridia_path) and made not in common._WRITTEN
+
+
+def test_bloom_filter_keeps_all_ids_and_few_others(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    wanted = spark.range(0, 100_000, 7).withColumn("id", F.col("id") * 1_000_003 - 10**9)
+    rows = spark.range(100_000).select((F.col("id") * 1_000_003 - 10**9).alias("doc_id"), (F.col("id") % 7 == 0).alias("in")).union(spark.createDataFrame([(None, False)], "doc_id long, `in` boolean"))
+    marks = common.bloom_filter(wanted, "id")
+    kept = common.may_hold(rows, F.col("doc_id"), marks)
+    got = {r["in"]: r["count"] for r in kept.groupBy("in").count().collect()}
+    assert got[True] == wanted.count() and got.get(False, 0) < 2000 and marks[1] == 1 + 14286 * 24 // 4096
+    assert common.may_hold(rows, F.col("doc_id"), common.bloom_filter(wanted.limit(0), "id")).count() == 0
+    monkeypatch.setattr(common, "MOST_BLOCKS", 2)
+    kept = common.may_hold(rows, F.col("doc_id"), common.bloom_filter(wanted, "id"))
+    assert kept.filter("in").count() == wanted.count()

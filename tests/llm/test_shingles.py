@@ -125,3 +125,16 @@ def test_a_table_against_an_exact_index(spark):
                 parent[max(a, b)] = min(a, b)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in shingles.near_groups(df).collect()}
     assert got == {i: (len(s[i]), find(i), find(i) == i) for i in s}
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
+    """The texts that are read for their full sets are those of documents in a group, and they come from the scan without an exchange."""
+    read = []
+    whole = shingles.document_sets
+    monkeypatch.setattr(shingles, "document_sets", lambda docs: read.append(docs) or whole(docs))
+    one = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(300)]
+    two = [(1000 + i, one[i][1] + " more") for i in range(3)]
+    df = spark.createDataFrame(one + two, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in shingles.near_groups(df).collect()}
+    assert got == {i: i for i, _ in one} | {1000 + i: i for i in range(3)}
+    assert "SortMergeJoin" not in read[0]._jdf.queryExecution().executedPlan().toString()
