@@ -163,14 +163,16 @@ def reference_agrees(variants: DataFrame, chunks: DataFrame, width: int) -> Data
 
 
 def _common_tail(a: Column, b: Column, upto: int) -> Column:
-    """How many last signs two texts share, fewer than `upto`: found by halving, as k last signs are the same only where fewer are."""
+    """How many last signs two texts share, fewer than `upto`: found by halving, as k last signs are the same only where fewer are. That takes
+    a loop a row, which isn't compiled; the most frequent cases, in which the last sign says all, go without."""
     bits = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, (upto - 1).bit_length())))])
 
     def longer(k: Column, bit: Column) -> Column:
         n = k + bit
         return F.when((n <= F.length(a)) & (n <= F.length(b)) & (F.right(a, n) == F.right(b, n)), n).otherwise(k)
 
-    return F.aggregate(bits, F.lit(0), longer)
+    x, y = F.right(a, F.lit(1)), F.right(b, F.lit(1))
+    return F.when(x != y, 0).when((x == y) & (x != "") & ((F.length(a) == 1) | (F.length(b) == 1)), 1).otherwise(F.aggregate(bits, F.lit(0), longer))
 
 
 def left_aligned(variants: DataFrame, chunks: DataFrame, width: int, most_mismatches: int | None = None) -> DataFrame:
@@ -205,7 +207,10 @@ def left_aligned(variants: DataFrame, chunks: DataFrame, width: int, most_mismat
     while True:
         at = now.withColumn("chunk", F.floor((F.col("pos") - 2) / width)).join(pieces, ["contig", "chunk"], "left")
         before = F.when(F.col("pos") > 1, F.substr("seq", F.lit(1), (F.col("pos") - 1 - F.col("chunk") * width).cast("int"))).otherwise("")
-        at = at.withColumn("before", before).withColumn("k", _common_tail(F.concat("before", "x"), F.col("before"), width + 1))
+        at = at.withColumn("before", before)
+        # A single base shares the run of itself that `before` ends with.
+        run = F.coalesce(F.length("before") - F.length(F.rtrim(F.col("before"), F.col("x"))), F.lit(0))
+        at = at.withColumn("k", F.when(F.length("x") == 1, run).otherwise(_common_tail(F.concat("before", "x"), F.col("before"), width + 1)))
         # What x has become after k steps: the d bases that end k before the end of `before` and x.
         turned = F.substr(F.concat("before", "x"), F.length("before") - F.col("k") + 1, F.length("x"))
         anchor = F.when(F.col("k") < F.length("before"), F.substr("before", F.length("before") - F.col("k"), F.lit(1)))
