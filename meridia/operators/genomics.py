@@ -283,14 +283,16 @@ def truth_benchmark(truth: DataFrame, depth: DataFrame, calls: DataFrame, least:
     intervals are held against covered truth for recall, and against all truth for precision.
     """
     from .intervals import points_in_ranges
+    from ..sources.tables import checkpointed
     from .relational import overlap, recall_precision
     from .windows import merge_intervals
 
     keys = ["contig", "pos", "ref", "alt"]
     deep = depth.filter((F.col("tumor") >= least) & (F.col("normal") >= least)).select("contig", "pos").distinct()
-    covered = truth.select(*keys).distinct().join(deep, ["contig", "pos"])
+    # Both are read several times, and made once: files are read and intervals merged a single time.
+    covered = checkpointed(truth.select(*keys).distinct().join(deep, ["contig", "pos"]))
     around = covered.select("contig", F.greatest(F.col("pos") - 1 - flank, F.lit(0)).alias("start"), (F.col("pos") + flank).alias("end"))
-    looked = merge_intervals(around, tolerance=tolerance).select("contig", "start", "end")
+    looked = checkpointed(merge_intervals(around, tolerance=tolerance).select("contig", "start", "end"))
     seen = points_in_ranges(calls.filter(F.col("filter") == "PASS").select(*keys), looked, "contig", "pos", "start", "end", width, one_based=True)
     return recall_precision(overlap(seen, truth.select(*keys), covered, keys)), looked
 
