@@ -36,8 +36,9 @@ def s09_split_reads(spark: SparkSession, sf: str) -> DataFrame:
     path = _place(spark, "reads")
     quality = F.when(F.col("l_partkey") % 3 == 0, "@+").otherwise("+@")
     record = F.concat(F.lit("@r"), "l_orderkey", F.lit("\nAC\n+\n"), quality)
-    rows = table(spark, sf, "lineitem").select(record.alias("value"), F.col("l_linenumber").alias("file"), "l_orderkey")
-    rows.repartition("file").sortWithinPartitions("file", "l_orderkey").drop("l_orderkey").write.partitionBy("file").text(path)
+    rows = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("file"), "l_orderkey", "l_partkey")
+    # A task sorts a file, of keys alone: by range, two files don't share one as by hash.
+    rows.repartitionByRange("file").sortWithinPartitions("file", "l_orderkey").select(record.alias("value"), "file").write.partitionBy("file").text(path)
     of = lambda file: genomics.fastq(spark, f"{path}/file={file}/*.txt", split=65_536).filter("problem IS NULL").select(_file_number().alias("file"), "ordinal", "id")
     reads, second = of("*"), of(2).select(F.lit(1).cast("long").alias("file"), "ordinal", "id", F.lit(True).alias("mate"))
     return reads.join(second, ["file", "ordinal", "id"], "left").select("file", "ordinal", "id", F.coalesce("mate", F.lit(False)).alias("mate"))

@@ -8,6 +8,9 @@ another length is an error like a broken connection: the range is tried again, t
 A line belongs to the split that holds the byte before it, and the first line to the first split; so a split begins after its first
 line end and goes on past its end to finish its last line. In files of gzip blocks (BGZF) the place of a byte is that of its block.
 Other gzip files can't be split: their first split reads all of them, as a stream. Compression is told by the first bytes.
+
+Spark knows the size of the splits, but not of what is read from them, and would take gigabytes of lines for a few kilobytes. So rows that
+are read by splits ask for merge joins: none of their joins broadcasts by that size. A small other side is named by F.broadcast().
 """
 
 from __future__ import annotations
@@ -234,7 +237,7 @@ def byte_ranges(found: DataFrame, size: int, options: dict[str, str] = FETCH, sp
                 rows = ((row["path"], at, remote.read(at, at + size)) for at in range(-(-row["start"] // size) * size, row["end"], size))
                 yield from _batches(rows, schema, max(1, (8 << 20) // size))
 
-    return splits(found, split).mapInArrow(run, "path string, start long, content binary")
+    return splits(found, split).mapInArrow(run, "path string, start long, content binary").hint("merge")
 
 
 def _owned(remote: Remote, start: int, end: int, kind: str) -> int:
@@ -275,7 +278,7 @@ def text_lines(found: DataFrame, numbered: bool = False, options: dict[str, str]
 
         return _batches(rows(), schema)
 
-    return parts.mapInArrow(run, "path string, number long, value string")
+    return parts.mapInArrow(run, "path string, number long, value string").hint("merge")
 
 
 def _phase(head: list[bytes]) -> int:
@@ -321,7 +324,7 @@ def reads(found: DataFrame, numbered: bool = True, options: dict[str, str] = FET
         rows = (r for row, remote, kind in _remotes(batches, options) for r in _records(row, lines(remote, row["start"], row["end"], kind)))
         return _batches(rows, schema)
 
-    return parts.mapInArrow(run, "path string, ordinal long, id string, sequence string, quality string, problem string")
+    return parts.mapInArrow(run, "path string, ordinal long, id string, sequence string, quality string, problem string").hint("merge")
 
 
 def sequences(loci: DataFrame, index: DataFrame, url: str, size: int, options: dict[str, str] = FETCH, gap: int = 4096) -> DataFrame:
